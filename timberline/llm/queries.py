@@ -19,12 +19,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import packing
 
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_tag_path_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import html_extract
+
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import common, rans
 
@@ -35,6 +56,9 @@ def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_rule_ensemble_quality": op2_rule_ensemble_quality,
+    "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
+    "op10_tag_path_ratio": op10_tag_path_ratio,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_rans": op9_token_rans,
 }
