@@ -40,6 +40,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import flac
+
+    return flac.stored_and_read(table(spark, sf_dir, "documents"))
+
+
 def op10_tag_path_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import html_extract
 
@@ -58,6 +64,7 @@ def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_rule_ensemble_quality": op2_rule_ensemble_quality,
     "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
+    "op8_flac_media": op8_flac_media,
     "op10_tag_path_ratio": op10_tag_path_ratio,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_rans": op9_token_rans,
