@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import timberline
+from timberline.llm import exact_dedup
 
 
 def tokenizer_path() -> str:
@@ -27,6 +28,10 @@ def op2_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op3_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import toxicity
 
@@ -63,6 +68,7 @@ def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_rule_ensemble_quality": op2_rule_ensemble_quality,
+    "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
     "op8_flac_media": op8_flac_media,
     "op10_tag_path_ratio": op10_tag_path_ratio,
@@ -70,4 +76,6 @@ QUERIES = {
     "op9_token_rans": op9_token_rans,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_streaming_exact_dedup": exact_dedup.ORACLE,
+}
