@@ -39,6 +39,12 @@ def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import pii
+
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import packing
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
     "op8_flac_media": op8_flac_media,
     "op10_tag_path_ratio": op10_tag_path_ratio,
+    "op6_weak_supervision_pii": op6_weak_supervision_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_rans": op9_token_rans,
 }
