@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import timberline
-from timberline.llm import exact_dedup
+from timberline.llm import exact_dedup, mixing
 
 
 def tokenizer_path() -> str:
@@ -39,6 +39,10 @@ def op4_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import pii
 
@@ -78,11 +82,13 @@ QUERIES = {
     "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
     "op8_flac_media": op8_flac_media,
     "op10_tag_path_ratio": op10_tag_path_ratio,
+    "op5_hierarchical_mixing": op5_hierarchical_mixing,
     "op6_weak_supervision_pii": op6_weak_supervision_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_rans": op9_token_rans,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_hierarchical_mixing": mixing.oracle(),
     "op3_streaming_exact_dedup": exact_dedup.ORACLE,
 }
