@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import ngram_join
+
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from timberline.llm import quality
 
@@ -77,6 +83,7 @@ def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_rule_ensemble_quality": op2_rule_ensemble_quality,
     "op3_streaming_exact_dedup": op3_streaming_exact_dedup,
     "op4_noisy_or_toxicity": op4_noisy_or_toxicity,
