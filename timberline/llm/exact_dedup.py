@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 from timberline.llm.common import shared_dir, written
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State lies on disk, and a worker holds open only the stores of the tasks that it runs.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 #: Files of digests that one micro-batch takes.
 FILES_PER_BATCH = 2000
 #: Rows of one group that are compared with one copy of its content.
@@ -59,8 +62,9 @@ def stream_state(spark: SparkSession, path: str, schema, checkpoint: str | None
     sha, bytes, keep (identifier and locator of the row that stays) and rows.
     """
     checkpoint = checkpoint or shared_dir(spark, "dedup-state")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         keyed = (
             spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -77,10 +81,8 @@ def stream_state(spark: SparkSession, path: str, schema, checkpoint: str | None
         # the value holds the buffers of the aggregates in their order
         state = state.select(F.col("key.sha").alias("sha"), F.col("key.bytes").alias("bytes"), F.col("value")[names[-2]].alias("keep"), F.col("value")[names[-1]].alias("rows"))
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return state
 
 
