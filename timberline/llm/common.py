@@ -34,6 +34,16 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few short columns that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written, counted, and marked for broadcasting if it has ``BROADCAST_ROWS`` rows at most; else Spark joins by shuffling."""
+    df = written(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that an operator has written and no longer reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -70,26 +80,37 @@ class IdEncoder:
 
     The vocabulary's pre-tokenizer never joins what white space separates, so a
     text's ids are those of its chunks between spaces and line feeds, one after
-    the other. Chunks are encoded once by the library and kept in a table of at
-    most ``capacity`` chunks; on overflow only those of the current batch stay.
+    the other. The library encodes a chunk when it comes up; tables keep at most
+    twice ``capacity`` chunks: when the younger one is full it becomes the older
+    one, and chunks that are met again move to the younger.
     """
 
-    def __init__(self, path: str, capacity: int = 300_000):
+    def __init__(self, path: str, capacity: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.capacity = capacity
-        self.table: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 500):
+            out += self._encoded(texts[i : i + 500])
+        return out
+
+    def _encoded(self, texts: list[str | None]) -> list[bytes]:
         chunks = [(x or "").replace("\n", " ").split(" ") for x in texts]
         seen = set().union(*chunks)
-        table = self.table
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, {}
+        table, old = self.young, self.old
         missing = [x for x in seen if x not in table]
-        if len(table) + len(missing) > self.capacity:
-            self.table = table = {x: table[x] for x in seen if x in table}
+        if old:
+            table.update((x, old[x]) for x in missing if x in old)
+            missing = [x for x in missing if x not in table]
         for i in range(0, len(missing), 20_000):
             part = missing[i : i + 20_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):

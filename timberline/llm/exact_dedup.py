@@ -37,20 +37,20 @@ def normalised(text: Column) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the locator of every row, _file and _row; a table without files is written first."""
+    """``docs`` with the locator of every row, __dedup_file and __dedup_row; a table without files is written first."""
     try:
-        return docs.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+        return docs.withColumns({"__dedup_file": F.col("_metadata.file_path"), "__dedup_row": F.col("_metadata.row_index")})
     except AnalysisException:
         kept = written(docs, "located")
-        return kept.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+        return kept.withColumns({"__dedup_file": F.col("_metadata.file_path"), "__dedup_row": F.col("_metadata.row_index")})
 
 
 def digest_table(rows: DataFrame) -> DataFrame:
     """Digest, size, identifier and locator of every row, in the shared folder."""
     text = normalised(F.col("text"))
     return written(
-        rows.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"), "_file", "_row")
-        .select("doc_id", F.sha2("_text", 256).alias("sha"), F.octet_length("_text").cast("long").alias("bytes"), "_file", "_row"),
+        rows.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"), "__dedup_file", "__dedup_row")
+        .select("doc_id", F.sha2("_text", 256).alias("sha"), F.octet_length("_text").cast("long").alias("bytes"), "__dedup_file", "__dedup_row"),
         "digests",
     )
 
@@ -69,7 +69,7 @@ def stream_state(spark: SparkSession, path: str, schema, checkpoint: str | None
         keyed = (
             spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
             .groupBy("sha", "bytes")
-            .agg(F.max(F.struct("doc_id", "_file", "_row")).alias("keep"), F.count(F.lit(1)).alias("rows"))
+            .agg(F.max(F.struct("doc_id", "__dedup_file", "__dedup_row")).alias("keep"), F.count(F.lit(1)).alias("rows"))
         )
         query = (
             keyed.writeStream.format("noop").outputMode("update")
@@ -93,20 +93,20 @@ def differing(rows: DataFrame, hits: DataFrame, groups: DataFrame) -> int:
     a copy for every ``SALT_ROWS`` rows.
     """
     salts = F.ceil(F.col("rows") / SALT_ROWS).cast("int")
-    texts = rows.select("_file", "_row", normalised(F.col("text")).alias("_text"))
+    texts = rows.select("__dedup_file", "__dedup_row", normalised(F.col("text")).alias("_text"))
     kept = (
-        texts.join(groups.select(F.col("keep._file").alias("_file"), F.col("keep._row").alias("_row"), "sha", "rows"), ["_file", "_row"])
+        texts.join(groups.select(F.col("keep.__dedup_file").alias("__dedup_file"), F.col("keep.__dedup_row").alias("__dedup_row"), "sha", "rows"), ["__dedup_file", "__dedup_row"])
         .select("sha", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("_text").alias("_kept"))
     )
     own = (
-        texts.join(hits.select("_file", "_row", "sha", "rows"), ["_file", "_row"])
-        .select("sha", F.pmod(F.xxhash64("_file", "_row"), salts).cast("int").alias("salt"), "_text")
+        texts.join(hits.select("__dedup_file", "__dedup_row", "sha", "rows"), ["__dedup_file", "__dedup_row"])
+        .select("sha", F.pmod(F.xxhash64("__dedup_file", "__dedup_row"), salts).cast("int").alias("salt"), "_text")
     )
     return own.join(kept, ["sha", "salt"]).where(F.col("_text") != F.col("_kept")).count()
 
 
 def assigned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Located rows of ``docs``, and for each: doc_id, _file, _row, keep_id, group_size, kept, text_sha256.
+    """Located rows of ``docs``, and for each: doc_id, __dedup_file, __dedup_row, keep_id, group_size, kept, text_sha256.
 
     Of equal texts (A-Z lower-cased; null counts as empty) the row with the
     largest doc_id stays, and of rows that share that id the one whose locator
@@ -115,23 +115,23 @@ def assigned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     empty results.
     """
     spark = docs.sparkSession
-    rows = located(docs.drop("_file", "_row"))
+    rows = located(docs.drop("__dedup_file", "__dedup_row"))
     table = digest_table(rows)
     path = table.inputFiles()
     state = written(stream_state(spark, _folder(path), table.schema), "dedup-groups") if path else None
     if state is None:
-        empty = table.select("doc_id", "_file", "_row", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
+        empty = table.select("doc_id", "__dedup_file", "__dedup_row", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
         return rows, empty
     groups = state.where("rows > 1")
     joined = table.join(state, ["sha", "bytes"])
-    here = (F.col("_file") == F.col("keep._file")) & (F.col("_row") == F.col("keep._row"))
+    here = (F.col("__dedup_file") == F.col("keep.__dedup_file")) & (F.col("__dedup_row") == F.col("keep.__dedup_row"))
     hits = table.join(groups, ["sha", "bytes"]).where(~here)
     if differing(rows, hits, groups):
-        full = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "_file", "_row", normalised(F.col("text")).alias("_text"))
-        own = full.groupBy("_text").agg(F.max(F.struct("doc_id", "_file", "_row")).alias("keep"), F.count(F.lit(1)).alias("rows"))
+        full = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__dedup_file", "__dedup_row", normalised(F.col("text")).alias("_text"))
+        own = full.groupBy("_text").agg(F.max(F.struct("doc_id", "__dedup_file", "__dedup_row")).alias("keep"), F.count(F.lit(1)).alias("rows"))
         joined = full.join(own, "_text").withColumn("sha", F.sha2("_text", 256))
     return rows, joined.select(
-        "doc_id", "_file", "_row", F.col("keep.doc_id").alias("keep_id"), F.col("rows").alias("group_size"), here.alias("kept"), F.col("sha").alias("text_sha256")
+        "doc_id", "__dedup_file", "__dedup_row", F.col("keep.doc_id").alias("keep_id"), F.col("rows").alias("group_size"), here.alias("kept"), F.col("sha").alias("text_sha256")
     )
 
 
@@ -141,13 +141,13 @@ def _folder(files: list[str]) -> str:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept and text_sha256; other columns are ignored."""
-    return assigned(docs.select("doc_id", "text"))[1].drop("_file", "_row")
+    return assigned(docs.select("doc_id", "text"))[1].drop("__dedup_file", "__dedup_row")
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     rows, out = assigned(docs)
-    return rows.join(out.where("kept").select("_file", "_row"), ["_file", "_row"], "left_semi").select(*docs.columns)
+    return rows.join(out.where("kept").select("__dedup_file", "__dedup_row"), ["__dedup_file", "__dedup_row"], "left_semi").select(*docs.columns)
 
 
 ORACLE = """

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timberline.llm.common import written
+from timberline.llm.common import small_side, written
 
 #: SQL of a source's domain.
 DOMAIN = "CASE WHEN source = 'src0' THEN 'crawl' WHEN length(source) <= 4 THEN 'reference' ELSE 'forum' END"
@@ -84,6 +84,7 @@ def cuts(slim: DataFrame, granted: DataFrame) -> DataFrame:
     """
     names = ["domain", "lang", "source"]
     plan = granted.selectExpr(*names, "CASE WHEN tokens > 0 THEN granted div tokens ELSE 0 END AS whole", "CASE WHEN tokens > 0 THEN granted % tokens ELSE 0 END AS rest")
+    plan = small_side(plan, "mix-plan")
     keyed = slim.join(plan, names).withColumn("key", F.expr(KEY.format("whole"))).withColumn("part", F.substring("key", 1, SPLIT))
     totals = keyed.groupBy(*names, "part").agg(F.sum("n_tokens").alias("part_tokens"))
     over = Window.partitionBy(*names).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,7 +96,7 @@ def cuts(slim: DataFrame, granted: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, share: float = 1.0, epochs: int = 2) -> DataFrame:
-    """The taken rows of ``docs`` with all their columns and _domain, _epoch and _tokens.
+    """The taken rows of ``docs`` with all their columns and __mix_domain, __mix_epoch and __mix_tokens.
 
     The budget is ``share`` of all tokens (words between white space); no row is
     taken more than ``epochs`` times. Null languages and sources are a name of
@@ -103,26 +104,26 @@ def mixed(docs: DataFrame, share: float = 1.0, epochs: int = 2) -> DataFrame:
     nothing; a null id has a place in the order like any other; rows that repeat
     an id are taken together. An empty table gives an empty result.
     """
-    own = [c for c in docs.columns if c not in ("_domain", "_epoch", "_tokens")]
+    own = [c for c in docs.columns if c not in ("__mix_domain", "__mix_epoch", "__mix_tokens")]
     slim = written(leaves(docs), "mix")
     names = ["domain", "lang", "source"]
-    cut = cuts(slim, budgets(slim, share, epochs)).select(*(F.col(c).alias(f"_m_{c}") for c in names), "whole", "cut")
-    rows = docs.select(*own).selectExpr("*", "coalesce(cast(lang AS string), '') AS _l", "coalesce(cast(source AS string), '') AS _s", f"cast({TOKENS} AS bigint) AS _tokens")
-    rows = rows.withColumn("_domain", F.expr(DOMAIN.replace("source", "_s")))
-    # the table of leaves has a row per source and language, which Spark measures before it broadcasts it
-    joined = rows.join(cut, (rows["_domain"] == cut["_m_domain"]) & (rows["_l"] == cut["_m_lang"]) & (rows["_s"] == cut["_m_source"]))
-    times = F.expr(f"whole + IF(cut IS NOT NULL AND {KEY.format('whole')} <= cut, 1, 0)").cast("int")
+    cut = cuts(slim, budgets(slim, share, epochs)).select(*(F.col(c).alias(f"__mix_m_{c}") for c in names), F.col("whole").alias("__mix_m_whole"), F.col("cut").alias("__mix_m_cut"))
+    rows = docs.select(*own).selectExpr("*", "coalesce(cast(lang AS string), '') AS __mix_l", "coalesce(cast(source AS string), '') AS __mix_s", f"cast({TOKENS} AS bigint) AS __mix_tokens")
+    rows = rows.withColumn("__mix_domain", F.expr(DOMAIN.replace("source", "__mix_s")))
+    cut = small_side(cut, "mix-cuts")
+    joined = rows.join(cut, (rows["__mix_domain"] == cut["__mix_m_domain"]) & (rows["__mix_l"] == cut["__mix_m_lang"]) & (rows["__mix_s"] == cut["__mix_m_source"]))
+    times = F.expr(f"__mix_m_whole + IF(__mix_m_cut IS NOT NULL AND {KEY.format('__mix_m_whole')} <= __mix_m_cut, 1, 0)").cast("int")
     return (
-        joined.withColumn("_times", times).where("_times > 0")
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-        .select(*own, "_domain", "_epoch", "_tokens")
+        joined.withColumn("__mix_times", times).where("__mix_times > 0")
+        .withColumn("__mix_epoch", F.explode(F.sequence(F.lit(0), F.col("__mix_times") - 1)))
+        .select(*own, "__mix_domain", "__mix_epoch", "__mix_tokens")
     )
 
 
 def mix(docs: DataFrame, share: float = 1.0, epochs: int = 2) -> DataFrame:
     """doc_id, domain, lang, source, epoch and n_tokens of every taken row."""
     out = mixed(docs.select("doc_id", "lang", "source", "text"), share, epochs)
-    return out.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"), F.col("_tokens").alias("n_tokens"))
+    return out.select("doc_id", F.col("__mix_domain").alias("domain"), "lang", "source", F.col("__mix_epoch").alias("epoch"), F.col("__mix_tokens").alias("n_tokens"))
 
 
 def oracle(share: float = 1.0, epochs: int = 2, source: str = "documents") -> str:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, written
+from timberline.llm.common import batches_by_size, small_side, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -35,8 +35,6 @@ LOCAL = 4
 MOST_HEAVY = 2_000_000
 #: Nodes of a tile that one block holds.
 BLOCK = 256
-#: Identifiers that are broadcast at most; beyond, Spark joins by shuffling.
-BROADCAST_ROWS = 1_000_000
 #: Edges of one leader that one task compares.
 CHUNK = 512
 
@@ -285,9 +283,7 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     edges = written(edges, "edges")
     ends = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).distinct()
-    needed = written(nodes.join(ends, "set_key").select("rep").distinct(), "needed")
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
+    needed = small_side(nodes.join(ends, "set_key").select("rep").distinct(), "needed")
     rows = texts(docs)
     found = rows.join(needed, rows["doc_id"].eqNullSafe(needed["rep"]), "left_semi").mapInArrow(arrays, "set_key long, items binary")
     items = written(found.join(ends, "set_key", "left_semi").dropDuplicates(["set_key"]), "arrays")
@@ -334,7 +330,7 @@ def block_pairs(postings: DataFrame, signs: DataFrame) -> DataFrame:
                 # a unit of two blocks compares across them; a pair inside one band comes up once
                 fit = (comp != r[3]) & (100 * np.minimum(n, r[4]) >= PERCENT * np.maximum(n, r[4]))
                 fit &= (blocks != r[1]) if at[2] != at[3] else True
-                fit &= (bands != at[1]) | (np.arange(len(keys)) > i) 
+                fit &= (bands != at[1]) | (np.arange(len(keys)) > i)
                 js = np.flatnonzero(fit)
                 if len(js):
                     own, others = matrix[i], matrix[js]
@@ -442,3 +438,15 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         rows.where("n > 0").join(named, "set_key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
         .unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but for those that are linked with a smaller doc_id.
+
+    Rows that share an id go or stay together, and a null id goes if a row of
+    its component has one.
+    """
+    found = linked_documents(docs)
+    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__dropped_id")).distinct()
+    dropped = small_side(dropped, "dropped")
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__dropped_id"]), "left_anti")

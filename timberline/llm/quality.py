@@ -167,25 +167,34 @@ def score(text: Column, model: tuple[list[str], list[tuple], float]) -> tuple[li
     names, weighted, intercept = model
     used = sorted({f for path, _ in weighted for f, _, _ in path})
     stats = statistics(text)
-    columns = [stats[names[f]].alias(f"_stat_{names[f]}") for f in used]
+    columns = [stats[names[f]].alias(f"__stat_{names[f]}") for f in used]
     margin = F.lit(intercept)
     for path, weight in weighted:
         rule = F.lit(True)
         for f, above, cut in path:
-            c = F.col(f"_stat_{names[f]}")
+            c = F.col(f"__stat_{names[f]}")
             rule = rule & ((c > cut) if above else (c <= cut))
         margin = margin + F.when(rule, F.lit(weight)).otherwise(F.lit(0.0))
     return columns, 1 / (1 + F.exp(-margin))
 
 
+def accepted(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the limit, with all their columns."""
+    own = docs.columns
+    columns, value = score(F.col("text"), model)
+    # the row number keeps the filter above the projection, which else would compute every statistic for every rule
+    rows = docs.select("*", *columns, F.monotonically_increasing_id().alias("__stat_row"))
+    return rows.where(value >= limit).select(*own)
+
+
 def scored(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
-    """doc_id, text hash aside: every row with held_out, score and predicted; other columns are kept as they are.
+    """Every row with held_out, score and predicted; other columns are kept as they are.
 
     A null text counts as empty and gets a score; a null id is not held out;
     rows that repeat get the same score; an empty table gives an empty result.
     Columns of the input named held_out, score or predicted are replaced.
     """
-    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and not c.startswith("_stat_")]
+    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and not c.startswith("__stat_")]
     columns, value = score(F.col("text"), model)
     return (
         docs.select(*own, *columns)
