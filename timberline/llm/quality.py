@@ -184,7 +184,7 @@ def accepted(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
     columns, value = score(F.col("text"), model)
     # the row number keeps the filter above the projection, which else would compute every statistic for every rule
     rows = docs.select("*", *columns, F.monotonically_increasing_id().alias("__stat_row"))
-    return rows.where(value >= limit).select(*own)
+    return rows.where((value >= limit) & (F.col("__stat_row") >= 0)).select(*own)
 
 
 def scored(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
