@@ -22,6 +22,9 @@ from timberline.llm.common import shared_dir, written
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
 }
 #: Files of digests that one micro-batch takes.
 FILES_PER_BATCH = 2000
