@@ -44,6 +44,17 @@ def small_side(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of jobs that have ended and whose tables are written.
+
+    They go when the driver collects its garbage, which it may not do for long.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that an operator has written and no longer reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

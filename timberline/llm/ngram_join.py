@@ -19,10 +19,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, small_side, written
+from timberline.llm.common import batches_by_size, release, small_side, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -35,10 +35,24 @@ LOCAL = 4
 MOST_HEAVY = 2_000_000
 #: Nodes of a tile that one block holds.
 BLOCK = 256
+#: Rows of one shingle that a task holds together.
+HOLD = 100_000
 #: Edges of one leader that one task compares.
 CHUNK = 512
 
-_WORDS: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, computed when they first come up."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_WORDS = _Hashes()
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -50,16 +64,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: bytes | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles: uint64, empty without words."""
-    import xxhash
-
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_WORDS) > 400_000:
+    if len(_WORDS) > 600_000:
         _WORDS.clear()
-    for w in words:
-        if w not in _WORDS:
-            _WORDS[w] = xxhash.xxh3_64_intdigest(w)
     h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     k = min(WORDS, len(h))
     n = len(h) - k + 1
@@ -189,48 +198,80 @@ def signatures(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     return written(texts(docs).mapInArrow(run, "set_key long, n long, band int, bits binary, first array<long>"), "signatures")
 
 
-def star_edges(postings: DataFrame) -> DataFrame:
-    """Nodes of a tile with the tile's first two nodes and the first of the next smaller band's tile: member, leader."""
+def stars(postings: DataFrame) -> DataFrame:
+    """kind 0: a node and one of the first two nodes of its tile, or the first of the next smaller band's tile (x, y).
+    kind 1: shingle, node and band (x, y, z) of the tiles that these pairs don't cover.
+
+    Rows come sorted by shingle, band and node; a shingle's rows are held until
+    it is complete, or up to ``HOLD`` rows, of which no tile is covered anyway.
+    """
 
     def run(batches):
         import pyarrow as pa
 
-        carry = None
-        for batch in batches:
-            t, b, k = (c.to_numpy() for c in batch.columns)
-            if carry is not None:
-                t, b, k = (np.concatenate([x, y]) for x, y in zip(carry, (t, b, k)))
+        def out(t, b, k, hot):
+            fresh = np.ones(len(t), bool)
+            fresh[1:] = (t[1:] != t[:-1]) | (b[1:] != b[:-1]) | (k[1:] != k[:-1])
+            t, b, k = t[fresh], b[fresh], k[fresh]
             tile = np.ones(len(t), bool)
             tile[1:] = (t[1:] != t[:-1]) | (b[1:] != b[:-1])
-            fresh = tile.copy()
-            fresh[1:] |= k[1:] != k[:-1]
-            t, b, k, tile = t[fresh], b[fresh], k[fresh], tile[fresh]
             start = np.flatnonzero(tile)
             own = np.cumsum(tile) - 1
             place = np.arange(len(t)) - start[own]
-            one = k[start]
-            two = k[np.minimum(start + 1, len(k) - 1)]
+            one, two = k[start], k[np.minimum(start + 1, len(k) - 1)]
             before = np.zeros(len(start), bool)
             before[1:] = (t[start[1:]] == t[start[:-1]]) & (b[start[1:]] == b[start[:-1]] + 1)
             later, third, lower = place > 0, place > 1, before[own]
-            members = np.concatenate([k[later], k[third], k[lower]])
-            leaders = np.concatenate([one[own[later]], two[own[third]], one[own[lower] - 1]])
-            differ = members != leaders
-            members, leaders = members[differ], leaders[differ]
-            if len(members):
-                order = np.lexsort((leaders, members))
-                members, leaders = members[order], leaders[order]
-                new = np.ones(len(members), bool)
-                new[1:] = (members[1:] != members[:-1]) | (leaders[1:] != leaders[:-1])
-                at = np.flatnonzero(new)
-                votes = np.diff(np.append(at, len(members)))
-                yield pa.RecordBatch.from_arrays([pa.array(members[at]), pa.array(leaders[at]), pa.array(votes.astype(np.int64))], names=["member", "leader", "votes"])
-            # the next batch may go on with the last tile, or with its token's next band
-            keep = sorted({int(start[-2]) if len(start) > 1 else int(start[-1]), int(start[-1]), min(int(start[-1]) + 1, len(t) - 1), len(t) - 1})
-            carry = t[keep], b[keep], k[keep]
+            x = np.concatenate([k[later], k[third], k[lower]])
+            y = np.concatenate([one[own[later]], two[own[third]], one[own[lower] - 1]])
+            order = np.lexsort((y, x))
+            x, y = x[order], y[order]
+            new = x != y
+            new[1:] &= (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+            x, y = x[new], y[new]
+            token = np.ones(len(t), bool)
+            token[1:] = t[1:] != t[:-1]
+            first = np.flatnonzero(token)
+            of = np.cumsum(token) - 1
+            size = np.diff(np.append(first, len(t)))
+            bands = np.bincount(of[start], minlength=len(first))
+            crowded = ((size > 3) | ((size == 3) & (bands > 1)))[of]
+            if hot is not None:
+                crowded |= t == hot
+            t, b, k = t[crowded], b[crowded].astype(np.int64), k[crowded]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array([0, 1], np.int32), [len(x), len(t)])), pa.array(np.concatenate([x, t])), pa.array(np.concatenate([y, k])), pa.array(np.concatenate([np.zeros(len(x), np.int64), b]))],
+                names=["kind", "x", "y", "z"],
+            )
+
+        held, hot = None, None
+        for batch in batches:
+            t, b, k = (c.to_numpy() for c in batch.columns)
+            if held is not None:
+                t, b, k = (np.concatenate([x, y]) for x, y in zip(held, (t, b, k)))
+            if not len(t):
+                continue
+            last = int(np.searchsorted(t, t[-1]))
+            if len(t) - last < HOLD:
+                held = t[last:], b[last:], k[last:]
+                if last:
+                    yield out(t[:last], b[:last], k[:last], hot)
+                    hot = None if t[last] != hot else hot
+                continue
+            hot = t[-1]
+            yield out(t, b, k, hot)
+            # the first nodes of the last two tiles go on, so that what follows meets them too
+            tiles = np.flatnonzero(np.append(True, b[last + 1 :] != b[last:-1])) + last
+            keep = {len(t) - 1}
+            for x in tiles[-2:].tolist():
+                keep |= {x, *(x + np.flatnonzero(k[x:] != k[x])[:1]).tolist()}
+            keep = sorted(keep)
+            held = t[keep], b[keep], k[keep]
+        if held is not None:
+            yield out(*held, hot)
 
     tiles = postings.select("token", "band", "set_key").repartition("token").sortWithinPartitions("token", "band", "set_key")
-    return tiles.mapInArrow(run, "member long, leader long, votes long")
+    return written(tiles.mapInArrow(run, "kind int, x long, y long, z long"), "stars")
 
 
 def bounded_edges(edges: DataFrame, signs: DataFrame) -> DataFrame:
@@ -281,22 +322,20 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-    edges = written(edges, "edges")
-    ends = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).distinct()
-    needed = small_side(nodes.join(ends, "set_key").select("rep").distinct(), "needed")
-    rows = texts(docs)
-    found = rows.join(needed, rows["doc_id"].eqNullSafe(needed["rep"]), "left_semi").mapInArrow(arrays, "set_key long, items binary")
-    items = written(found.join(ends, "set_key", "left_semi").dropDuplicates(["set_key"]), "arrays")
-
+    edges = written(edges.distinct(), "edges")
     chunks = edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    dealt = edges.join(chunks, "b").withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int"))
-    members = dealt.join(items, F.col("a") == F.col("set_key")).select("b", "chunk", "a", "items")
-    leaders = (
-        chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .join(items, F.col("b") == F.col("set_key")).select("b", "chunk", F.lit(None).cast("long").alias("a"), "items")
-    )
-    lines = members.unionByName(leaders).repartition("b", "chunk").sortWithinPartitions("b", "chunk", F.col("a").asc_nulls_first())
-    return written(lines.mapInArrow(compare, "a long, b long"), "links")
+    members = edges.join(chunks, "b").select(F.col("a").alias("key"), "b", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("chunk"), "a")
+    leaders = chunks.select(F.col("b").alias("key"), "b", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("long").alias("a"))
+    roles = small_side(members.unionByName(leaders), "roles")
+    needed = nodes.join(edges.select(F.col("a").alias("set_key")).union(edges.select("b")).distinct(), "set_key")
+    needed = small_side(needed.select("rep").distinct(), "needed")
+    rows = texts(docs)
+    items = rows.join(needed, rows["doc_id"].eqNullSafe(needed["rep"]), "left_semi").mapInArrow(arrays, "set_key long, items binary")
+    lines = items.join(roles, items["set_key"] == roles["key"]).select("b", "chunk", "a", "items")
+    lines = lines.repartition("b", "chunk").sortWithinPartitions("b", "chunk", F.col("a").asc_nulls_first())
+    links = written(lines.mapInArrow(compare, "a long, b long").distinct(), "links")
+    release(docs.sparkSession)
+    return links
 
 
 def block_pairs(postings: DataFrame, signs: DataFrame) -> DataFrame:
@@ -394,23 +433,15 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = sets(docs)
     nodes = rows.where("kind = 0 and n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     signs_all = signatures(docs, frequent(rows))
-    # copies that different batches hold come up once
-    postings = signs_all.select("set_key", "band", F.explode("first").alias("token"))
-    votes = star_edges(postings).groupBy("member", "leader").agg(F.sum("votes").alias("votes"))
-    votes = written(votes, "votes")
-    signs = signs_all.drop("first").join(
-        votes.select(F.col("member").alias("set_key")).union(votes.select("leader")).distinct(), "set_key", "left_semi"
-    ).dropDuplicates(["set_key"])
-    signs = written(signs, "signs")
-    best = Window.partitionBy("member").orderBy(F.desc("votes"), "leader")
-    stars = votes.withColumn("rank", F.row_number().over(best)).where("rank <= 2").select(F.col("member").alias("a"), F.col("leader").alias("b"))
-    links = verified(bounded_edges(stars, signs), docs, nodes)
+    found = stars(signs_all.select("set_key", "band", F.explode("first").alias("token")))
+    release(docs.sparkSession)
+    edges = found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    crowded = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("set_key"), F.col("z").cast("int").alias("band")).distinct()
+    met = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).union(crowded.select("set_key")).distinct()
+    signs = written(signs_all.select("set_key", "n", "bits").join(met, "set_key", "left_semi").dropDuplicates(["set_key"]), "signs")
+    links = verified(bounded_edges(edges, signs), docs, nodes)
     first = components(links)
-
-    active = signs.select("set_key").join(first.withColumnRenamed("id", "set_key"), "set_key", "left").select("set_key", F.coalesce("comp", "set_key").alias("comp"))
-    active = written(active, "active")
-    again = signs_all.select("set_key", "band", "first").join(active, "set_key").dropDuplicates(["set_key"])
-    tiles = again.select("set_key", "band", "comp", F.explode("first").alias("token"))
+    tiles = crowded.join(first.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
     rest = verified(block_pairs(tiles, signs), docs, nodes)
     if rest.isEmpty():
         labels = first
