@@ -42,10 +42,7 @@ def counter_rate(samples: DataFrame, keys: list[str], at: str, value: str, width
     of = Window.partitionBy(*keys).orderBy(at)
     before = F.lag(value).over(of)
     grown = F.when(before.isNull(), F.lit(0)).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    steps = samples.withColumn("_up", grown)
-    first = (F.ceil(F.col(at) / step) * step).cast("bigint")
-    ticks = steps.withColumn("tick", F.explode(F.sequence(first, first + (width - 1) // step * step, F.lit(step).cast("bigint"))))
-    return ticks.where(F.col("tick") - F.col(at) < width).groupBy(*keys, "tick").agg((F.sum("_up") / float(width)).alias("rate"))
+    return rate_of(samples.withColumn("_up", grown), keys, at, "_up", width, step)
 
 
 def snapshot_delta(after: DataFrame, before: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -61,3 +58,10 @@ def sum_by(samples: DataFrame, labels: list[str], value: str) -> DataFrame:
 def clamped_ms(later: Column, earlier: Column) -> Column:
     """Milliseconds between two times, none below 0."""
     return F.greatest((F.unix_micros(later) - F.unix_micros(earlier)) / 1000.0, F.lit(0.0))
+
+
+def rate_of(increases: DataFrame, keys: list[str], at: str, up: str, width: int, step: int) -> DataFrame:
+    """keys, tick and increases a second over the last ``width`` seconds, every ``step`` seconds."""
+    first = (F.ceil(F.col(at) / step) * step).cast("bigint")
+    ticks = increases.withColumn("tick", F.explode(F.sequence(first, first + (width - 1) // step * step, F.lit(step).cast("bigint"))))
+    return ticks.where(F.col("tick") - F.col(at) < width).groupBy(*keys, "tick").agg((F.sum(up) / float(width)).alias("rate"))

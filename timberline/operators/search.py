@@ -134,21 +134,9 @@ def fetch(logs: DataFrame, query: Query) -> tuple[list, SortKey | None]:
     return rows, SortKey(rows[-1]["_ms"], rows[-1]["id"]) if rest else None
 
 
-def numbered(logs: DataFrame, size: int, partitions: int | None = None) -> DataFrame:
-    """Every row with its place and page in the total order, without bringing all rows to one task.
-
-    Rows are dealt by ranges of the order; a range's rows are numbered on their
-    own and moved on by the counts of the ranges before, one row each.
-    """
-    from pyspark.sql import Window
-
-    keyed = logs.withColumn("_ms", ms())
-    order = [F.col("_ms").desc(), F.col("id").desc()]
-    dealt = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
-    dealt = dealt.withColumn("_range", F.spark_partition_id())
-    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
-    place = F.col("_before") + F.col("_own")
-    return own.join(F.broadcast(offsets), "_range").withColumn("place", place).withColumn("page", F.floor((place - 1) / size).cast("bigint")).drop("_range", "_before", "_own")
+def numbered(logs: DataFrame, size: int) -> DataFrame:
+    """Every row with its place and page in the total order."""
+    from timberline.operators.ranking import ranked
+
+    out = ranked(logs.withColumn("_ms", ms()), [F.col("_ms").desc(), F.col("id").desc()])
+    return out.withColumn("page", F.floor((F.col("place") - 1) / size).cast("bigint"))
