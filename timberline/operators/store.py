@@ -34,6 +34,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType([*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType())])).parquet(path)
 
 
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The store with one row per id over all days.
+
+    A record without a time of its own that is read again after midnight lies in
+    two days; this keeps its last write.
+    """
+    return last_write(read(spark, path))
+
+
 def upsert(spark: SparkSession, path: str, entries: DataFrame, staging: str) -> int:
     """Write entries, rewriting only the days that they touch; returns how many days those are.
 
