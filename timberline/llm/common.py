@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from array import array
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,10 +94,15 @@ class IdEncoder:
     text's ids are those of its chunks between spaces and line feeds, one after
     the other. The library encodes a chunk when it comes up; tables keep at most
     twice ``capacity`` chunks: when the younger one is full it becomes the older
-    one, and chunks that are met again move to the younger.
+    one, and chunks that are met again move to the younger. New words are encoded
+    as one text, which is split where ids end a word; chunks of any other shape
+    are encoded each for itself. Texts that the vocabulary lower-cases anyway
+    share the lower-case chunks.
     """
 
-    def __init__(self, path: str, capacity: int = 600_000):
+    STOPS = frozenset(",.;:!?")
+
+    def __init__(self, path: str, capacity: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -105,6 +111,10 @@ class IdEncoder:
         self.capacity = capacity
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AbZ") == "abz"
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out = []
@@ -113,7 +123,12 @@ class IdEncoder:
         return out
 
     def _encoded(self, texts: list[str | None]) -> list[bytes]:
-        chunks = [(x or "").replace("\n", " ").split(" ") for x in texts]
+        chunks = []
+        for x in texts:
+            x = (x or "").replace("\n", " ")
+            if self.lowers and x.isascii() and "<|" not in x:
+                x = x.lower()
+            chunks.append(x.split(" "))
         seen = set().union(*chunks)
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
@@ -122,14 +137,32 @@ class IdEncoder:
         if old:
             table.update((x, old[x]) for x in missing if x in old)
             missing = [x for x in missing if x not in table]
-        for i in range(0, len(missing), 20_000):
-            part = missing[i : i + 20_000]
+        words = [x for x in missing if x.isalpha() or (x[:-1].isalpha() and x[-1] in self.STOPS)]
+        for i in range(0, len(words), 10_000):
+            self._add_words(table, words[i : i + 10_000])
+        missing = [x for x in missing if x not in table]
+        for i in range(0, len(missing), 10_000):
+            part = missing[i : i + 10_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 table[word] = array("I", e.ids).tobytes()
         get = table.__getitem__
         return [b"".join(map(get, x)) for x in chunks]
 
 
+    def _add_words(self, table: dict[str, bytes], words: list[str]) -> None:
+        """Encode words, some with one mark behind, together; none if their number of word ends is another than expected."""
+        (e,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(e.ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        last = np.cumsum([1 if x.isalpha() else 2 for x in words])
+        if len(ends) != last[-1]:
+            return
+        data, at = ids.tobytes(), 0
+        for word, to in zip(words, (4 * ends[last - 1]).tolist()):
+            table[word] = data[at:to]
+            at = to
+
+
 def id_encoder(path: str) -> IdEncoder:
     """This worker's encoder for a vocabulary file."""
     import os
