@@ -28,7 +28,8 @@ LANES = 2048
 #: Lower bound of a state between two steps; states stay under 2 ** 63.
 LOW = 1 << 31
 
-RUNS = "pid int, seq long, doc_id long, ids binary"
+#: Rows of a run are numbered from 0; row -1 holds the counts of its ids.
+RUNS = "pid int, seq long, doc_id long, ids binary, counts binary"
 BLOCKS = (
     "pid int, seq long, n_docs long, n_tokens long, doc_ids array<long>, lengths array<long>, "
     "lanes int, states binary, words binary, ids_crc32 long, coded_crc32 long"
@@ -117,15 +118,25 @@ def sorted_runs(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         from pyspark import TaskContext
 
         encoder, end, pid, seq = id_encoder(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        total = np.zeros(0, np.int64)
+
+        def rows(seqs, ids, data, counts):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pid] * len(seqs), pa.int32()), pa.array(seqs, pa.int64()), ids, pa.array(data, pa.binary()), pa.array(counts, pa.binary())],
+                names=["pid", "seq", "doc_id", "ids", "counts"],
+            )
+
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in batches_by_size(texts):
                 data = [x + end for x in encoder.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([pid] * (b - a), pa.int32()), pa.array(range(seq, seq + b - a), pa.int64()), ids.slice(a, b - a), pa.array(data, pa.binary())],
-                    names=["pid", "seq", "doc_id", "ids"],
-                )
+                c = np.bincount(np.frombuffer(b"".join(data), "<u4"), minlength=len(total))
+                c[: len(total)] += total
+                total = c
+                yield rows(range(seq, seq + b - a), ids.slice(a, b - a), data, [None] * (b - a))
                 seq += b - a
+        if seq:
+            yield rows([-1], pa.nulls(1, pa.int64()), [b""], [total.astype("<i8").tobytes()])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(run, RUNS)
@@ -137,17 +148,13 @@ def id_counts(runs: DataFrame) -> Table:
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0):
-                c = np.bincount(np.frombuffer(data.as_buffer(), "<u4"))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
-
-    rows = runs.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+                total = np.frombuffer(data.as_buffer(), "<i8")
+                ids = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
+
+    rows = runs.where("seq < 0").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     if not rows:
         return Table(np.array([END_ID]), np.array([1]))
     return Table(np.array([r.id for r in rows]), np.array([r.n for r in rows]))
@@ -191,7 +198,7 @@ def coded(runs: DataFrame, table, block_tokens: int) -> DataFrame:
         if held:
             yield block()
 
-    return runs.mapInArrow(run, BLOCKS)
+    return runs.where("seq >= 0").drop("counts").mapInArrow(run, BLOCKS)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> None:
