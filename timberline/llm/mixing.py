@@ -101,7 +101,7 @@ def mixed(docs: DataFrame, share: float = 1.0, epochs: int = 2) -> DataFrame:
     The budget is ``share`` of all tokens (words between white space); no row is
     taken more than ``epochs`` times. Null languages and sources are a name of
     their own, the empty one; null and empty texts have no tokens and cost
-    nothing; a null id has a place in the order like any other; rows that repeat
+    nothing, and a leaf of such alone is taken once; a null id has a place in the order like any other; rows that repeat
     an id are taken together. An empty table gives an empty result.
     """
     own = [c for c in docs.columns if c not in ("__mix_domain", "__mix_epoch", "__mix_tokens")]
