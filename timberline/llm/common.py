@@ -163,14 +163,15 @@ class IdEncoder:
             at = to
 
 
-def id_encoder(path: str) -> IdEncoder:
+def id_encoder(path: str, capacity: int = 700_000) -> IdEncoder:
     """This worker's encoder for a vocabulary file."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = IdEncoder(path)
-    return _TOKENIZERS[path]
+    if (path, capacity) not in _TOKENIZERS:
+        _TOKENIZERS.clear()
+        _TOKENIZERS[path, capacity] = IdEncoder(path, capacity)
+    return _TOKENIZERS[path, capacity]
 
 
 def batches_by_size(texts: list[str | None], limit: int = 4_000_000):

@@ -25,6 +25,8 @@ END_ID = 1
 SCALE = 20
 BLOCK_TOKENS = 1 << 18
 LANES = 2048
+#: Encoded chunks that each of a worker's two tables keeps, beside the sort that feeds it.
+CHUNKS = 250_000
 #: Lower bound of a state between two steps; states stay under 2 ** 63.
 LOW = 1 << 31
 
@@ -117,7 +119,7 @@ def sorted_runs(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder, end, pid, seq = id_encoder(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        encoder, end, pid, seq = id_encoder(tokenizer, CHUNKS), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
         total = np.zeros(0, np.int64)
 
         def rows(seqs, ids, data, counts):
