@@ -9,8 +9,8 @@ shingle arrays.
 
 Tiles are worked off in two rounds, so that a group of copies costs links in
 proportion to its size. First every node is compared with the first nodes of
-its tiles only. Then all pairs of a tile whose nodes are not connected yet are
-tried, in blocks of at most ``BLOCK`` nodes each. No pair of different
+its tiles only. Then all pairs whose nodes are not connected yet are tried, in
+groups of tiles and in blocks of about ``BLOCK`` nodes each. No pair of different
 components is left out, and pairs inside a component can't change it.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timberline.llm.common import batches_by_size, release, small_side, written
@@ -35,6 +35,8 @@ LOCAL = 4
 MOST_HEAVY = 2_000_000
 #: Nodes of a tile that one block holds.
 BLOCK = 256
+#: Nodes of a group from which its main component is tried first, how many of that one's nodes, and how often.
+LARGE, CENTRAL, ROUNDS = 24, 6, 2
 #: Rows of one shingle that a task holds together.
 HOLD = 100_000
 #: Edges of one leader that one task compares.
@@ -338,67 +340,80 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return links
 
 
-def block_pairs(postings: DataFrame, signs: DataFrame) -> DataFrame:
-    """Pairs of one tile's nodes in different components that bit counts allow: a, b.
+def groups(postings: DataFrame) -> DataFrame:
+    """lead, set_key, band, comp: the nodes of all crowded shingles that share their smallest node, once each.
 
-    ``postings`` has token, band, set_key and comp. Tiles of one component are
-    left out; others are cut into blocks, and every pair of blocks is one unit.
+    ``postings`` has token, set_key, band and comp. Two nodes with a common
+    shingle share a group; shingles of one component's nodes are left out.
     """
+    tokens = postings.groupBy("token").agg(F.min("set_key").alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return written(postings.join(tokens.select("token", "lead"), "token").select("lead", "set_key", "band", "comp").distinct(), "groups")
 
-    def run(batches):
-        import pyarrow as pa
 
-        at, held = None, []
+def central_edges(found: DataFrame, seed: int) -> DataFrame:
+    """Nodes of large groups with a few nodes of their group's largest component: a, b."""
+    large = found.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("lead")
+    nodes = found.join(large, "lead")
+    sizes = nodes.groupBy("lead", "comp").agg(F.count(F.lit(1)).alias("size"))
+    top = sizes.groupBy("lead").agg(F.max(F.struct("size", "comp")).alias("t")).select("lead", F.col("t.comp").alias("comp"))
+    members = nodes.join(top, ["lead", "comp"]).select("lead", "set_key", F.xxhash64("set_key", F.lit(seed)).alias("h"))
+    first = Window.partitionBy("lead").orderBy("h")
+    center = members.withColumn("r", F.row_number().over(first)).where(F.col("r") <= CENTRAL).select("lead", F.col("set_key").alias("b"))
+    others = nodes.join(top.withColumnRenamed("comp", "main"), "lead").where("comp <> main").select("lead", F.col("set_key").alias("a"))
+    return others.join(center, "lead").select("a", "b").distinct()
 
-        def pairs(rows):
-            out = []
-            home = [r for r in rows if r[0] == at[1]]
-            sizes = {len(r[5]) for r in rows}
-            size = min(sizes)
-            bits = {r[2]: folded(np.frombuffer(r[5], np.uint8), size) for r in rows}
-            keys = list(bits)
-            info = {r[2]: r for r in rows}
-            matrix = np.stack([bits[k] for k in keys])
-            n = np.array([info[k][4] for k in keys])
-            comp = np.array([info[k][3] for k in keys])
-            blocks = np.array([info[k][1] for k in keys])
-            bands = np.array([info[k][0] for k in keys])
-            index = {k: i for i, k in enumerate(keys)}
-            for r in home:
-                i = index[r[2]]
-                # a unit of two blocks compares across them; a pair inside one band comes up once
-                fit = (comp != r[3]) & (100 * np.minimum(n, r[4]) >= PERCENT * np.maximum(n, r[4]))
-                fit &= (blocks != r[1]) if at[2] != at[3] else True
-                fit &= (bands != at[1]) | (np.arange(len(keys)) > i)
+
+def block_pairs(found: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs of one group's nodes in different components that bit counts allow: a, b.
+
+    Groups are cut into blocks, and every pair of blocks is one unit.
+    """
+
+    def pairs(rows):
+        out = set()
+        n = np.array([r[3] for r in rows], np.int64)
+        bands, blocks, comps, keys = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 2, 4))
+        across = blocks.min() != blocks.max()
+        for own in np.unique(bands).tolist():
+            # a band's nodes against each other and those of the next larger band, in bitmaps of one size
+            at = np.flatnonzero((bands == own) | (bands == own + 1))
+            size = min(len(rows[i][5]) for i in at)
+            bits = np.stack([folded(np.frombuffer(rows[i][5], np.uint8), size) for i in at])
+            m, c, k, bl, home = n[at], comps[at], keys[at], blocks[at], bands[at] == own
+            for i in np.flatnonzero(home).tolist():
+                fit = (c != c[i]) & (~home | (np.arange(len(at)) > i)) & (100 * np.minimum(m, m[i]) >= PERCENT * np.maximum(m, m[i]))
+                if across:
+                    fit &= bl != bl[i]
                 js = np.flatnonzero(fit)
                 if len(js):
-                    own, others = matrix[i], matrix[js]
-                    good = may_link(r[4], n[js], np.bitwise_count(own & ~others).sum(1, dtype=np.int64), np.bitwise_count(others & ~own).sum(1, dtype=np.int64))
-                    out += [(r[2], keys[j]) for j in js[good].tolist()]
-            return out
+                    x, y = bits[i], bits[js]
+                    good = may_link(m[i], m[js], np.bitwise_count(x & ~y).sum(1, dtype=np.int64), np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
+                    out.update((min(k[i], j), max(k[i], j)) for j in k[js[good]].tolist())
+        return sorted(out)
 
+    def run(batches):
+        import pyarrow as pa
+
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+        at, held = None, []
         for batch in batches:
-            found = set()
-            for token, tile, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != (token, tile, i, j):
+            for lead, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != (lead, i, j):
                     if len(held) > 1:
-                        found.update(pairs(held))
-                    at, held = (token, tile, i, j), []
+                        yield batch_of(pairs(held))
+                    at, held = (lead, i, j), []
                 held.append(row)
-            found = sorted({(min(p), max(p)) for p in found})
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
         if len(held) > 1:
-            found = sorted({(min(p), max(p)) for p in pairs(held)})
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-
-    tiles = postings.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo <> hi")
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    rows = postings.join(tiles.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
-    # each node stands in its band's tile and as a guest in that of the next smaller band, in every unit of its block
-    rows = rows.withColumn("tile", F.explode(F.array("band", F.col("band") - 1))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("token", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "set_key", "comp")
-    rows = rows.join(signs.select("set_key", "n", "bits"), "set_key").select("token", "tile", "i", "j", "band", "block", "set_key", "comp", "n", "bits")
-    units = rows.repartition("token", "tile", "i", "j").sortWithinPartitions("token", "tile", "i", "j")
+            yield batch_of(pairs(held))
+
+    blocks = found.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = found.join(blocks, "lead").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "comp", "set_key")
+    rows = rows.join(signs.select("set_key", "n", "bits"), "set_key").select("lead", "i", "j", "band", "block", "comp", "n", "set_key", "bits")
+    units = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
     return units.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -427,6 +442,11 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds comp: a node's component, itself where it has none."""
+    return postings.join(labels.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
+
+
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): doc_id, n and set_key of every row; set_key and comp of every node that has a link."""
     docs = docs.select("doc_id", "text")
@@ -440,12 +460,18 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).union(crowded.select("set_key")).distinct()
     signs = written(signs_all.select("set_key", "n", "bits").join(met, "set_key", "left_semi").dropDuplicates(["set_key"]), "signs")
     links = verified(bounded_edges(edges, signs), docs, nodes)
-    first = components(links)
-    tiles = crowded.join(first.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
-    rest = verified(block_pairs(tiles, signs), docs, nodes)
-    if rest.isEmpty():
-        labels = first
-    else:
+    labels = components(links)
+    # large clouds of copies: their members that a first node missed meet nodes of the cloud's main component
+    for seed in range(ROUNDS):
+        found = groups(labelled(crowded, labels))
+        edges = written(bounded_edges(central_edges(found, seed), signs), "central")
+        if edges.isEmpty():
+            break
+        more = verified(edges, docs, nodes)
+        links = links.union(more)
+        labels = components(links)
+    rest = verified(block_pairs(groups(labelled(crowded, labels)), signs), docs, nodes)
+    if not rest.isEmpty():
         labels = components(links.union(rest))
     return rows.where("kind = 0").select("doc_id", "n", "set_key"), labels.withColumnRenamed("id", "set_key")
 
