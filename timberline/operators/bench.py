@@ -62,3 +62,8 @@ def mann_whitney_p(a: list[float], b: list[float]) -> float:
 def strided(n: int, workers: int, worker: int, offset: int) -> list[int]:
     """Targets of a worker: every ``workers``-th from its own place on."""
     return [(worker + offset + i * workers) % n for i in range(-(-(n - worker) // workers))] if n else []
+
+
+def nearest_rank_value(ordered: list[float], p: float) -> float:
+    """The same percentile of a sorted list; 0 if it is empty."""
+    return ordered[max(0, math.ceil(len(ordered) * p / 100) - 1)] if ordered else 0.0

@@ -356,3 +356,37 @@ def docker_stats(spark, d):
 
     lines = table(spark, d, "orders").select(F.format_string("%s cpu=%.1f%% mem=1MiB", "o_orderstatus", F.col("o_orderkey") % 400 / 2.0).alias("value"))
     return parse_stats(lines).groupBy("container").agg(F.round(F.avg("cpu"), 6).alias("mean"), F.max("cpu").alias("peak"))
+
+
+@query(
+    "rate_quantile",
+    f"""WITH f AS (SELECT event_type, epoch_us(ts) // 3600000000 AS hour, value FROM events),
+    h AS (SELECT hour, b AS bound, count_if(value <= b)::BIGINT AS n FROM f, (SELECT unnest([1.0, 4.0, 16.0, 64.0, 256.0, 'Infinity'::DOUBLE]) AS b) GROUP BY hour, b),
+    l AS (SELECT *, lag(bound, 1, 0.0) OVER o AS b0, lag(n, 1, 0) OVER o AS c0, max(n) OVER (PARTITION BY hour) AS total FROM h WINDOW o AS (PARTITION BY hour ORDER BY bound))
+    SELECT hour, round(CASE WHEN isinf(bound) THEN b0 ELSE b0 + (bound - b0) * (0.5 * total - c0) / (n - c0) END, 6) AS p50 FROM l WHERE n >= 0.5 * total AND c0 < 0.5 * total""",
+)
+def rate_quantile(spark, d):
+    """Median of each hour's increase of a histogram, summed over its series."""
+    e = table(spark, d, "events").select("event_type", "value", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000).alias("hour"))
+    per = metrics.cumulative_histogram(e, ["event_type", "hour"], "value", [1.0, 4.0, 16.0, 64.0, 256.0])
+    summed = per.groupBy("hour", "bound").agg(F.sum("count").alias("count"))
+    return metrics.histogram_quantile(summed, ["hour"], 0.5).select("hour", F.round("value", 6).alias("p50"))
+
+
+@query("label_filter", with_logs("""SELECT l."offset", n.n_name AS host FROM logs l JOIN nation n ON n.n_nationkey = l."offset" % 25 JOIN region r ON r.r_regionkey = n.n_regionkey WHERE r.r_name = 'ASIA'"""))
+def label_filter(spark, d):
+    """Lines of the containers that a label selects, with the container's name as host."""
+    from timberline.sources.containers import named
+
+    path = lambda key: F.concat(F.lit("/var/lib/containers/"), key.cast("string"))
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    containers = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        path(F.col("n_nationkey")).alias("folder"), F.col("n_name").alias("name"), F.create_map(F.lit("app"), "r_name").alias("labels")
+    )
+    lines = logs_from_events(spark, d).select("offset", F.concat(path(F.col("offset") % 25), F.lit("/json.log")).alias("source"))
+    return named(lines, containers, "app=ASIA").select("offset", "host")
+
+
+@query("tail_projection", with_logs("""SELECT id, service, (epoch_us("timestamp") // 1000) AS ts_ms, level, message, host, source, "offset" FROM logs"""))
+def tail_projection(spark, d):
+    return events(logs_from_events(spark, d)).select("id", "service", F.unix_millis("timestamp").alias("ts_ms"), "level", "message", "host", "source", "offset")
