@@ -17,6 +17,7 @@ components is left out, and pairs inside a component can't change it.
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -27,16 +28,16 @@ from timberline.llm.common import batches_by_size, release, small_side, written
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Shingles that at least so many chunks' documents share come last in the order.
-HEAVY = 64
+#: Shingles that so many documents share, by what is counted in chunks, come last in the order.
+HEAVY = 24
 #: Occurrences within a chunk of the input from which a shingle is counted.
-LOCAL = 4
+LOCAL = 2
 #: Frequent shingles that are told apart at most; more only lose their place at the order's end.
 MOST_HEAVY = 2_000_000
 #: Nodes of a tile that one block holds.
 BLOCK = 256
 #: Nodes of a group from which its main component is tried first, how many of that one's nodes, and how often.
-LARGE, CENTRAL, ROUNDS = 24, 6, 2
+LARGE, CENTRAL, ROUNDS = 24, 12, 2
 #: Rows of one shingle that a task holds together.
 HOLD = 100_000
 #: Edges of one leader that one task compares.
@@ -55,7 +56,7 @@ class _Hashes(dict):
 
 
 _WORDS = _Hashes()
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_A = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -64,20 +65,36 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles: uint64, empty without words."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_WORDS) > 600_000:
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles: uint64, empty without words."""
+    words = [(x or b"").lower().split() for x in texts]
+    if len(_WORDS) > 300_000:
         _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    k = min(WORDS, len(h))
-    n = len(h) - k + 1
-    acc = np.full(n, k, np.uint64)
-    for j in range(k):
-        acc = _mixed(acc * _A + h[j : j + n]) + _B
-    return np.unique(acc)
+    lengths = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, int(lengths.sum()))
+    del words
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+
+    def hashed(h: np.ndarray, k: int) -> np.ndarray:
+        n = len(h) - k + 1
+        acc = np.full(max(n, 0), k, np.uint64)
+        for j in range(k if n > 0 else 0):
+            acc *= _A
+            acc += h[j : j + n]
+        return _mixed(acc)
+
+    # one pass over all texts; what begins in one and ends in the next is never read
+    rolled = hashed(h, WORDS)
+    none = np.zeros(0, np.uint64)
+    return [
+        none if n == 0 else np.unique(rolled[a : a + n - WORDS + 1]) if n >= WORDS else hashed(h[a : a + n], n)
+        for a, n in zip(starts.tolist(), lengths.tolist())
+    ]
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    return shingle_sets([text])[0]
 
 
 def set_key(s: np.ndarray) -> int:
@@ -93,8 +110,8 @@ def band(n: np.ndarray) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit for every shingle's hash, in the power of two of bits that is at least twice the set's size."""
-    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    """A bit for every shingle's hash, in the power of two of bits that is at least four times the set's size."""
+    bits = max(64, 1 << int(4 * len(s) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -135,7 +152,7 @@ def sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, data = batch.column(0), batch.column(1).to_pylist()
             for a, b in batches_by_size(data, 8_000_000):
-                found = [shingles(x) for x in data[a:b]]
+                found = shingle_sets(data[a:b])
                 keys = [set_key(s) for s in found]
                 different = list({k: s for k, s in zip(keys, found)}.values())
                 values, counts = np.unique(np.concatenate(different), return_counts=True)
@@ -173,8 +190,7 @@ def signatures(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             data = batch.column(1).to_pylist()
             for a, b in batches_by_size(data, 8_000_000):
                 seen = {}
-                for x in data[a:b]:
-                    s = shingles(x)
+                for s in shingle_sets(data[a:b]):
                     if len(s) and (key := set_key(s)) not in seen:
                         n = len(s)
                         first = n - -(-PERCENT * n // 100) + 1
@@ -307,7 +323,7 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             data = batch.column(1).to_pylist()
             for a, b in batches_by_size(data, 8_000_000):
-                found = [s for s in map(shingles, data[a:b]) if len(s)]
+                found = [s for s in shingle_sets(data[a:b]) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["set_key", "items"])
 
     def compare(batches):
