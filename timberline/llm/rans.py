@@ -26,7 +26,7 @@ SCALE = 20
 BLOCK_TOKENS = 1 << 18
 LANES = 2048
 #: Encoded chunks that each of a worker's two tables keeps, beside the sort that feeds it.
-CHUNKS = 250_000
+CHUNKS = 400_000
 #: Lower bound of a state between two steps; states stay under 2 ** 63.
 LOW = 1 << 31
 
@@ -150,11 +150,14 @@ def id_counts(runs: DataFrame) -> Table:
     def run(batches):
         import pyarrow as pa
 
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0):
-                total = np.frombuffer(data.as_buffer(), "<i8")
-                ids = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
+                c = np.frombuffer(data.as_buffer(), "<i8")
+                total = np.pad(total, (0, max(0, len(c) - len(total))))
+                total[: len(c)] += c
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
     rows = runs.where("seq < 0").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     if not rows:
