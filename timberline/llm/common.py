@@ -133,10 +133,10 @@ class IdEncoder:
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
         table, old = self.young, self.old
-        missing = [x for x in seen if x not in table]
+        missing = seen.difference(table)
         if old:
             table.update((x, old[x]) for x in missing if x in old)
-            missing = [x for x in missing if x not in table]
+            missing = missing.difference(table)
         words = [x for x in missing if x.isalpha() or (x[:-1].isalpha() and x[-1] in self.STOPS)]
         for i in range(0, len(words), 10_000):
             self._add_words(table, words[i : i + 10_000])

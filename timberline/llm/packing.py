@@ -21,6 +21,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Items that one task packs.
 SHARD = 60_000
+#: Encoded chunks that each of a worker's two tables keeps.
+CHUNKS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -69,7 +71,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def run(batches):
         import pyarrow as pa
 
-        encoder = id_encoder(tokenizer)
+        encoder = id_encoder(tokenizer, CHUNKS)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
