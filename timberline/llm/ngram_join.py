@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, release, small_side, written
+from timberline.llm.common import batches_by_size, release, remove, small_side, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -341,6 +341,7 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
     edges = written(edges.distinct(), "edges")
+    release(docs.sparkSession)
     chunks = edges.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     members = edges.join(chunks, "b").select(F.col("a").alias("key"), "b", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("chunk"), "a")
     leaders = chunks.select(F.col("b").alias("key"), "b", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("long").alias("a"))
@@ -475,6 +476,9 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowded = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("set_key"), F.col("z").cast("int").alias("band")).distinct()
     met = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).union(crowded.select("set_key")).distinct()
     signs = written(signs_all.select("set_key", "n", "bits").join(met, "set_key", "left_semi").dropDuplicates(["set_key"]), "signs")
+    if files := signs_all.inputFiles():
+        remove(docs.sparkSession, files[0].rsplit("/", 1)[0])
+    release(docs.sparkSession)
     links = verified(bounded_edges(edges, signs), docs, nodes)
     labels = components(links)
     # large clouds of copies: their members that a first node missed meet nodes of the cloud's main component
