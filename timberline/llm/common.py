@@ -85,6 +85,15 @@ def training_sample(labels: DataFrame, label: str, bound: int) -> DataFrame:
 
 
 _TOKENIZERS: dict = {}
+_CACHES: dict = {}
+
+
+def sole_cache(name: str, clear) -> None:
+    """Keep one operator's tables in a worker: those of others, which ran there before, are cleared."""
+    for other, forget in _CACHES.items():
+        if other != name:
+            forget()
+    _CACHES[name] = clear
 
 
 class IdEncoder:
@@ -168,6 +177,7 @@ def id_encoder(path: str, capacity: int = 700_000) -> IdEncoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    sole_cache("ids", _TOKENIZERS.clear)
     if (path, capacity) not in _TOKENIZERS:
         _TOKENIZERS.clear()
         _TOKENIZERS[path, capacity] = IdEncoder(path, capacity)

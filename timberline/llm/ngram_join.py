@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, release, remove, small_side, written
+from timberline.llm.common import batches_by_size, release, remove, small_side, sole_cache, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -68,7 +68,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles: uint64, empty without words."""
     words = [(x or b"").lower().split() for x in texts]
-    if len(_WORDS) > 300_000:
+    sole_cache("words", _WORDS.clear)
+    if len(_WORDS) > 200_000:
         _WORDS.clear()
     lengths = np.array([len(w) for w in words], np.int64)
     h = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, int(lengths.sum()))
@@ -188,7 +189,7 @@ def signatures(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
         late = shared.value
         for batch in batches:
             data = batch.column(1).to_pylist()
-            for a, b in batches_by_size(data, 8_000_000):
+            for a, b in batches_by_size(data, 4_000_000):
                 seen = {}
                 for s in shingle_sets(data[a:b]):
                     if len(s) and (key := set_key(s)) not in seen:
@@ -322,7 +323,7 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
         for batch in batches:
             data = batch.column(1).to_pylist()
-            for a, b in batches_by_size(data, 8_000_000):
+            for a, b in batches_by_size(data, 4_000_000):
                 found = [s for s in shingle_sets(data[a:b]) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["set_key", "items"])
 
