@@ -525,6 +525,15 @@ def test_main_text(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_inline_links_stay_and_link_lists_go():
+    inline = "".join(f"<p>See the <a href=/{i}>study {i}</a> and more, please.</p>" for i in range(4))
+    links = "".join(f"<li><a href=/{i}>Other page {i}</a></li>" for i in range(4))
+    heads = "".join(f"<h2><a href=#{i}>Part {i}</a></h2><p>Text of this part, number {i}.</p>" for i in range(3))
+    want = "\n".join(f"See the study {i} and more, please." for i in range(4))
+    assert html_extract.main_text(f"<article>{inline}<ul>{links}</ul><p><a>a</a> | <a>b</a> | <a>c</a></p></article>") == want
+    assert html_extract.main_text(f"<article>{heads}</article>") == "\n".join(f"Part {i}\nText of this part, number {i}." for i in range(3))
+
+
 def test_html_against_planted_articles(spark, sf_dir):
     import html
 

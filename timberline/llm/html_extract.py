@@ -4,7 +4,7 @@ A page's text nodes are grouped by their root-to-leaf tag path. Text length and
 punctuation per node of a path are smoothed along the page, fused, and compared
 with a threshold; the paths above it name the content nodes. The element that
 holds most of their text bounds the article, and what stands inside it, but for
-boilerplate elements and paths that are mostly links, is the result.
+boilerplate elements and lists of nothing but links, is the result.
 """
 
 from __future__ import annotations
@@ -41,6 +41,9 @@ MARKS = re.compile(
     re.I,
 )
 HOME = frozenset(("article", "main"))
+#: Elements that are left out as a whole where they hold nothing but links, more than FEW_LINKS.
+LISTS = BLOCK - HOME - frozenset("html body li dt dd option tr td th tbody thead tfoot caption".split())
+FEW_LINKS = 2
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 #: Standard deviation of the smoothing window, in text nodes.
 SIGMA = 1.0
@@ -123,6 +126,24 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return padded / np.convolve(np.ones(len(values)), window)[width : width + len(values)]
 
 
+def link_lists(texts: list[tuple[tuple, str, bool]]) -> set[int]:
+    """Numbers of the lists and other blocks whose whole text, but for separators, is that of more than ``FEW_LINKS`` links.
+
+    A part of a list or table is none, nor is the page or an article as such.
+    """
+    links: dict[int, set[int]] = {}
+    plain: set[int] = set()
+    for path, text, link in texts:
+        if link:
+            a = [k for x, k in path if x.split(".")[0] == "a"][-1]
+            for _, k in path:
+                links.setdefault(k, set()).add(a)
+        elif any(c.isalnum() for c in text):
+            plain.update(k for _, k in path)
+    full = {k for k, a in links.items() if len(a) > FEW_LINKS} - plain
+    return full and {k for path, _, _ in texts for x, k in path if k in full and x.split(".")[0] in LISTS}
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order, one per line; empty where there is none.
 
@@ -167,10 +188,10 @@ def main_text(page: str | None) -> str:
             if len(inside) > depth:
                 homes = [k for x, k in inside if x.split(".")[0] in HOME]
                 home, depth = (homes or [inside[-1][1]])[-1], len(inside)
-    lists = {n for n in linked if count[n] > 2}
+    lists = link_lists(texts)
     blocks: dict[int, list[str]] = {}
     for path, block, text, _, junk in found:
-        if not junk and (home is None or any(k == home for _, k in path)) and tuple(x for x, _ in path) not in lists:
+        if not junk and (home is None or any(k == home for _, k in path)) and not any(k in lists for _, k in path):
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(x).split()) for _, x in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
