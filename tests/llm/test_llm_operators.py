@@ -534,6 +534,16 @@ def test_inline_links_stay_and_link_lists_go():
     assert html_extract.main_text(f"<article>{heads}</article>") == "\n".join(f"Part {i}\nText of this part, number {i}." for i in range(3))
 
 
+def test_the_bound_of_an_article_holds_all_of_it():
+    long = ("A long sentence, which goes on. " * 60).strip()
+    assert html_extract.main_text(f"<div><h1>T</h1><p>{long}</p><p>Short one, here.</p></div>") == f"T\n{long}\nShort one, here."
+    assert html_extract.main_text(f"<body><div class=lead><p>The lead, of some words.</p></div><div class=body><p>{long}</p></div></body>") == f"The lead, of some words.\n{long}"
+    assert html_extract.main_text(f"<div><h2>T</h2><p>Intro, first.</p><ul><li>{long}</li><li>b</li></ul><pre>x, y.</pre></div>") == f"T\nIntro, first.\n{long}\nb\nx, y."
+    assert html_extract.main_text(f"<main><div><p>The lead, of some words.</p></div><article><p>{long}</p></article></main>") == f"The lead, of some words.\n{long}"
+    assert html_extract.main_text(f"<body><div><p>Some teaser, elsewhere.</p></div><article><p>{long}</p></article></body>") == long
+    assert html_extract.main_text(f"<body><article><p>{long}</p></article><div>Some teaser, too.</div><article><p>Another, short one.</p></article></body>") == f"{long}\nAnother, short one."
+
+
 def test_html_against_planted_articles(spark, sf_dir):
     import html
 

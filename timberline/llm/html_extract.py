@@ -2,9 +2,10 @@
 
 A page's text nodes are grouped by their root-to-leaf tag path. Text length and
 punctuation per node of a path are smoothed along the page, fused, and compared
-with a threshold; the paths above it name the content nodes. The element that
-holds most of their text bounds the article, and what stands inside it, but for
-boilerplate elements and lists of nothing but links, is the result.
+with a threshold; the paths above it name the content nodes. The container around
+all of them bounds the article, and what stands inside it, but for boilerplate
+elements and lists of nothing but links, is the result. Content nodes outside of
+any article or main element don't count where such an element holds most of the text.
 """
 
 from __future__ import annotations
@@ -49,7 +50,9 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 SIGMA = 1.0
 #: Share of the mean fused ratio that a path has to reach.
 THRESHOLD = 0.5
-#: Share of the selected text that the bounding element has to hold.
+#: Elements that can bound an article; a paragraph, list, table or inline element can't.
+CONTAINERS = HOME | frozenset("html body div section".split())
+#: Share of the selected text that an article or main element has to hold to make selected text outside of any such element outlying.
 HOLDS = 0.85
 
 
@@ -144,6 +147,23 @@ def link_lists(texts: list[tuple[tuple, str, bool]]) -> set[int]:
     return full and {k for path, _, _ in texts for x, k in path if k in full and x.split(".")[0] in LISTS}
 
 
+def bounds(paths: list[tuple]) -> set[int]:
+    """Numbers of the elements that bound an article; none is the whole page.
+
+    It is the deepest article or main around all ``paths``, else each one's outermost
+    article or main if all have one, else the deepest container around all.
+    """
+    common = paths[0]
+    for path in paths:
+        common = common[: next((i for i, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
+    if found := [k for x, k in common if x.split(".")[0] in HOME]:
+        return {found[-1]}
+    found = [next((k for x, k in path if x.split(".")[0] in HOME), None) for path in paths]
+    if None not in found:
+        return set(found)
+    return set([k for x, k in common if x.split(".")[0] in CONTAINERS][-1:])
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order, one per line; empty where there is none.
 
@@ -181,17 +201,14 @@ def main_text(page: str | None) -> str:
             total += len(text)
             for _, number in path:
                 held[number] = held.get(number, 0) + len(text)
-    home, depth = None, 0
-    for name, (path, _, _) in zip(names, texts):
-        if name in chosen:
-            inside = [(x, k) for x, k in path if held[k] >= HOLDS * total]
-            if len(inside) > depth:
-                homes = [k for x, k in inside if x.split(".")[0] in HOME]
-                home, depth = (homes or [inside[-1][1]])[-1], len(inside)
+    content = [path for name, (path, _, _) in zip(names, texts) if name in chosen]
+    if any(x.split(".")[0] in HOME and held[k] >= HOLDS * total for path in content for x, k in path):
+        content = [path for path in content if any(x.split(".")[0] in HOME for x, _ in path)]
+    homes = bounds(content)
     lists = link_lists(texts)
     blocks: dict[int, list[str]] = {}
     for path, block, text, _, junk in found:
-        if not junk and (home is None or any(k == home for _, k in path)) and not any(k in lists for _, k in path):
+        if not junk and (not homes or any(k in homes for _, k in path)) and not any(k in lists for _, k in path):
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(x).split()) for _, x in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
