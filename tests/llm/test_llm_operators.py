@@ -544,6 +544,13 @@ def test_the_bound_of_an_article_holds_all_of_it():
     assert html_extract.main_text(f"<body><article><p>{long}</p></article><div>Some teaser, too.</div><article><p>Another, short one.</p></article></body>") == f"{long}\nAnother, short one."
 
 
+def test_scripts_end_at_their_end_tags():
+    for code in ("for(i=0;i<n;i++){f(i)}", "t='<!--'", "t='</p>'", "a<b&&c('\"')", "x='</scripts>'", "y=\"<a href='\"", "if(a<b){"):
+        page = f"<SCRIPT>{code}</script ><style>p:after{{content:'<b'}}</STYLE><title>a <b</title><article><p>Hello, world.</p><svg><script>{code}</script></svg><p>And, more.</p></article>"
+        assert html_extract.main_text(page) == "Hello, world.\nAnd, more."
+    assert html_extract.main_text("<p>Kept, all.</p><script>never closed <p>x, y</p>") == "Kept, all."
+
+
 def test_html_against_planted_articles(spark, sf_dir):
     import html
 

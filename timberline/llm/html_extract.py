@@ -26,6 +26,10 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that hold no markup, and what ends them.
+PLAIN = {x: re.compile(rf"</{x}(?=[\s/>]|\Z)", re.I) for x in "script style noscript textarea title iframe".split()}
+#: Those of them that are so in vector graphics as well.
+CODE = frozenset(("script", "style"))
 RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -70,8 +74,13 @@ def nodes(page: str) -> list[tuple[tuple, int, str, bool, bool]]:
                 return i
         return -1
 
-    for m in TOKEN.finditer(page):
+    at = 0
+    while m := TOKEN.match(page, at):
         closing, tag, attributes, text = m.groups()
+        at = m.end()
+        if tag and not closing and (kind := tag.lower()) in PLAIN and (not raw or kind in CODE) and not (attributes or "").rstrip().endswith("/"):
+            end = PLAIN[kind].search(page, at)
+            at = end.start() if end else len(page)
         if raw:
             if closing and tag.lower() == raw:
                 raw = None
@@ -84,13 +93,13 @@ def nodes(page: str) -> list[tuple[tuple, int, str, bool, bool]]:
             continue
         tag = tag.lower()
         if closing:
-            at = opened(tag)
-            if at >= 0:
+            i = opened(tag)
+            if i >= 0:
                 if tag in BLOCK:
                     block += 1
-                    del stack[at:]
-                elif not any(x[0] in BLOCK for x in stack[at + 1 :]):
-                    del stack[at:]
+                    del stack[i:]
+                elif not any(x[0] in BLOCK for x in stack[i + 1 :]):
+                    del stack[i:]
             elif tag in BLOCK:
                 block += 1
             continue
@@ -105,8 +114,8 @@ def nodes(page: str) -> list[tuple[tuple, int, str, bool, bool]]:
             if not (attributes or "").rstrip().endswith("/"):
                 raw = tag
             continue
-        if tag in BLOCK and (at := opened("p")) >= 0 and not any(x[0] in SCOPES for x in stack[at + 1 :]):
-            del stack[at:]
+        if tag in BLOCK and (i := opened("p")) >= 0 and not any(x[0] in SCOPES for x in stack[i + 1 :]):
+            del stack[i:]
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in CLOSES.get(tag, ()):
                 del stack[i:]
