@@ -551,6 +551,23 @@ def test_scripts_end_at_their_end_tags():
     assert html_extract.main_text("<p>Kept, all.</p><script>never closed <p>x, y</p>") == "Kept, all."
 
 
+def test_marks_do_not_take_the_article():
+    body = "<p>Hello, world. This is it.</p><p>More text, here. And so on, and on.</p>"
+    want = "Hello, world. This is it.\nMore text, here. And so on, and on."
+    for name in ("layout has-sidebar", "no-ads", "with-comments", "post comments-open", "widget", "comments", "modal-content"):
+        assert html_extract.main_text(f"<nav>x</nav><div class='{name}'><article>{body}</article></div>") == want
+        assert html_extract.main_text(f"<nav>x</nav><div class='{name}'>{body}</div><footer>c</footer>") == want
+    for attribute in ("data-id=nav", "data-class='ad'", "title=\"the class='ad'\"", "aria-role=banner"):
+        assert html_extract.main_text(f"<article>{body}<div {attribute}>Short, kept.</div></article>") == want + "\nShort, kept."
+    thread = "<div class=x><p>I really liked it, thanks.</p></div>" * 9
+    for name in ("comments", "post-comments", "comment-list"):
+        assert html_extract.main_text(f"<div class=post>{body}</div><section id={name}>{thread}</section>") == want
+        assert html_extract.main_text(f"<article>{body}</article><section id={name}><article>Nice, yes.</article></section>") == want
+    for name in ("ad", "site-header", "main-nav", "cookie-notice", "sidebar-left", "social-share-buttons", "related posts"):
+        assert html_extract.main_text(f"<div>{body}<div class='{name}'>Buy, now.</div></div>") == want
+    assert html_extract.main_text(f"<div class='cookie-notice'>{'We use cookies, ok? ' * 9}</div><article>{body}</article>") == want
+
+
 def test_html_against_planted_articles(spark, sf_dir):
     import html
 

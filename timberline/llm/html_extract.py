@@ -4,8 +4,9 @@ A page's text nodes are grouped by their root-to-leaf tag path. Text length and
 punctuation per node of a path are smoothed along the page, fused, and compared
 with a threshold; the paths above it name the content nodes. The container around
 all of them bounds the article, and what stands inside it, but for boilerplate
-elements and lists of nothing but links, is the result. Content nodes outside of
-any article or main element don't count where such an element holds most of the text.
+elements, elements marked as such and lists of nothing but links, is the result.
+Content nodes outside of any article or main element don't count where such an
+element holds most of the text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ TOKEN = re.compile(
     r"|([^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no markup, and what ends them.
 PLAIN = {x: re.compile(rf"</{x}(?=[\s/>]|\Z)", re.I) for x in "script style noscript textarea title iframe".split()}
@@ -39,17 +40,29 @@ BLOCK = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol menu dl table tbody thead tfoot article section main div body html aside nav header footer form blockquote figure td th".split())
 BOILERPLATE = frozenset("head nav footer aside form menu button select dialog fieldset".split())
+_DISCUSSION = r"comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion"
+_WORDS = (
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w*"
+    rf"|sidebar\w*|menus?|nav\w*|breadcrumbs?|header|masthead|footer|foot|{_DISCUSSION}"
+    r"|share|sharing|social|related|recommend\w*|widgets?|login|signup|search"
+)
+#: What may stand beside such words in a class name that means the same.
+_BESIDE = (
+    r"site|page|main|global|top|bottom|left|right|upper|lower|inner|outer|containers?|wrap(?:per)?|box|block|bar|area|section|lists?|items?|links?"
+    r"|buttons?|groups?|panel|primary|secondary|tertiary|fixed|sticky|mobile|desktop|forms?|slot|unit|blog|wp|posts?|articles?|entry|stories|\d+"
+)
+#: A class, id or role, as a whole, that names boilerplate: "has-sidebar", "no-ads" and "comments-open" don't.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscri\w*"
-    r"|sidebar\w*|menus?|nav\w*|breadcrumbs?|header|masthead|footer|foot|comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion"
-    r"|share|sharing|social|related|recommend\w*|widgets?|login|signup|search)(?=$|[\s_-])",
-    re.I,
+    rf"(?:^|\s)(?!(?:post|article|entry)[_-]+header(?:\s|$))(?:(?:{_BESIDE})[_-]+)*(?:{_WORDS})(?:[_-]+(?:{_BESIDE}|{_WORDS}|content|text|title|body|trail))*(?=\s|$)", re.I
 )
+DISCUSSION = re.compile(rf"(?:^|[\s_-])(?:{_DISCUSSION})(?=$|[\s_-])", re.I)
 HOME = frozenset(("article", "main"))
 #: Elements that are left out as a whole where they hold nothing but links, more than FEW_LINKS.
 LISTS = BLOCK - HOME - frozenset("html body li dt dd option tr td th tbody thead tfoot caption".split())
 FEW_LINKS = 2
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
+#: Share of a page's text that stands for an article beside a marked element.
+ELSEWHERE = 0.1
 #: Standard deviation of the smoothing window, in text nodes.
 SIGMA = 1.0
 #: Share of the mean fused ratio that a path has to reach.
@@ -60,12 +73,13 @@ CONTAINERS = HOME | frozenset("html body div section".split())
 HOLDS = 0.85
 
 
-def nodes(page: str) -> list[tuple[tuple, int, str, bool, bool]]:
-    """Text nodes in page order: tag path, block number, text, inside a link, inside boilerplate.
+def nodes(page: str) -> tuple[list[tuple[tuple, int, str, bool, bool]], dict[int, bool]]:
+    """Text nodes in page order (tag path, block number, text, inside a link, inside a boilerplate element), and marked elements.
 
-    A path is a tuple of (element name and class, number of the element).
+    A path is a tuple of (element name and class, number of the element). For
+    elements with a mark their number tells whether it names a discussion.
     """
-    out, stack, block, number = [], [], 0, 0
+    out, stack, block, number, marked = [], [], 0, 0, {}
     raw = None
 
     def opened(tag: str) -> int:
@@ -122,12 +136,50 @@ def nodes(page: str) -> list[tuple[tuple, int, str, bool, bool]]:
                 break
             if stack[i][0] in SCOPES:
                 break
-        marks = " ".join(x or y or z for _, x, y, z in ATTRIBUTE.findall(attributes or ""))
+        marks = " ".join(x or y or z for name, x, y, z in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role")) if attributes else ""
         home = any(x[0] in HOME for x in stack)
-        junk = tag in BOILERPLATE or tag == "header" and not home or tag not in ("html", "body") and tag not in HOME and bool(MARKS.search(marks))
+        junk = tag in BOILERPLATE or tag == "header" and not home
         number += 1
+        if marks and tag not in ("html", "body") and tag not in HOME and (m := MARKS.search(marks)):
+            marked[number] = bool(DISCUSSION.search(m[0]))
         stack.append((tag, f"{tag}.{marks}" if marks else tag, number, junk))
-    return out
+    return out, marked
+
+
+def lowered(texts: list[tuple[tuple, str, bool]], marked: dict[int, bool]) -> set[int]:
+    """Numbers of the marked elements that are boilerplate indeed.
+
+    A mark doesn't count where its element holds more than half of the page's text
+    without links, or the only article or main element with unmarked text. It counts
+    even so if ``ELSEWHERE`` of the text is unmarked and, but for a discussion,
+    in another article or main. Where marks take all text, that with the most doesn't count.
+    """
+    total, held, around, inside = 0, {}, set(), set()
+    for path, text, link in texts:
+        home = False
+        for x, k in path:
+            if k in marked:
+                held[k] = held.get(k, 0) + len(text) * (not link)
+                if home:
+                    inside.add(k)
+            home = home or x.split(".")[0] in HOME
+        if home:
+            last = max(i for i, (x, _) in enumerate(path) if x.split(".")[0] in HOME)
+            around.update(k for _, k in path[:last] if k in marked)
+        total += len(text) * (not link)
+    low = set(held)
+
+    def unmarked(home: bool) -> int:
+        return sum(len(t) for path, t, link in texts if not link and not any(k in low for _, k in path) and (not home or any(x.split(".")[0] in HOME for x, _ in path)))
+
+    for k in sorted(held):
+        if 2 * held[k] > total or k in around:
+            elsewhere = unmarked(False) if marked[k] else 0 if k in inside else unmarked(True)
+            if elsewhere < ELSEWHERE * total and (2 * held[k] > total or not unmarked(True)):
+                low.discard(k)
+    while low and not unmarked(False) and (most := max((held[k], -k) for k in low))[0]:
+        low.discard(-most[1])
+    return low
 
 
 def smooth(values: np.ndarray) -> np.ndarray:
@@ -182,8 +234,11 @@ def main_text(page: str | None) -> str:
     """
     if not page:
         return ""
-    found = nodes(page)
+    found, marked = nodes(page)
     texts = [(path, " ".join(text.split()), link) for path, _, text, link, junk in found if not junk and text.strip()]
+    if low := marked and lowered(texts, marked):
+        found = [x for x in found if not any(k in low for _, k in x[0])]
+        texts = [x for x in texts if not any(k in low for _, k in x[0])]
     if not texts:
         return ""
     names = [tuple(x for x, _ in path) for path, _, _ in texts]
