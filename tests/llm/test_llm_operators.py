@@ -508,6 +508,30 @@ def test_flac_query(awkward, empty):
     assert (np.frombuffer(raw, np.uint8) ^ 0x80).tobytes() == flac.payload(next(r[1] for r in awkward_rows() if r[0] == 7))[1]
 
 
+def test_flac_query_writes_streams_and_blocks(spark, awkward):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.iterdir())
+    rows = {(r.doc_id, r.n_bytes): r for r in flac.stored_and_read(awkward, 10_000).collect()}
+    tables = {p.name.split("-")[0]: spark.read.parquet(f"file://{p}") for p in set(shared.iterdir()) - before}
+    assert set(tables) == {"media", "pcm"}
+    texts = sorted((r[0] or -1, len((r[1] or "").encode())) for r in awkward_rows())
+    media = tables["media"].collect()
+    assert sorted((r.doc_id or -1, r.n_bytes) for r in media) == texts and len({r.row for r in media}) == len(media)
+    blocks = {}
+    for r in tables["pcm"].orderBy("row", "block").collect():
+        blocks.setdefault(r.row, []).append(r)
+    assert max(map(len, blocks.values())) > 2 and set(blocks) == {r.row for r in media}
+    for m in media:
+        own, want = blocks[m.row], rows[(m.doc_id, m.n_bytes)]
+        raw = (np.frombuffer(b"".join(bytes(b.pcm) for b in own), np.uint8) ^ 0x80).tobytes()
+        assert [b.sample_offset for b in own] == list(range(0, len(raw), 10_000)) and [raw] == flac.decode_many([bytes(m.media)])
+        assert (want.payload_sha256, want.media_sha256, want.media_bytes) == (hashlib.sha256(raw).hexdigest(), hashlib.sha256(m.media).hexdigest(), len(m.media))
+    with pytest.raises(Exception, match="missing or damaged"):
+        flac.digests(tables["pcm"].where("block <> 1")).collect()
+
+
 # 10 -----------------------------------------------------------------------------------------------
 
 PAGE = """<html><body><header class="site"><h1>Site</h1></header><nav><a href=x>Home</a></nav><div class="cookie-notice">We use cookies, ok?</div><main><div class="post"><h2>T &amp; x</h2>
