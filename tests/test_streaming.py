@@ -81,6 +81,30 @@ def test_streaming_alerts_match_the_fold(spark, tmp_path):
     assert [(r.bucket, r.kind) for r in spark.table("alerts_out").orderBy("bucket").collect()] == want and want
 
 
+def test_a_spike_followed_by_silence_is_resolved_and_forgotten(spark, tmp_path):
+    import time
+
+    path = f"file://{tmp_path}/logs"
+    rule = Rule(window=3, baseline=6, min_errors=4, ratio=2.0, cooldown=5, bucket=1_000_000)
+    spark.range(6).select(F.lit("a").alias("service"), F.current_timestamp().alias("observed_at"), F.lit("error").alias("level")).coalesce(1).write.parquet(path)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    q = None
+    try:
+        stream = spark.readStream.schema("service string, observed_at timestamp, level string").parquet(path)
+        q = alerting.alerts(stream, rule).writeStream.format("memory").queryName("silent_out").outputMode("update").option("checkpointLocation", f"{path}-ck").trigger(processingTime="1 second").start()
+        end = time.time() + 60
+        while time.time() < end and q.isActive and not (spark.table("silent_out").where("kind = 'resolved'").count() and q.lastProgress.stateOperators[0].numRowsTotal == 0):
+            time.sleep(0.5)
+        left = q.lastProgress.stateOperators[0].numRowsTotal
+    finally:
+        if q is not None:
+            q.stop()
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    (fired, resolved) = spark.table("silent_out").orderBy("bucket").collect()
+    assert (fired.kind, fired.errors, resolved.kind, resolved.errors) == ("firing", 6, "resolved", 0) and resolved.bucket == fired.bucket + rule.window
+    assert left == 0
+
+
 def test_dedup_within_watermark(spark, tmp_path):
     path = f"file://{tmp_path}/d"
     spark.range(10).select(F.col("id") % 5).toDF("id").withColumn("observed_at", F.current_timestamp()).write.parquet(path)

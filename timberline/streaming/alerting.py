@@ -44,30 +44,67 @@ class Detector:
             return "resolved", win, usual
         return None
 
+    def advance(self, first: int, to: int, fresh: dict[int, int] | None = None) -> list[tuple[int, str, int, float]]:
+        """Transitions (bucket, kind, errors, usual) of the buckets ``first`` to ``to``, in which ``fresh`` errors are observed."""
+        out, b, left = [], first, sorted((x for x in fresh or () if x >= first), reverse=True)
+        while b <= to:
+            if left and left[-1] == b:
+                self.observe(b, fresh[left.pop()])
+            elif self.idle:  # nothing happens until the next errors
+                b = left[-1] if left else to + 1
+                continue
+            if (got := self.evaluate(b)) is not None:
+                out.append((b, *got))
+            b += 1
+        return out
+
     @property
     def idle(self) -> bool:
         return not self.counts and not self.firing
 
 
 def processor(rule: Rule):
+    import json
+
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+    def present(timers) -> int:
+        return timers.getCurrentWatermarkInMs() * 1000 // rule.bucket
+
+    def table(key, out: list[tuple]) -> pd.DataFrame:
+        rows = [(key[0], *x) for x in out]
+        return pd.DataFrame(rows, columns=["service", "bucket", "kind", "errors", "usual"]).astype({"bucket": "int64", "errors": "int64", "usual": "float64"})
+
     class SpikeProcessor(StatefulProcessor):
-        """Counts of a batch are added, then every bucket up to the newest one is evaluated in order."""
+        """Counts of a batch are added, then every bucket up to the newest one is evaluated in order; a timer evaluates those that begin later.
+
+        Time goes on with the clock: to the present bucket, or, where rows are older
+        than window and baseline as in a replay, by as many buckets as have passed since
+        they came. An idle service is forgotten.
+        """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.state = handle.getValueState("detector", "counts string, firing boolean, last bigint, done bigint")
+            self.handle = handle
+            self.state = handle.getValueState("detector", "counts string, firing boolean, last bigint, done bigint, seen bigint")
 
-        def handleInputRows(self, key, rows, timerValues):
-            import json
+        def load(self) -> tuple[Detector, int | None, int | None]:
+            if not self.state.exists():
+                return Detector(rule), None, None
+            counts, firing, last, done, seen = self.state.get()
+            return Detector(rule, {int(k): v for k, v in json.loads(counts).items()}, firing, last), done, seen
 
-            done = None
-            detector = Detector(rule)
-            if self.state.exists():
-                counts, firing, last, done = self.state.get()
-                detector = Detector(rule, {int(k): v for k, v in json.loads(counts).items()}, firing, last)
+        def keep(self, detector: Detector, done: int, clock: int) -> None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+            self.state.update((json.dumps(detector.counts), detector.firing, detector.last, done, clock))
+            self.handle.registerTimer(-(-(clock + 1) * rule.bucket // 1000))
+
+        def handleInputRows(self, key, rows, timerValues):
+            detector, done, _ = self.load()
             fresh: dict[int, int] = {}
+            clock = 0
             for pdf in rows:
+                clock = max(clock, int(pdf["clock"].max()))
                 for b, n in pdf["bucket"].value_counts().items():
                     fresh[int(b)] = fresh.get(int(b), 0) + int(n)
             out = []
@@ -75,14 +112,23 @@ def processor(rule: Rule):
                 newest = max(fresh)
                 first = min(fresh) if done is None else done + 1
                 for b in sorted(x for x in fresh if x < first):
-                    detector.observe(b, fresh[b], newest)
-                for b in range(first, newest + 1):
-                    if b in fresh:
-                        detector.observe(b, fresh[b])
-                    if (got := detector.evaluate(b)) is not None:
-                        out.append((key[0], b, *got))
-                self.state.update((json.dumps(detector.counts), detector.firing, detector.last, max(newest, done or newest)))
-            yield pd.DataFrame(out, columns=["service", "bucket", "kind", "errors", "usual"]).astype({"bucket": "int64", "errors": "int64", "usual": "float64"})
+                    detector.observe(b, fresh[b], max(newest, first - 1))
+                out = detector.advance(first, newest, fresh)
+                self.keep(detector, newest if done is None else max(newest, done), clock)
+            yield table(key, out)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            detector, done, seen = self.load()
+            out = []
+            if done is not None:
+                clock = present(timerValues)
+                to = clock if seen - done <= rule.window + rule.baseline else done + clock - seen
+                out = detector.advance(done + 1, to)
+                if detector.idle:
+                    self.state.clear()
+                else:
+                    self.keep(detector, max(to, done), clock)
+            yield table(key, out)
 
         def close(self) -> None:
             pass
@@ -91,7 +137,16 @@ def processor(rule: Rule):
 
 
 def alerts(logs: DataFrame, rule: Rule) -> DataFrame:
-    """Transitions of a stream of logs; its session needs the RocksDB state store."""
-    bucket = F.floor(F.unix_micros(F.least(F.coalesce("observed_at", F.current_timestamp()), F.current_timestamp())) / F.lit(rule.bucket)).cast("bigint")
+    """Transitions of a stream of logs; its session needs the RocksDB state store.
+
+    A row a second from Spark's rate source drives the clock, which is the watermark
+    of the rows' processing time: services are evaluated in silence, too, and a
+    query over the available rows ends, which it wouldn't with timers in processing time.
+    """
+    now = F.current_timestamp()
+    bucket = F.floor(F.unix_micros(F.least(F.coalesce("observed_at", now), now)) / F.lit(rule.bucket)).cast("bigint")
     errors = logs.where(F.col("level").isin(*ALERT_LEVELS)).select("service", bucket.alias("bucket"))
-    return errors.groupBy("service").transformWithStateInPandas(statefulProcessor=processor(rule), outputStructType=ALERTS, outputMode="update", timeMode="None")
+    ticks = logs.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.lit(None).cast("string").alias("service"), F.lit(None).cast("bigint").alias("bucket"))
+    clock = F.floor(F.unix_micros(now) / F.lit(rule.bucket)).cast("bigint")
+    rows = errors.unionByName(ticks).withColumns({"at": now, "clock": clock}).withWatermark("at", "0 seconds")
+    return rows.groupBy("service").transformWithStateInPandas(statefulProcessor=processor(rule), outputStructType=ALERTS, outputMode="update", timeMode="EventTime")
