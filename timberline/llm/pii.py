@@ -1,8 +1,8 @@
 """Personal data by weak supervision, JVM-side throughout.
 
 Fixed patterns give base spans, which always stay, and wider ones give
-candidates. Regex, gazetteer and context labelers vote on every candidate of
-the whole corpus; only counts of vote and feature patterns, a few hundred rows
+candidates. Regex and context labelers, which know some cue words but no lists of
+values, vote on every candidate of the whole corpus; only counts of vote and feature patterns, a few hundred rows
 at most, reach the driver, where expectation-maximisation estimates the
 labelers' reliabilities and a logistic span classifier is trained on the
 posteriors. The classifier is compiled into a column expression.
