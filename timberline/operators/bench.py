@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timberline.operators.ranking import running
+
 
 def nearest_rank(value: str, p: float) -> Column:
     """The smallest value that so many percent of the values don't exceed."""
@@ -22,11 +24,10 @@ def rank_sums(df: DataFrame, group: str, value: str) -> DataFrame:
     """group, n and the sum of average ranks over all values of both groups.
 
     Ranks come from the counts of equal values, so that only different values
-    are ordered.
+    are ordered, by ranges.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
-    of = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(value, (F.coalesce(F.sum("_ties").over(of), F.lit(0)) + (F.col("_ties") + 1) / 2.0).alias("_rank"))
+    ranks = running(counts, [F.col(value)], "_ties", "_less").select(value, (F.col("_less") + (F.col("_ties") + 1) / 2.0).alias("_rank"))
     return df.join(ranks, value).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("_rank").alias("rank_sum"))
 
 

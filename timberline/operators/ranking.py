@@ -1,16 +1,43 @@
-"""Places in a total order without bringing all rows to one task."""
+"""Places and running sums in a total order without bringing all rows to one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timberline.staging import written
 
-def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Adds place, from 1: rows are dealt by ranges, numbered there, and moved on by the counts of the ranges before."""
-    dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+#: Bits of a row's number within its range; those above are the range.
+_BITS = 33
+
+
+def dealt(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Adds _at: rows are dealt by ranges of ``order``, sorted, numbered and written once.
+
+    The number's upper bits are the range, so that whatever is computed of the
+    table afterwards, however it is read, means the same ranges.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(sorted_.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+
+
+def _before(per_range: DataFrame, amount: str) -> DataFrame:
+    """_range and the sum of ``amount`` in the ranges before; one row for every range."""
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for every range
-    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
-    return own.join(F.broadcast(offsets), "_range").withColumn("place", F.col("_before") + F.col("_own")).drop("_range", "_before", "_own")
+    return F.broadcast(per_range.select("_range", F.coalesce(F.sum(amount).over(before), F.lit(0)).alias("_before")))
+
+
+def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Adds place, from 1, in the total order of all rows; rows that tie get places in any order."""
+    rows = dealt(df, order).withColumn("_range", F.shiftright("_at", _BITS))
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    own = F.col("_at").bitwiseAND((1 << _BITS) - 1) + 1
+    return rows.join(_before(counts, "_n"), "_range").withColumn("place", F.col("_before") + own).drop("_range", "_before", "_at")
+
+
+def running(df: DataFrame, order: list[Column], amount: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``amount`` over all rows before in the order."""
+    rows = dealt(df, order).withColumn("_range", F.shiftright("_at", _BITS))
+    sums = rows.groupBy("_range").agg(F.sum(amount).alias("_n"))
+    inside = F.coalesce(F.sum(amount).over(Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn(out, inside).join(_before(sums, "_n"), "_range").withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_before", "_at")
