@@ -21,7 +21,7 @@ def hdfs_lines(n):
 
 def config(tmp_path, **more):
     base = f"file://{tmp_path}"
-    return ingest.Config(f"{base}/store", f"{base}/dead", f"{base}/staging", f"{base}/checkpoint", "hdfs", **more)
+    return ingest.Config(f"{base}/store", f"{base}/dead", f"{base}/checkpoint", "hdfs", **more)
 
 
 def test_ingest_is_complete_and_restartable(spark, tmp_path):
@@ -38,11 +38,11 @@ def test_ingest_is_complete_and_restartable(spark, tmp_path):
     assert got.where("level = 'error'").count() == 20
     assert got.where("timestamp >= '2008-11-09 20:00:00' AND timestamp < '2008-11-09 20:01:00' AND message LIKE '081109%'").count() == 180
     # a lost checkpoint delivers all again; the store absorbs it
-    again = ingest.Config(c.store, c.dead_letters + "2", c.staging, c.checkpoint + "2", "hdfs")
+    again = ingest.Config(c.store, c.dead_letters + "2", c.checkpoint + "2", "hdfs", run="1")
     before = got.count()
     expected = got.where("message LIKE '081109%'").select("id").collect()
     ingest.start(spark, f"file://{source}", again).awaitTermination()
-    after = store.read(spark, c.store)
+    after = store.current(spark, c.store)
     kept = after.where("message LIKE '081109%'")
     assert kept.count() == 1000 and audit.missing(spark.createDataFrame(expected), kept).count() == 0 and before == store.current(spark, c.store).count()
 
@@ -139,6 +139,59 @@ def test_tail_source_follows_truncation(spark, tmp_path):
         q.stop()
 
 
+def test_tail_ingest_follows_appends_and_rotation(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines, f = hdfs_lines(5000), folder / "a.log"
+    f.write_text("\n".join(lines[:2000]) + "\n")
+    c = config(tmp_path)
+    q = ingest.tail(spark, str(folder / "*.log"), c, read_bytes=50_000)
+    try:
+        q.processAllAvailable()
+        with f.open("a") as h:
+            h.write("\n".join(lines[2000:3000]))  # its last line lacks the line feed
+        f.rename(folder / "a.log.1")
+        f.write_text("\n".join(lines[3000:4000]) + "\n")
+        q.processAllAvailable()
+        with f.open("a") as h:
+            h.write("\n".join(lines[4000:]) + "\n\n")
+        (folder / "b.log").write_text("x" * 70_000 + "\n" + lines[0] + "\n")
+        assert ingest.drain(q, 120)
+    finally:
+        q.stop()
+    got = store.current(spark, c.store)
+    own = got.where("source LIKE '%a.log'")
+    assert own.count() == 5000 == own.select("message").distinct().count() and got.where("source LIKE '%b.log'").count() == 3
+    assert own.where("epoch = 0").count() == 3000 and own.where("level = 'error'").count() == 100
+    assert own.where("timestamp >= '2008-11-09 20:00:00' AND timestamp < '2008-11-09 20:01:00'").count() == 180
+    assert spark.read.parquet(c.dead_letters).count() == 0
+
+
+def test_rejected_rows_keep_what_they_came_with(spark, tmp_path):
+    c = config(tmp_path)
+    store.create(spark, c.store)
+    rows = [(None, "m0", 0), ("same", "m1", 1), ("same", "m2", 2), ("0" * 32, "fine", 3)]
+    batch = spark.createDataFrame(rows, "id string, message string, offset long").select(
+        "id", F.lit("s").alias("service"), F.current_timestamp().alias("timestamp"), F.current_timestamp().alias("observed_at"), F.lit("info").alias("level"), "message",
+        F.lit(None).cast("string").alias("host"), F.lit("a").alias("agent_id"), F.lit("/f").alias("source"), "offset", F.lit(0).cast("bigint").alias("epoch"),
+    )
+    for _ in range(2):  # a batch that is written again replaces itself
+        ingest.write_batch(spark, batch, 7, c)
+    dead = spark.read.parquet(c.dead_letters).orderBy("offset").collect()
+    assert [(r.id, r.message) for r in dead] == [(None, "m0"), ("same", "m1"), ("same", "m2")] and store.read(spark, c.store).count() == 1
+
+
+def test_load_of_files_in_blocks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.log").write_text("\n".join(hdfs_lines(2000)))
+    c = config(tmp_path)
+    for _ in range(2):
+        ingest.load(spark, f"file://{folder}", c)
+    got = store.read(spark, c.store)
+    assert got.count() == 2000 == got.select("id").distinct().count()
+
+
 def test_hub_buffers():
     h = hub.Hub(max_clients=2)
     slow, fast = h.subscribe("slow", TailFilter(), 3), h.subscribe("fast", TailFilter(), 100)

@@ -1,4 +1,4 @@
-"""The log store: Parquet by day, one row per id, the last write wins."""
+"""The log store: Parquet by day and batch; the last write of an id wins."""
 
 from __future__ import annotations
 
@@ -24,40 +24,59 @@ def create(spark: SparkSession, path: str) -> None:
 
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
-        empty = spark.createDataFrame([], LOG_SCHEMA).withColumn("event_date", F.to_date("timestamp"))
-        empty.write.partitionBy("event_date").parquet(path)
+        empty = spark.createDataFrame([], LOG_SCHEMA).withColumns({"event_date": F.to_date("timestamp"), "batch": F.lit("")})
+        empty.write.partitionBy("event_date", "batch").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     from timberline.sources.tables import LOG_SCHEMA
 
-    return spark.read.schema(T.StructType([*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType())])).parquet(path)
+    fields = [*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType())]
+    return spark.read.schema(T.StructType([*fields, T.StructField("batch", T.StringType())])).parquet(path).select(*(f.name for f in fields))
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The store with one row per id over all days.
+    """The store with one row per id over all days and batches.
 
-    A record without a time of its own that is read again after midnight lies in
-    two days; this keeps its last write.
+    A redelivered record lies in several batches, and one without a time of its
+    own that is read again after midnight in two days; this keeps its last write.
     """
     return last_write(read(spark, path))
 
 
-def upsert(spark: SparkSession, path: str, entries: DataFrame, staging: str) -> int:
-    """Write entries, rewriting only the days that they touch; returns how many days those are.
+def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str) -> None:
+    """Add a batch of stored entries as files of its own in every day that it touches.
 
-    The new days are staged first and then replace the old ones, so that writing
-    the same batch again after a failure gives the same store.
+    Nothing of what is there is read or rewritten, but for the same batch's
+    files: a batch that is written again after a failure replaces itself.
     """
-    entries = last_write(entries)
+    rows = last_write(entries).withColumn("batch", F.lit(str(batch)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(path)
+
+
+def compact(spark: SparkSession, path: str, day) -> int:
+    """Merge a day's batches into one, the last write of each id; returns how many there were.
+
+    The merged files are written before the others go, so that a reader of
+    ``current`` sees the same rows at any time, and after a failure too.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day}")
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [x.getPath() for x in fs.listStatus(fs_path) if x.getPath().getName().startswith("batch=")] if fs.exists(fs_path) else []
+    if len(old) > 1:
+        name = f"merged-{max([0, *(int(x.getName().rpartition('-')[2]) for x in old if x.getName().startswith('batch=merged-'))]) + 1}"
+        schema = T.StructType([f for f in read(spark, path).schema.fields if f.name != "event_date"])
+        rows = last_write(spark.read.schema(schema).option("basePath", str(fs_path)).parquet(*(str(x) for x in old)))
+        rows.write.parquet(f"{fs_path}/batch={name}")
+        for x in old:
+            fs.delete(x, True)
+    return len(old)
+
+
+def upsert(spark: SparkSession, path: str, entries: DataFrame, batch: int | str) -> int:
+    """Append a batch and merge the days that it touches; returns how many days those are."""
+    append(spark, path, entries, batch)
     days = [r.event_date for r in entries.select("event_date").distinct().collect()]
-    if not days:
-        return 0
-    old = read(spark, path).where(F.col("event_date").isin(days))
-    merged = last_write(old.unionByName(entries.select(*old.columns)))
-    merged.write.mode("overwrite").parquet(staging)
-    (
-        spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date").parquet(path)
-    )
+    for day in days:
+        compact(spark, path, day)
     return len(days)

@@ -39,10 +39,10 @@ def reason(now: Column) -> Column:
 
 
 def route(records: DataFrame, now: Column, service: Column) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): accepted rows carry the authenticated service, rejected ones id and reason."""
+    """(accepted, rejected): accepted rows carry the authenticated service, rejected ones all they came with and a reason."""
     checked = records.withColumn("reason", reason(now))
     accepted = checked.where("reason IS NULL").drop("reason").withColumn("service", service)
-    return accepted, checked.where("reason IS NOT NULL").select("id", "reason")
+    return accepted, checked.where("reason IS NOT NULL")
 
 
 def decode(raw: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

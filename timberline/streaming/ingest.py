@@ -1,7 +1,8 @@
 """Ingestion as one streaming query: files to lines to records to the day-partitioned store.
 
-At least once into an idempotent sink: a batch's rows are rewritten by id, and
-the checkpoint moves on only after store and dead letters are written.
+At least once into an idempotent sink: a batch's files replace themselves if it
+is written again, the last write of an id wins on reading, and the checkpoint
+moves on only after store and dead letters are written.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import timberline
-from timberline.functions.framing import frame
+from timberline.functions.framing import frame, frame_files
 from timberline.functions.ids import log_id
 from timberline.functions.levels import parse_level
-from timberline.functions.text import unwrap_container_line
+from timberline.functions.text import unwrapped
 from timberline.functions.timestamps import parse_timestamp
 from timberline.operators import store, validate
 
@@ -24,23 +25,24 @@ from timberline.operators import store, validate
 class Config:
     store: str
     dead_letters: str
-    staging: str
     checkpoint: str
     service: str
     agent_id: str = "agent-1"
     host: str = ""
     container_lines: bool = False
     files_per_trigger: int = 1000
+    #: Set apart batches of a stream whose checkpoint was lost from those of the one before.
+    run: str = "0"
 
 
 def records(lines: DataFrame, config: Config, now: Column) -> DataFrame:
-    """Log entries of framed lines (source, offset, line)."""
+    """Log entries of framed lines (source, epoch, offset, line)."""
     if config.container_lines:
-        lines = lines.withColumn("u", unwrap_container_line(F.col("line"))).where("NOT u.drop").withColumns({"line": F.col("u.message"), "at": F.col("u.time")}).drop("u")
+        lines = unwrapped(lines, F.col("line"), "u").where("NOT u.drop").withColumns({"line": F.col("u.message"), "at": F.col("u.time")}).drop("u")
     else:
         lines = lines.withColumn("at", F.lit(None).cast("timestamp"))
     return lines.select(
-        log_id(F.lit(config.agent_id), F.col("source"), F.lit(0), F.col("offset")).alias("id"),
+        log_id(F.lit(config.agent_id), F.col("source"), F.col("epoch"), F.col("offset")).alias("id"),
         F.lit(config.service).alias("service"),
         F.coalesce("at", parse_timestamp(F.col("line"), now), now).alias("timestamp"),
         now.alias("observed_at"),
@@ -48,37 +50,78 @@ def records(lines: DataFrame, config: Config, now: Column) -> DataFrame:
         F.col("line").alias("message"),
         F.lit(config.host or None).cast("string").alias("host"),
         F.lit(config.agent_id).alias("agent_id"),
-        "source", "offset", F.lit(0).cast("bigint").alias("epoch"),
+        "source", "offset", "epoch",
     )
 
 
 def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: Config) -> None:
-    """Accepted rows go to the store; rejected ones, with their reason, to a folder of the batch's own."""
+    """Accepted rows go to the store; rejected ones, as they came and with their reason, to a folder of the batch's own."""
     now = F.current_timestamp()
     batch = batch.persist()
     try:
         good, bad = validate.route(batch, now, F.lit(config.service))
-        reasons = bad.join(batch.select("id", "source", "offset", "message"), "id")
-        reasons.write.mode("overwrite").parquet(f"{config.dead_letters}/batch={batch_id}")
-        store.upsert(spark, config.store, store.stored(good, now), config.staging)
+        bad.select("id", "reason", "source", "epoch", "offset", "message").write.mode("overwrite").parquet(f"{config.dead_letters}/batch={config.run}-{batch_id}")
+        store.append(spark, config.store, store.stored(good, now), f"{config.run}-{batch_id}")
     finally:
         batch.unpersist()
 
 
 def start(spark: SparkSession, source: str, config: Config, once: bool = True):
-    """Start ingesting whole files under ``source``; with ``once``, stop when all present files are in."""
+    """Start ingesting closed files under ``source``, each once; with ``once``, stop when all present files are in.
+
+    Files that still grow are for ``tail``, files of any size for ``load``.
+    """
     timberline.importable(spark)
     store.create(spark, config.store)
     files = (
         spark.readStream.format("binaryFile").option("maxFilesPerTrigger", config.files_per_trigger)
         .schema("path string, modificationTime timestamp, length long, content binary").load(source)
     )
-    lines = frame(files, "path", "content").withColumnRenamed("path", "source")
-    entries = records(lines, config, F.current_timestamp())
-    writer = entries.writeStream.foreachBatch(lambda b, i: write_batch(b.sparkSession, b, i, config)).option("checkpointLocation", config.checkpoint)
+    lines = frame(files, "path", "content").withColumnRenamed("path", "source").withColumn("epoch", F.lit(0).cast("bigint"))
+    writer = _writer(lines, config)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
 
 
+def _writer(lines: DataFrame, config: Config):
+    entries = records(lines, config, F.current_timestamp())
+    return entries.writeStream.foreachBatch(lambda b, i: write_batch(b.sparkSession, b, i, config)).option("checkpointLocation", config.checkpoint)
+
+
+def tail(spark: SparkSession, pattern: str, config: Config, poll: str = "100 milliseconds", read_bytes: int = 8 << 20):
+    """Start tailing the files that match ``pattern``: lines appended later, new files, and rotated or truncated ones under the next epoch."""
+    from timberline.sources.tailfile import TailFileSource
+
+    timberline.importable(spark)
+    store.create(spark, config.store)
+    spark.dataSource.register(TailFileSource)
+    lines = spark.readStream.format("tailfile").option("path", pattern).option("read_bytes", read_bytes).load()
+    return _writer(lines, config).trigger(processingTime=poll).start()
+
+
+def load(spark: SparkSession, path: str, config: Config) -> None:
+    """Ingest files of any size under ``path`` in one batch, split into blocks; doing it again changes nothing."""
+    timberline.importable(spark)
+    store.create(spark, config.store)
+    lines = frame_files(spark, path).withColumn("epoch", F.lit(0).cast("bigint"))
+    write_batch(spark, records(lines, config, F.current_timestamp()), 0, config)
+
+
+def drain(query, grace: float = 30.0) -> bool:
+    """Stop a stream gracefully: a batch in progress, and what has arrived, gets ``grace`` seconds; whether that was enough."""
+    import threading
+
+    def rest() -> None:
+        query.processAllAvailable()
+        query.processAllAvailable()  # a look for new data that began before this call may have ended the first wait
+
+    waiting = threading.Thread(target=rest, daemon=True)
+    waiting.start()
+    waiting.join(grace)
+    done = not waiting.is_alive()
+    query.stop()
+    return done
+
+
 def deduplicated(entries: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Entries without repeated ids within the delay; the sink absorbs what comes later."""
     return entries.withWatermark("observed_at", delay).dropDuplicatesWithinWatermark(["id"])
