@@ -63,27 +63,43 @@ def test_level_names(spark):
 
 
 def test_framing_chunks_and_resume():
-    f = framing.Framer(100)
-    got = f.feed(b"ab") + f.feed(b"c\nde") + f.feed(b"f\r\n\n") + f.feed(b"gh")
-    assert got == [(100, b"abc"), (104, b"def")] and f.next == 110 and f.pending == 2
-    whole = framing.Framer()
+    got, rest, at = [], b"", 100
+    for chunk in (b"ab", b"c\nde", b"f\r\n\n", b"gh"):
+        found, used = framing.lines_of(rest + chunk, at)
+        rest, at = (rest + chunk)[used:], at + used
+        got += found
+    assert got == [(100, b"abc"), (104, b"def")] and at == 110 and rest == b"gh"
     data = b"one\ntwo\nthree\nfour\n"
-    expected = whole.feed(data)
-    first = framing.Framer()
-    part = first.feed(data[:10])
-    assert part + framing.Framer(first.next).feed(data[first.next :]) == expected
+    expected, _ = framing.lines_of(data)
+    part, used = framing.lines_of(data[:10])
+    assert part + framing.lines_of(data[used:], used)[0] == expected
 
 
 def test_framing_long_lines_flush_and_utf8():
-    f = framing.Framer(0, 4)
-    got = f.feed(b"x" * 10 + b"\n")
-    assert [o for o, _ in got] == [0, 4, 8] and got[-1][1] == b"xx"
-    f = framing.Framer()
-    f.feed(b"done\npart")
-    assert f.flush() == [(5, b"part")] and f.next == 9
+    got, used = framing.lines_of(b"x" * 10 + b"\n", 0, 4)
+    assert [o for o, _ in got] == [0, 4, 8] and got[-1][1] == b"xx" and used == 11
+    assert framing.lines_of(b"x" * 10, 0, 4) == ([(0, b"xxxx"), (4, b"xxxx")], 8)
+    assert framing.lines_of(b"done\npart") == ([(0, b"done")], 5)
+    assert framing.lines_of(b"part", 5, final=True) == ([(5, b"part")], 4)
+    assert framing.lines_of(b"") == ([], 0)
     assert framing.to_valid_utf8(b"a\xff\xfeb\xffc") == "a�b�c"
 
 
+def test_framing_of_files_in_blocks(spark, tmp_path):
+    data = b"".join(b"line %d %s\r\n" % (i, b"y" * (i % 50)) for i in range(3000)) + b"\n\n" + b"z" * 70_000 + b"\na\xff\xfeb\nlast"
+    (tmp_path / "x.log").write_bytes(data)
+    (tmp_path / "y.log").write_bytes(b"one\ntwo\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = framing.frame_files(spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(o, framing.to_valid_utf8(x)) for o, x in framing.lines_of(data, 0, framing.MAX_LINE, True)[0]]
+    assert sorted((r.offset, r.line) for r in got if r.source.endswith("x.log")) == want
+    assert sorted((r.offset, r.line) for r in got if r.source.endswith("y.log")) == [(0, "one"), (4, "two")]
+
+
 def test_container_lines(spark):
     lines = ['{"log":"hi\\r\\n","stream":"stdout","time":"2026-01-01T00:00:00.5Z"}', "plain text", '{"unrelated":1}', '{"log":', '{"log":"\\n","time":"2026-01-01T00:00:00Z"}', ""]
     df = spark.createDataFrame([(x,) for x in lines], "line string")

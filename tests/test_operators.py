@@ -67,18 +67,84 @@ def test_search_pushes_filters_and_prunes_days(spark, sf_dir, tmp_path):
 
 
 def test_upsert_is_idempotent_and_keeps_last_write(spark, sf_dir, tmp_path):
-    path, staging = f"file://{tmp_path}/s", f"file://{tmp_path}/staging"
+    path = f"file://{tmp_path}/s"
     store.create(spark, path)
     columns = store.read(spark, path).columns
     batch = logs_from_events(spark, sf_dir).select(*columns).limit(300)
-    store.upsert(spark, path, batch, staging)
-    store.upsert(spark, path, batch, staging)
+    store.upsert(spark, path, batch, 0)
+    store.upsert(spark, path, batch, 1)
     newer = batch.limit(10).withColumns({"level": F.lit("fatal"), "indexed_at": F.col("indexed_at") + F.expr("INTERVAL '1' DAY")})
-    store.upsert(spark, path, newer.unionByName(batch.limit(10)), staging)
+    store.upsert(spark, path, newer.unionByName(batch.limit(10)), 2)
     got = store.read(spark, path)
     assert got.count() == 300 == got.select("id").distinct().count() and got.where("level = 'fatal'").count() == newer.count()
 
 
+@pytest.mark.parametrize("aqe", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["64", "200"])
+def test_ranking_keeps_every_row_of_wide_and_uneven_tables(spark, aqe, partitions):
+    from timberline.operators.ranking import ranked, running
+
+    names = {"spark.sql.adaptive.enabled": aqe, "spark.sql.shuffle.partitions": partitions, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    old = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        n = 20_000
+        rows = spark.range(n, numPartitions=8).select("id", F.xxhash64("id").alias("k"), F.repeat(F.lit("x"), (F.col("id") % 97 * F.col("id") % 311).cast("int")).alias("wide"), (F.col("id") % 3).alias("n"))
+        got = ranked(rows, [F.col("k").desc()])
+        assert got.columns == [*rows.columns, "place"]
+        keys = sorted((r.k for r in rows.select("k").collect()), reverse=True)
+        out = got.orderBy("place").collect()
+        assert [r.place for r in out] == list(range(1, n + 1)) and [r.k for r in out] == keys
+        total, want = 0, {}
+        for r in rows.orderBy("k").select("k", "n").collect():
+            want[r.k] = total
+            total += r.n
+        assert {r.k: r.before for r in running(rows.select("k", "n"), [F.col("k")], "n", "before").collect()} == want
+        assert ranked(rows.where("id < 0"), [F.col("k")]).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_stray_time_makes_few_ticks(spark):
+    rule = alerts.Rule()
+    df = spark.createDataFrame([("s", 1, 9), ("s", 2_000_000_000, 9), ("t", 5, 1)], "service string, bucket long, n long")
+    assert alerts.ticks(df, rule).count() == 2 * (rule.window + rule.baseline) + 1
+    assert [(r.bucket, r.kind) for r in alerts.transitions(df, rule).orderBy("bucket").collect()] == [(1, "firing"), (1 + rule.window, "resolved"), (2_000_000_000, "firing")]
+
+
+def test_batches_compaction_and_redelivery(spark, sf_dir, tmp_path):
+    path = f"file://{tmp_path}/s"
+    store.create(spark, path)
+    columns = store.read(spark, path).columns
+    rows = logs_from_events(spark, sf_dir).select(*columns)
+    for i in range(3):
+        store.append(spark, path, rows.where(F.col("offset") % 3 == i), i)
+    store.append(spark, path, rows.where(F.col("offset") % 3 == 1), 1)
+    assert store.read(spark, path).count() == rows.count()
+    day = rows.agg(F.min("event_date")).first()[0]
+    assert store.compact(spark, path, day) == 3 and store.compact(spark, path, day) == 1
+    store.append(spark, path, rows.where(F.col("offset") % 2 == 0), "again")
+    assert store.compact(spark, path, day) == 2 and store.compact(spark, path, "1999-01-01") == 0
+    assert store.current(spark, path).select("id").count() == rows.count()
+
+
+def test_counter_increases_over_chunks(spark):
+    from timberline.operators import metrics
+
+    data = [("a", t, v) for t, v in [(0, 5), (10, 9), (50, 12), (51, 3), (200, 4), (1000, 4), (1001, 1)]]
+    df = spark.createDataFrame(data, "h string, t long, v long")
+    for chunk in (20, 100, 86_400):
+        assert [r._up for r in metrics.increases(df, ["h"], "t", "v", chunk=chunk).orderBy("t").collect()] == [0, 4, 3, 3, 1, 0, 1]
+    got = metrics.rate_of(df.withColumn("u", F.lit(1)), ["h"], "t", "u", 25, 10).orderBy("tick").collect()
+    want = {}
+    for _, t, _ in data:
+        for tick in range(-(-t // 10) * 10, t + 25, 10):
+            want[tick] = want.get(tick, 0) + 1
+    assert {r.tick: round(r.rate * 25) for r in got} == want
+
+
 def test_alert_golden_count(spark):
     b = alerts.error_buckets(logs_from_events(spark, "/root/testdata/sf0.01"), alerts.Rule())
     kinds = [r.kind for r in alerts.transitions(b, alerts.Rule()).collect()]

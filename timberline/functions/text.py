@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_BYTES = 200
@@ -15,22 +17,45 @@ def terms(text: Column) -> Column:
 
 
 def matches(text: Column, query: str) -> Column:
-    """Whether every term of the query is a term of the text; a query without terms matches nothing."""
+    """Whether every term of the query is a term of the text; a query without terms matches nothing.
+
+    Texts that don't contain the query's longest runs of ASCII letters and digits
+    are told apart first, so that terms are taken of few texts only.
+    """
     wanted = F.array_distinct(terms(F.lit(query)))
-    return (F.size(wanted) > 0) & (F.size(F.array_except(wanted, terms(text))) == 0)
+    exact = (F.size(wanted) > 0) & (F.size(F.array_except(wanted, terms(text))) == 0)
+    runs = sorted({x.lower() for x in re.findall(r"[A-Za-z0-9]+", query)} , key=lambda x: (-len(x), x))[:4]
+    for run in reversed(runs):
+        exact = F.contains(F.lower(text), F.lit(run)) & exact
+    return exact
 
 
 def contains_ci(text: Column, part: str) -> Column:
     return F.contains(F.lower(text), F.lit(part.lower()))
 
 
-def unwrap_container_line(line: Column) -> Column:
+def container_json(line: Column) -> Column:
+    """Struct of log, stream and time of a container runtime's JSON line; null if it is none."""
+    return F.from_json(F.when(F.startswith(F.ltrim(line), F.lit("{")), line), "log string, stream string, time string")
+
+
+def unwrapped(rows: DataFrame, line: Column, out: str) -> DataFrame:
+    """Adds ``out``, the struct of ``unwrap_container_line``; each line is parsed once, however often its parts are used.
+
+    A generator stands between parsing and use, through which the optimizer
+    doesn't push either.
+    """
+    parsed = rows.withColumn("_line", line).withColumn("_json", F.explode(F.array(container_json(F.col("_line")))))
+    return parsed.withColumn(out, F.explode(F.array(unwrap_container_line(F.col("_line"), F.col("_json"))))).drop("_line", "_json")
+
+
+def unwrap_container_line(line: Column, parsed: Column | None = None) -> Column:
     """Struct of ok, message, time and drop for a container runtime's JSON line.
 
     Not ok: no JSON, or neither text nor time; the line is plain text then. An
     empty message of a proper line is to be dropped.
     """
-    x = F.from_json(F.when(F.startswith(F.ltrim(line), F.lit("{")), line), "log string, stream string, time string")
+    x = container_json(line) if parsed is None else parsed
     text, time = F.coalesce(x["log"], F.lit("")), F.coalesce(x["time"], F.lit(""))
     ok = F.coalesce((text != "") | (time != ""), F.lit(False))
     message = F.when(ok, F.regexp_replace(text, r"[\r\n]+\z", "")).otherwise(line)

@@ -50,13 +50,21 @@ def apache(line: Column) -> Column:
 
 
 def syslog(line: Column, now: Column) -> Column:
-    """Month, day and time; the year is that of ``now``, or the one before if that lies over a day ahead."""
+    """Month, day and time; the year is that of ``now``, or the one before if that lies over a day ahead.
+
+    The last day of February is the first of March in a year that hasn't got it.
+    """
     text = F.substring(line, 1, 15)
     fits = text.rlike(f"^{MONTHS} [0-9 ]\\d \\d\\d:\\d\\d:\\d\\d$")
     padded = F.regexp_replace(text, "^(...)  ", "$1 0")
-    at = lambda year: F.try_to_timestamp(F.concat(year.cast("string"), F.lit(" "), padded), F.lit("yyyy MMM dd HH:mm:ss"))
+    leap = F.try_to_timestamp(F.concat(F.lit("2000 "), padded), F.lit("yyyy MMM dd HH:mm:ss"))  # a leap year has every day
+
+    def at(year: Column) -> Column:
+        first = F.make_timestamp(years=year, months=F.month(leap), days=F.lit(1), hours=F.hour(leap), mins=F.minute(leap), secs=F.second(leap))
+        return first + F.make_dt_interval(F.dayofmonth(leap) - 1)
+
     this = at(F.year(now))
-    return F.when(fits, F.when(this > now + F.expr("INTERVAL '24' HOUR"), at(F.year(now) - 1)).otherwise(F.coalesce(this, at(F.year(now) - 1))))
+    return F.when(fits, F.when(this > now + F.expr("INTERVAL '24' HOUR"), at(F.year(now) - 1)).otherwise(this))
 
 
 def parse_timestamp(line: Column, now: Column) -> Column:

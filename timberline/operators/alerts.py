@@ -38,10 +38,15 @@ def error_buckets(logs: DataFrame, rule: Rule, now: Column | None = None) -> Dat
     return rows.groupBy("service", bucket_of(at, rule).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ticks(buckets: DataFrame) -> DataFrame:
-    """A row for every service and every bucket of the whole span, so that quiet ones are evaluated too."""
-    span = buckets.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    spine = buckets.select("service").distinct().join(F.broadcast(span)).select("service", F.explode(F.sequence("lo", "hi")).alias("bucket"))
+def ticks(buckets: DataFrame, rule: Rule) -> DataFrame:
+    """A row for every service and every bucket up to the newest one that has an error in its look-back.
+
+    In all others nothing can happen: a window is empty there and so is its
+    baseline. A stray time makes no more rows than window and baseline have buckets.
+    """
+    newest = buckets.agg(F.max("bucket").alias("newest"))
+    last = F.least(F.col("bucket") + (rule.window + rule.baseline - 1), F.col("newest"))
+    spine = buckets.join(F.broadcast(newest)).select("service", F.explode(F.sequence("bucket", last)).alias("bucket")).distinct()
     return spine.join(buckets, ["service", "bucket"], "left").fillna(0, ["n"])
 
 
@@ -50,7 +55,7 @@ def windowed(buckets: DataFrame, rule: Rule) -> DataFrame:
     of = Window.partitionBy("service").orderBy("bucket")
     win = F.sum("n").over(of.rangeBetween(-(rule.window - 1), 0))
     base = F.coalesce(F.sum("n").over(of.rangeBetween(-(rule.window + rule.baseline - 1), -rule.window)), F.lit(0))
-    return ticks(buckets).select("service", "bucket", win.alias("win"), (base * rule.window / float(rule.baseline)).alias("usual"))
+    return ticks(buckets, rule).select("service", "bucket", win.alias("win"), (base * rule.window / float(rule.baseline)).alias("usual"))
 
 
 def spiking(rule: Rule) -> Column:
@@ -60,8 +65,8 @@ def spiking(rule: Rule) -> Column:
 def transitions(buckets: DataFrame, rule: Rule) -> DataFrame:
     """service, bucket, kind (firing or resolved), errors and usual of every transition.
 
-    One service's evaluations are folded in order; a service's ticks are as many
-    as the span has buckets, whatever the number of errors.
+    One service's evaluations are folded in order; a service has one for every
+    bucket with an error in its look-back, whatever the number of errors.
     """
     per = windowed(buckets, rule).groupBy("service").agg(F.array_sort(F.collect_list(F.struct("bucket", "win", "usual"))).alias("ticks"))
     fold = f"""

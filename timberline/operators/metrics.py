@@ -34,15 +34,28 @@ def histogram_quantile(histogram: DataFrame, keys: list[str], q: float) -> DataF
     return per.withColumn("total", total).withColumn("rank", rank.cast("double")).select(*keys, F.expr(expr).alias("value"))
 
 
-def counter_rate(samples: DataFrame, keys: list[str], at: str, value: str, width: int, step: int) -> DataFrame:
-    """keys, tick and the counter's increase a second over the last ``width`` seconds, every ``step`` seconds.
+def increases(samples: DataFrame, keys: list[str], at: str, value: str, ties: list[str] = [], chunk: int = 86_400) -> DataFrame:  # noqa: B006
+    """Adds _up: the counter's growth since the series' sample before; a drop is a restart from 0, the first sample counts 0.
 
-    A drop of the counter is a restart from 0. ``at`` holds epoch seconds.
+    A series is cut into chunks of time, so that a long one needs no single task:
+    a chunk's first sample is compared with the last one of the chunk before, of
+    which there is one row a chunk.
     """
-    of = Window.partitionBy(*keys).orderBy(at)
-    before = F.lag(value).over(of)
+    rows = samples.withColumn("_chunk", F.floor(F.col(at) / chunk))
+    order = [at, *ties]
+    last = rows.groupBy(*keys, "_chunk").agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    carried = last.select(*keys, "_chunk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carried"))
+    before = F.coalesce(F.lag(value).over(Window.partitionBy(*keys, "_chunk").orderBy(*order)), F.col("_carried"))
     grown = F.when(before.isNull(), F.lit(0)).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    return rate_of(samples.withColumn("_up", grown), keys, at, "_up", width, step)
+    return rows.join(carried, [*keys, "_chunk"]).withColumn("_up", grown).drop("_chunk", "_carried")
+
+
+def counter_rate(samples: DataFrame, keys: list[str], at: str, value: str, width: int, step: int, ties: list[str] = []) -> DataFrame:  # noqa: B006
+    """keys, tick and the counter's increase a second over the last ``width`` seconds, every ``step`` seconds.
+
+    ``at`` holds epoch seconds, ``ties`` orders samples of one second.
+    """
+    return rate_of(increases(samples, keys, at, value, ties), keys, at, "_up", width, step)
 
 
 def snapshot_delta(after: DataFrame, before: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -61,7 +74,14 @@ def clamped_ms(later: Column, earlier: Column) -> Column:
 
 
 def rate_of(increases: DataFrame, keys: list[str], at: str, up: str, width: int, step: int) -> DataFrame:
-    """keys, tick and increases a second over the last ``width`` seconds, every ``step`` seconds."""
+    """keys, tick and increases a second over the last ``width`` seconds, every ``step`` seconds.
+
+    Increases are summed up by the first tick that sees them, and only these sums
+    are repeated for the ticks after it. Where ``step`` doesn't divide ``width``,
+    increases that the last tick no longer sees are summed apart.
+    """
     first = (F.ceil(F.col(at) / step) * step).cast("bigint")
-    ticks = increases.withColumn("tick", F.explode(F.sequence(first, first + (width - 1) // step * step, F.lit(step).cast("bigint"))))
-    return ticks.where(F.col("tick") - F.col(at) < width).groupBy(*keys, "tick").agg((F.sum(up) / float(width)).alias("rate"))
+    span = (F.floor((width - 1 - (first - F.col(at))) / step) * step).cast("bigint")  # from the first tick to the last
+    sums = increases.withColumns({"_first": first, "_span": span}).where("_span >= 0").groupBy(*keys, "_first", "_span").agg(F.sum(up).alias("_sum"))
+    ticks = sums.withColumn("tick", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_span"), F.lit(step).cast("bigint"))))
+    return ticks.groupBy(*keys, "tick").agg((F.sum("_sum") / float(width)).alias("rate"))

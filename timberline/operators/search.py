@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline.functions.levels import LEVELS
@@ -126,6 +126,21 @@ def page(logs: DataFrame, query: Query, more: int = 0) -> DataFrame:
     return matching(logs, query).orderBy(ms().desc(), F.col("id").desc()).limit(query.limit + more)
 
 
+def stored_page(spark: SparkSession, path: str, query: Query, more: int = 0) -> DataFrame:
+    """A page of a store. Days are pruned and the last write of an id found among the days that are left.
+
+    An id whose writes carry different times, which only records without a time of
+    their own do, counts in each day that has one.
+    """
+    from timberline.operators.store import last_write, read
+
+    days = [c for b, at in (("__ge__", query.start), ("__le__", query.end)) if at is not None for c in [getattr(F.col("event_date"), b)(F.lit(at.astimezone(dt.timezone.utc).date()))]]
+    rows = read(spark, path)
+    for c in days:
+        rows = rows.where(c)
+    return page(last_write(rows), query, more)
+
+
 def fetch(logs: DataFrame, query: Query) -> tuple[list, SortKey | None]:
     """A page's rows, and the key to go on after if there are more."""
     rows = page(logs.withColumn("_ms", ms()), query, more=1).collect()

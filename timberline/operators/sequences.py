@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,17 +29,31 @@ def epochs(df: DataFrame, path: str, order: str, size: str, inode: str) -> DataF
 def token_bucket(df: DataFrame, key: str, order: str, at_ms: str, rate: float, burst: int, cost: Column | None = None) -> DataFrame:
     """key, order, allowed and wait_ms of every request, by a bucket of ``burst`` tokens that refills at ``rate`` a second.
 
-    Requests of a key are folded in order; costs lie between 1 and the burst.
+    Requests of a key come in order to one task, which holds no more than the
+    bucket's state; costs lie between 1 and the burst.
     """
     cost = F.greatest(F.lit(1.0), F.least(cost if cost is not None else F.lit(1.0), F.lit(float(burst))))
-    per = df.select(key, F.struct(F.col(at_ms).alias("t"), F.col(order).alias("k"), cost.cast("double").alias("c")).alias("r")).groupBy(key).agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    fold = f"""
-      aggregate(rs, named_struct('left', {float(burst)}D, 'at', CAST(NULL AS BIGINT), 'out', CAST(array() AS ARRAY<STRUCT<k: BIGINT, ok: BOOLEAN, wait: BIGINT>>)),
-        (s, r) -> transform(array(least({float(burst)}D, s.left + IF(s.at IS NULL, 0D, greatest(r.t - s.at, 0L) * {rate / 1000!r}D))), have ->
-          named_struct('left', IF(have >= r.c, have - r.c, have), 'at', r.t,
-            'out', concat(s.out, array(named_struct('k', r.k, 'ok', have >= r.c, 'wait', IF(have >= r.c, 0L, CAST(ceil((r.c - have) * {1000 / rate!r}D) AS BIGINT))))))
-        )[0]).out"""
-    return per.select(key, F.explode(F.expr(fold)).alias("o")).select(key, F.col("o.k").alias(order), F.col("o.ok").alias("allowed"), F.col("o.wait").alias("wait_ms"))
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (key, order)}
+
+    def run(batches):
+        import pyarrow as pa
+
+        owner, left, last = object(), 0.0, 0
+        for batch in batches:
+            allowed, waits = [], []
+            for k, t, c in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+                if k != owner:
+                    owner, left, last = k, float(burst), t
+                left = min(float(burst), left + max(t - last, 0) * (rate / 1000))
+                last = t
+                ok = left >= c
+                waits.append(0 if ok else math.ceil((c - left) * (1000 / rate)))
+                left -= c if ok else 0.0
+                allowed.append(ok)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(allowed, pa.bool_()), pa.array(waits, pa.int64())], names=[key, order, "allowed", "wait_ms"])
+
+    rows = df.select(key, order, F.col(at_ms).cast("bigint").alias("_t"), cost.cast("double").alias("_c"))
+    return rows.repartition(key).sortWithinPartitions(key, "_t", order).mapInArrow(run, f"{key} {kinds[key]}, {order} {kinds[order]}, allowed boolean, wait_ms bigint")
 
 
 def stalled_at(df: DataFrame, order: str, count: str, stall: int) -> DataFrame:

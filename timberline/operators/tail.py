@@ -63,8 +63,24 @@ def fan_out(logs: DataFrame, subscriptions: dict[str, TailFilter]) -> DataFrame:
     return logs.withColumn("client", F.explode(hits))
 
 
-def buffered(matches: DataFrame, buffers: dict[str, int], order: list[str]) -> DataFrame:
+def _size(buffers: dict[str, int]) -> Column:
+    return F.element_at(F.create_map(*(F.lit(x) for kv in buffers.items() for x in kv)), F.col("client"))
+
+
+def kept(matches: DataFrame, buffers: dict[str, int], order: list[str]) -> DataFrame:
+    """The rows that each client's buffer takes of a burst: the first ones in ``order``.
+
+    A client's rows are cut in hashed parts first, so that a filter that lets all
+    pass doesn't bring all rows to one task.
+    """
+    parts = matches.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(64))).withColumn("_size", _size(buffers))
+    for keys in (["client", "_part"], ["client"]):
+        parts = parts.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r <= _size")
+    return parts.drop("_part", "_size", "_r")
+
+
+def buffered(matches: DataFrame, buffers: dict[str, int]) -> DataFrame:
     """client, delivered and dropped when each client's buffer takes only the first rows of a burst."""
     counts = matches.groupBy("client").agg(F.count(F.lit(1)).alias("n"))
-    size = F.element_at(F.create_map(*(F.lit(x) for kv in buffers.items() for x in kv)), F.col("client"))
+    size = _size(buffers)
     return counts.select("client", F.least("n", size).cast("bigint").alias("delivered"), (F.col("n") - F.least("n", size)).cast("bigint").alias("dropped"))

@@ -41,10 +41,11 @@ def frame_lines(spark, d):
 
 @query(
     "frame_long_lines",
-    FRAMES + ', cut AS (SELECT doc_id, pos0, n, unnest(range((n + 63) // 64)) AS k FROM lines WHERE n > 0) SELECT doc_id, (pos0 + 64 * k)::BIGINT AS "offset", least(64, n - 64 * k)::BIGINT AS n_bytes FROM cut',
+    FRAMES + ', cut AS (SELECT doc_id, pos0, n, hex(encode(line)) AS h, unnest(range((n + 63) // 64)) AS k FROM lines WHERE n > 0) SELECT doc_id, (pos0 + 64 * k)::BIGINT AS "offset", least(64, n - 64 * k)::BIGINT AS n_bytes, substring(h, 128 * k + 1, 128) AS bytes FROM cut',
 )
 def frame_long_lines(spark, d):
-    return framing.frame(table(spark, d, "documents"), "doc_id", "text", max_line=64).drop("line")
+    rows = framing.frame(table(spark, d, "documents"), "doc_id", "text", max_line=64, raw=True)
+    return rows.select("doc_id", "offset", "n_bytes", F.hex("line").alias("bytes"))
 
 
 AT = "(o_orderdate + INTERVAL 1 SECOND * (o_orderkey % 86400))"
@@ -71,16 +72,15 @@ _parse("rfc3339", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", timestamps.rfc3339, " level=in
 @query(
     "parse_ts_syslog",
     f"""WITH t AS (SELECT o_orderkey, {AT} AS t0 FROM orders),
-    y AS (SELECT o_orderkey, make_timestamp(2026, month(t0), day(t0), hour(t0), minute(t0), second(t0)::DOUBLE) AS this,
-                 make_timestamp(2025, month(t0), day(t0), hour(t0), minute(t0), second(t0)::DOUBLE) AS last FROM t WHERE NOT (month(t0) = 2 AND day(t0) = 29))
+    y AS (SELECT o_orderkey, make_timestamp(2026, month(t0), 1, hour(t0), minute(t0), second(t0)::DOUBLE) + to_days(day(t0)::INTEGER - 1) AS this,
+                 make_timestamp(2025, month(t0), 1, hour(t0), minute(t0), second(t0)::DOUBLE) + to_days(day(t0)::INTEGER - 1) AS last FROM t)
     SELECT o_orderkey, epoch_us(CASE WHEN this > TIMESTAMP '2026-03-02 00:00:00' THEN last ELSE this END) AS at_us FROM y""",
 )
 def parse_ts_syslog(spark, d):
     at = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate").cast("timestamp"))
     line = F.concat(F.date_format(at, "MMM dd HH:mm:ss"), F.lit(" LabSZ sshd[24200]: x"))
     now = F.lit("2026-03-01 00:00:00").cast("timestamp")
-    rows = table(spark, d, "orders").where(F.date_format(at, "MMdd") != "0229")
-    return rows.select("o_orderkey", F.unix_micros(timestamps.syslog(line, now)).alias("at_us"))
+    return table(spark, d, "orders").select("o_orderkey", F.unix_micros(timestamps.syslog(line, now)).alias("at_us"))
 
 
 @query("parse_ts_any", f"SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE epoch_us({AT}) END AS at_us FROM orders")
@@ -151,8 +151,8 @@ def docker_unwrap(spark, d):
         F.when(k == 1, '{"unrelated":1}').when(k == 2, "plain text").when(k == 4, shell(F.lit("\r\n")))
         .otherwise(shell(F.concat("message", F.when(k == 3, "\r\n").otherwise("\n"))))
     )
-    u = text.unwrap_container_line(line)
-    rows = logs_from_events(spark, d).select("offset", u.alias("u")).where("NOT u.drop")
+    lines = logs_from_events(spark, d).select("offset", line.alias("line"))
+    rows = text.unwrapped(lines, F.col("line"), "u").where("NOT u.drop")
     return rows.select("offset", "u.message", "u.ok", F.unix_micros("u.time").alias("at_us"))
 
 
@@ -185,15 +185,19 @@ def escape_slack(spark, d):
     return logs_from_events(spark, d).select("offset", text.escape_chat(F.concat(F.lit("<"), "message", F.lit("> & `x`"))).alias("escaped"))
 
 
-@query("truncate_sample", "SELECT doc_id, CASE WHEN strlen(text) > 200 THEN 203 ELSE strlen(text) END::BIGINT AS n FROM documents WHERE text IS NOT NULL")
+@query("truncate_sample", "SELECT doc_id, CASE WHEN strlen(text) > 200 THEN left(hex(encode(text)), 400) || '2E2E2E' ELSE hex(encode(text)) END AS bytes FROM documents WHERE text IS NOT NULL")
 def truncate_sample(spark, d):
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.octet_length(text.truncated(F.col("text"))).cast("bigint").alias("n"))
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.hex(text.truncated(F.col("text"))).alias("bytes"))
 
 
-@query("tokenize_terms", r"SELECT doc_id, len(regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\s]', ' ', 'g'), '[a-z0-9_]+'))::BIGINT AS n FROM documents")
+#: The term rule without look-ahead: a joiner is taken with the letter or digit behind it.
+TERMS_SQL = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+(?:[.:'']\p{L}[\p{L}\p{N}_]*|[.,]\p{N}[\p{L}\p{N}_]*)*')"
+
+
+@query("tokenize_terms", f"SELECT doc_id, len({TERMS_SQL})::BIGINT AS n, array_to_string({TERMS_SQL}, ' ') AS terms FROM documents")
 def tokenize_terms(spark, d):
-    plain = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^a-z0-9_\s]", " ")
-    return table(spark, d, "documents").select("doc_id", F.size(text.terms(plain)).cast("bigint").alias("n"))
+    found = text.terms(F.coalesce("text", F.lit("")))
+    return table(spark, d, "documents").select("doc_id", F.size(found).cast("bigint").alias("n"), F.array_join(found, " ").alias("terms"))
 
 
 @query("backoff_ceiling", "SELECT o_orderkey, least(100 * pow(2, o_orderkey % 12), 30000)::BIGINT AS ms FROM orders")

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from timberline.functions.text import escape_chat
 from timberline.operators import alerts, bench, metrics, sequences
-from timberline.operators.tail import TailFilter, buffered, events, fan_out
+from timberline.operators.tail import TailFilter, buffered, events, fan_out, kept
 from timberline.plans.registry import query, with_logs
 from timberline.sources.tables import logs_from_events, table
 
@@ -28,7 +27,7 @@ def error_buckets(spark, d):
     return alerts.error_buckets(logs_from_events(spark, d), RULE)
 
 
-@query("window_baseline", with_logs("SELECT service, bucket, win, usual FROM w", BUCKETS, WINDOWS.strip()))
+@query("window_baseline", with_logs("SELECT service, bucket, win, usual FROM w WHERE win > 0 OR usual > 0", BUCKETS, WINDOWS.strip()))
 def window_baseline(spark, d):
     return alerts.windowed(alerts.error_buckets(logs_from_events(spark, d), RULE), RULE)
 
@@ -71,11 +70,23 @@ def alert_samples(spark, d):
 
 @query(
     "slack_text",
-    with_logs("""SELECT service, format(':rotating_light: *{}*: {} errors in hour {} (usually {:.1f})', service, win, bucket, round(usual, 1)) AS text FROM w WHERE win >= 5 AND win >= 1.5 * greatest(usual, 1)""", BUCKETS, WINDOWS.strip()),
+    with_logs(
+        """SELECT w.service, w.bucket, format(':rotating_light: *{}*: {} errors in the window (usually {:.1f})', w.service, win, usual) || chr(10) || texts AS text
+        FROM w JOIN (SELECT service, string_agg('`' || replace(replace(replace(replace(message, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '`', chr(39)) || '`', chr(10) ORDER BY rank) AS texts FROM s GROUP BY service) USING (service)
+        WHERE win >= 5 AND win >= 1.5 * greatest(usual, 1)""",
+        BUCKETS, WINDOWS.strip(),
+        """s AS (SELECT * FROM (SELECT service, message, row_number() OVER (PARTITION BY service ORDER BY observed_at DESC, id DESC) AS rank FROM logs WHERE level IN ('error', 'fatal')) WHERE rank <= 3)""",
+    ),
 )
 def slack_text(spark, d):
-    spikes = alerts.windowed(alerts.error_buckets(logs_from_events(spark, d), RULE), RULE).where(alerts.spiking(RULE))
-    return spikes.select("service", F.format_string(":rotating_light: *%s*: %d errors in hour %d (usually %.1f)", escape_chat(F.col("service")), "win", "bucket", "usual").alias("text"))
+    """The notifier's own text of every spike, with the samples of its service."""
+    from timberline.service.notify import rendered
+
+    logs = logs_from_events(spark, d)
+    spikes = alerts.windowed(alerts.error_buckets(logs, RULE), RULE).where(alerts.spiking(RULE))
+    texts = alerts.samples(logs, RULE).groupBy("service").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "message"))), lambda x: x["message"]).alias("samples"))
+    rows = spikes.join(texts, "service").select("service", "bucket", F.lit("firing").alias("kind"), F.col("win").alias("errors"), "usual", "samples")
+    return rendered(rows).select("service", "bucket", "text")
 
 
 @query("tail_filter", with_logs("""SELECT id, service, level, host FROM logs WHERE service IN ('svc-1', 'svc-2') AND level IN ('warn', 'error') AND contains(lower(message), 'user=1')"""))
@@ -85,6 +96,7 @@ def tail_filter(spark, d):
 
 
 CLIENTS = {"a": TailFilter.parse(service="svc-0"), "b": TailFilter.parse(level="error", host="host-1"), "c": TailFilter.parse(q="purchase"), "d": TailFilter.parse()}
+BUFFERS = {"a": 100, "b": 5000, "c": 7, "d": 1000}
 FAN = """fan AS (SELECT id, unnest(list_filter([CASE WHEN service = 'svc-0' THEN 'a' END, CASE WHEN level = 'error' AND host = 'host-1' THEN 'b' END, CASE WHEN contains(lower(message), 'purchase') THEN 'c' END, 'd'], lambda x: x IS NOT NULL)) AS client FROM logs)"""
 
 
@@ -95,7 +107,14 @@ def tail_fanout(spark, d):
 
 @query("tail_buffer_drop", with_logs("""SELECT client, least(n, s)::BIGINT AS delivered, (n - least(n, s))::BIGINT AS dropped FROM (SELECT client, count(*) AS n, CASE client WHEN 'a' THEN 100 WHEN 'b' THEN 5000 WHEN 'c' THEN 7 ELSE 1000 END AS s FROM fan GROUP BY client)""", FAN))
 def tail_buffer_drop(spark, d):
-    return buffered(fan_out(logs_from_events(spark, d), CLIENTS), {"a": 100, "b": 5000, "c": 7, "d": 1000}, ["timestamp"])
+    return buffered(fan_out(logs_from_events(spark, d), CLIENTS), BUFFERS)
+
+
+@query("tail_buffer_kept", with_logs("""SELECT client, id FROM (SELECT client, id, row_number() OVER (PARTITION BY client ORDER BY "timestamp", id) AS r, CASE client WHEN 'a' THEN 100 WHEN 'b' THEN 5000 WHEN 'c' THEN 7 ELSE 1000 END AS s FROM fan JOIN logs USING (id)) WHERE r <= s""", FAN))
+def tail_buffer_kept(spark, d):
+    """Which events of a burst the buffers take."""
+    matches = fan_out(logs_from_events(spark, d).select("id", "service", "timestamp", "level", "message", "host"), CLIENTS)
+    return kept(matches, BUFFERS, ["timestamp", "id"]).select("client", "id")
 
 
 BOUNDS = metrics.exponential_bounds(1.0, 2.0, 10)
@@ -133,17 +152,10 @@ def counter(spark, d):
     )
 
 
-def rates(spark, d):
-    c = counter(spark, d).withColumn("at", F.struct("at_s", "event_id"))
-    of = Window.partitionBy("host").orderBy("at_s", "event_id")
-    before = F.lag("value").over(of)
-    up = c.withColumn("up", F.when(before.isNull(), F.lit(0)).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before))
-    return metrics.rate_of(up, ["host"], "at_s", "up", 3600, 300)
-
-
 @query("counter_rate", RATE + " SELECT host, tick, round(sum(up) / 3600.0, 9) AS rate FROM t WHERE tick - at_s < 3600 GROUP BY host, tick")
 def counter_rate(spark, d):
-    return rates(spark, d).select("host", "tick", F.round("rate", 9).alias("rate"))
+    rates = metrics.counter_rate(counter(spark, d), ["host"], "at_s", "value", 3600, 300, ties=["event_id"])
+    return rates.select("host", "tick", F.round("rate", 9).alias("rate"))
 
 
 @query("sum_by_label", with_logs("SELECT service, level, round(sum(value), 4) AS total FROM logs GROUP BY service, level"))

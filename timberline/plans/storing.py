@@ -144,6 +144,62 @@ def pagination_walk(spark, d):
     return search.numbered(logs_from_events(spark, d), 700).select("id", "page", "place")
 
 
+@query("pagination_full", with_logs(f"""SELECT id, service, (epoch_us("timestamp") // 1000) AS ts_ms, level, message, host, source, "offset", event_type, value, ((row_number() OVER ({ORDER}) - 1) // 700)::BIGINT AS page, row_number() OVER ({ORDER}) AS place FROM logs"""))
+def pagination_full(spark, d):
+    """The walk over rows with all their columns."""
+    out = search.numbered(logs_from_events(spark, d), 700)
+    return out.select("id", "service", search.ms().alias("ts_ms"), "level", "message", "host", "source", "offset", "event_type", "value", "page", "place")
+
+
+def _stored(spark, d):
+    """A store on disk: all logs in two batches, a third of them delivered again later with another level, one day merged."""
+    from timberline.sources.tables import LOG_SCHEMA
+    from timberline.staging import folder
+
+    path = folder(spark, "store")
+    store.create(spark, path)
+    rows = writes(spark, d).select(*LOG_SCHEMA.names, F.to_date("timestamp").alias("event_date"))
+    late = F.col("level") == "fatal"
+    store.append(spark, path, rows.where(~late & (F.col("offset") % 2 == 0)), 0)
+    store.append(spark, path, rows.where(~late & (F.col("offset") % 2 == 1)), 1)
+    store.append(spark, path, rows.where(late), 2)
+    store.append(spark, path, rows.where(late), 2)  # delivered once more
+    first = store.read(spark, path).agg(F.min("event_date")).first()[0]
+    if first is not None:
+        store.compact(spark, path, first)
+    return path
+
+
+STORE = WRITES + """, kept AS (SELECT w.id, arg_max(w.level, w.indexed_at) AS level FROM writes w GROUP BY w.id)"""
+
+
+@query("store_current", with_logs("""SELECT l.id, k.level, l.service, (epoch_us(l."timestamp") // 1000) AS ts_ms, l.message, l."offset" FROM logs l JOIN kept k USING (id)""", STORE))
+def store_current(spark, d):
+    """What a written store holds after batches, redelivery and a merge."""
+    return store.current(spark, _stored(spark, d)).select("id", "level", "service", search.ms().alias("ts_ms"), "message", "offset")
+
+
+@query("store_search", with_logs(f"""SELECT l.id, (epoch_us(l."timestamp") // 1000) AS ts_ms FROM logs l JOIN kept k USING (id) WHERE k.level = 'fatal' AND l.service = 'svc-1' AND {RANGE} {ORDER} LIMIT 50""", STORE))
+def store_search(spark, d):
+    """A page of a written store, days outside of the range pruned."""
+    q = search.Query(service="svc-1", level="fatal", start=_time("2024-01-05T00:00:00"), end=_time("2024-01-20T12:00:00"), limit=50)
+    return search.stored_page(spark, _stored(spark, d), q).select("id", search.ms().alias("ts_ms"))
+
+
+@query("store_cursor_walk", with_logs(f"""SELECT id, ((row_number() OVER ({ORDER}) - 1) // 500)::BIGINT AS page FROM logs WHERE service = 'svc-2' AND event_type = 'signup' AND "offset" % 3 = 0""", WRITES))
+def store_cursor_walk(spark, d):
+    """Page after page of a written store by its cursors."""
+    path, after, pages, number = _stored(spark, d), None, [], 0
+    logs = store.current(spark, path).where("message LIKE 'signup%' AND offset % 3 = 0")
+    while True:
+        rows, after = search.fetch(logs, search.Query(service="svc-2", limit=500, after=after))
+        pages += [(r["id"], number) for r in rows]
+        number += 1
+        if after is None:
+            break
+    return spark.createDataFrame(pages, "id string, page long")
+
+
 @query("count_by_source", with_logs("SELECT source, count(*) AS n FROM logs GROUP BY source"))
 def count_by_source(spark, d):
     return logs_from_events(spark, d).groupBy("source").agg(F.count("*").alias("n"))

@@ -10,6 +10,9 @@ import time
 import urllib.error
 import urllib.request
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
 
 def render(alert: dict) -> str:
     """One message of an alert: service, kind, errors, usual, samples."""
@@ -21,6 +24,18 @@ def render(alert: dict) -> str:
     return "\n".join(lines)
 
 
+def rendered(alerts: DataFrame) -> DataFrame:
+    """Adds text, the message of every alert (service, kind, errors, usual, samples); alerts are few."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.append_column("text", pa.array([render(x) for x in batch.to_pylist()], pa.string()))
+
+    return alerts.mapInArrow(run, T.StructType([*alerts.schema.fields, T.StructField("text", T.StringType())]))
+
+
 def backoff(attempt: int, base: float = 0.1, most: float = 30.0, rng=random.random) -> float:
     """A wait between nothing and the ceiling of the attempt."""
     return rng() * min(base * 2 ** min(attempt, 60), most)
