@@ -96,23 +96,40 @@ def sole_cache(name: str, clear) -> None:
     _CACHES[name] = clear
 
 
+#: Pre-tokenizers and normalizers under which a text's ids are those of its chunks between ASCII white space.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class IdEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
-
-    The vocabulary's pre-tokenizer never joins what white space separates, so a
-    text's ids are those of its chunks between spaces and line feeds, one after
-    the other. The library encodes a chunk when it comes up; tables keep at most
-    twice ``capacity`` chunks: when the younger one is full it becomes the older
-    one, and chunks that are met again move to the younger. New words are encoded
-    as one text, which is split where ids end a word; chunks of any other shape
-    are encoded each for itself. Texts that the vocabulary lower-cases anyway
-    share the lower-case chunks.
+    """Token ids of texts.
+
+    Where the vocabulary's file says that words, digits and runs of marks are
+    encoded each for itself (``_BY_WORDS``), a text's ids are those of its chunks
+    between white space, and a chunk's are those of its letters and of the marks
+    behind them. Each different chunk of a batch is looked up once; tables keep at
+    most twice ``capacity`` chunks: when the younger one is full it becomes the
+    older one, and chunks that are met again move to the younger. New words in
+    Latin letters are lower-cased and encoded together as one text, which is split
+    where ids end a word; all other chunks go to the library as they are.
+
+    Any other vocabulary gets whole texts.
     """
 
-    STOPS = frozenset(",.;:!?")
-
     def __init__(self, path: str, capacity: int = 700_000):
-        from tokenizers import Tokenizer
+        import json
+
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
@@ -120,58 +137,97 @@ class IdEncoder:
         self.capacity = capacity
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AbZ") == "abz"
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 500):
-            out += self._encoded(texts[i : i + 500])
-        return out
-
-    def _encoded(self, texts: list[str | None]) -> list[bytes]:
-        chunks = []
-        for x in texts:
-            x = (x or "").replace("\n", " ")
-            if self.lowers and x.isascii() and "<|" not in x:
-                x = x.lower()
-            chunks.append(x.split(" "))
-        seen = set().union(*chunks)
+        says = json.loads(self.tokenizer.to_str())
+        self.by_words = (
+            all(says[k] == v for k, v in _BY_WORDS.items()) and says["model"]["type"] == "BPE" and says["model"]["end_of_word_suffix"] == "</w>"
+            and all(x["content"].startswith("<|") and " " not in x["content"] for x in says["added_tokens"])
+        )
+        if self.by_words:
+            # the same model for words that are normalized already
+            self.words = Tokenizer.from_file(path)
+            self.words.normalizer = normalizers.Sequence([])
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of an Arrow array of strings, one after the other, and where each text's begin; the last bound is their number.
+
+        Nulls have no ids.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if not self.by_words:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)]).astype(np.int64)
+            return np.array([i for x in found for i in x], "<u4"), bounds
+        low = pc.ascii_lower(texts)
+        marked = pc.match_substring(texts, "<|")  # a special token is one as it is written only
+        if pc.any(marked).as_py():
+            low = pc.if_else(marked, texts, low)
+        lists = pc.ascii_split_whitespace(low)
+        found = lists.flatten().dictionary_encode()
+        known = pa.array(self._ids(found.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(found.indices)
+        _, ends, data = known.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(known) + 1] >> 2 if len(known) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, "<u4")[: ends[-1]] if ends[-1] else np.zeros(0, "<u4")
+        offsets = lists.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
         table, old = self.young, self.old
-        missing = seen.difference(table)
+        missing = [x for x in chunks if x not in table]
         if old:
             table.update((x, old[x]) for x in missing if x in old)
-            missing = missing.difference(table)
-        words = [x for x in missing if x.isalpha() or (x[:-1].isalpha() and x[-1] in self.STOPS)]
-        for i in range(0, len(words), 10_000):
-            self._add_words(table, words[i : i + 10_000])
-        missing = [x for x in missing if x not in table]
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                table[word] = array("I", e.ids).tobytes()
-        get = table.__getitem__
-        return [b"".join(map(get, x)) for x in chunks]
-
+            missing = [x for x in missing if x not in table]
+        parts, words, rest = {}, set(), []
+        for x in missing:
+            core = x.rstrip(_MARKS)
+            if _latin(core):
+                low, marks = core.lower(), x[len(core) :]
+                words.add(low)
+                if marks or low != x:
+                    parts[x] = low, marks
+                if marks:
+                    rest.append(marks)
+            else:
+                rest.append(x)
+        new = [x for x in words if x not in table]
+        for i in range(0, len(new), 10_000):
+            self._add_words(table, new[i : i + 10_000])
+        rest += [x for x in new if x not in table]
+        rest = [x for x in set(rest) if x not in table]
+        for i in range(0, len(rest), 10_000):
+            part = rest[i : i + 10_000]
+            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                table[x] = array("I", e.ids).tobytes()
+        for x, (low, marks) in parts.items():
+            table[x] = table[low] + table[marks] if marks else table[low]
+        return [table[x] for x in chunks]
 
     def _add_words(self, table: dict[str, bytes], words: list[str]) -> None:
-        """Encode words, some with one mark behind, together; none if their number of word ends is another than expected."""
-        (e,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        """Encode words of letters together; none if their number of word ends is another than expected."""
+        (e,) = self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)
         ids = np.array(e.ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        last = np.cumsum([1 if x.isalpha() else 2 for x in words])
-        if len(ends) != last[-1]:
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
             return
         data, at = ids.tobytes(), 0
-        for word, to in zip(words, (4 * ends[last - 1]).tolist()):
+        for word, to in zip(words, ends.tolist()):
             table[word] = data[at:to]
             at = to
 
 
+def _latin(word: str) -> bool:
+    """Letters up to U+00FF only: lower-casing them is one to one, and they are composed already."""
+    return word.isalpha() and (word.isascii() or max(word) <= "\u00ff")
+
+
 def id_encoder(path: str, capacity: int = 700_000) -> IdEncoder:
     """This worker's encoder for a vocabulary file."""
     import os
@@ -194,3 +250,16 @@ def batches_by_size(texts: list[str | None], limit: int = 4_000_000):
             start, size = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def slices_by_size(texts, limit: int = 12_000_000):
+    """Slices (start, end) of an Arrow array of strings that have together about ``limit`` bytes."""
+    import pyarrow.compute as pc
+
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(total):
+        base = total[start - 1] if start else 0
+        end = min(len(total), int(np.searchsorted(total, base + limit)) + 1)
+        yield start, end
+        start = end

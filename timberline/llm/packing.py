@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, id_encoder, written
+from timberline.llm.common import id_encoder, slices_by_size, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -74,13 +74,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         encoder = id_encoder(tokenizer, CHUNKS)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             rows = []
-            for a, b in batches_by_size(texts):
-                for doc, data in zip(ids[a:b], encoder.encode(texts[a:b])):
-                    data += end
-                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                        part = data[at : at + 4 * capacity]
+            for a, b in slices_by_size(texts):
+                found, bounds = encoder.encode(texts.slice(a, b - a))
+                data, bounds = found.tobytes(), (4 * bounds).tolist()
+                for doc, x, y in zip(ids[a:b], bounds, bounds[1:]):
+                    own = data[x:y] + end
+                    for k, at in enumerate(range(0, len(own), 4 * capacity)):
+                        part = own[at : at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(

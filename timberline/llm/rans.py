@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, id_encoder, remove, shared_dir
+from timberline.llm.common import id_encoder, remove, shared_dir, slices_by_size
 
 END_ID = 1
 SCALE = 20
@@ -129,10 +129,13 @@ def sorted_runs(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             )
 
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in batches_by_size(texts):
-                data = [x + end for x in encoder.encode(texts[a:b])]
-                c = np.bincount(np.frombuffer(b"".join(data), "<u4"), minlength=len(total))
+            ids, texts = batch.column(0), batch.column(1)
+            for a, b in slices_by_size(texts):
+                found, bounds = encoder.encode(texts.slice(a, b - a))
+                every, bounds = found.tobytes(), (4 * bounds).tolist()
+                data = [every[x:y] + end for x, y in zip(bounds, bounds[1:])]
+                c = np.bincount(found, minlength=max(len(total), end_id + 1))
+                c[end_id] += b - a
                 c[: len(total)] += total
                 total = c
                 yield rows(range(seq, seq + b - a), ids.slice(a, b - a), data, [None] * (b - a))
