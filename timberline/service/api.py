@@ -24,7 +24,8 @@ class QueryTimeout(RuntimeError):
 class LogApi:
     """Answers requests: checks the key first, then the limit, then searches."""
 
-    def __init__(self, logs, keys: KeyMap, limits: Limiters | None = None, hub: Hub | None = None, ttl: float = 5.0, timeout: float = 10.0):
+    def __init__(self, logs, keys: KeyMap, limits: Limiters | None = None, hub: Hub | None = None, ttl: float = 5.0, timeout: float = 10.0, collector=None):
+        self.collector = collector
         self.logs, self.keys, self.limits, self.hub, self.timeout = logs, keys, limits, hub, timeout
         self.cached = CachedSearch(self._search, ttl)
         self.counts: Counter = Counter()
@@ -32,14 +33,15 @@ class LogApi:
     def _search(self, query: search.Query):
         import threading
 
-        spark = self.logs.sparkSession
+        logs = self.logs() if callable(self.logs) else self.logs  # a store has to be listed anew
+        spark = logs.sparkSession
         tag = f"search-{time.monotonic_ns()}"
         timer = threading.Timer(self.timeout, spark.interruptTag, (tag,))
         timer.start()
         began = time.monotonic()
         spark.addTag(tag)
         try:
-            rows, after = search.fetch(self.logs, query)
+            rows, after = search.fetch(logs, query)
         except Exception as e:
             if time.monotonic() - began >= self.timeout:
                 raise QueryTimeout from e
@@ -109,6 +111,19 @@ def serve(api: LogApi, host: str = "127.0.0.1", port: int = 0) -> ThreadingHTTPS
             status, headers, body = api.answer(self.path, self.key())
             self.send(status, headers | {"Content-Type": "application/json"}, json.dumps(body, default=str).encode())
 
+        def do_POST(self) -> None:  # noqa: N802
+            service = api.keys.service(self.key() or "")
+            body = self.rfile.read(int(self.headers.get("Content-Length") or 0))
+            if urlsplit(self.path).path != "/v1/ingest" or api.collector is None:
+                return self.send(404, {}, b"{}")
+            if service is None:
+                return self.send(401, {}, b"{}")
+            try:
+                (answer,) = api.collector.session(service, [body])
+            except Exception:  # noqa: BLE001  the agent keeps the batch and sends it again
+                return self.send(503, {}, b"{}")
+            self.send(200, {"Content-Type": "application/json"}, json.dumps(answer).encode())
+
         def send(self, status: int, headers: dict, body: bytes) -> None:
             self.send_response(status)
             for k, v in (headers | {"Content-Length": str(len(body))}).items():
@@ -119,6 +134,10 @@ def serve(api: LogApi, host: str = "127.0.0.1", port: int = 0) -> ThreadingHTTPS
         def tail(self) -> None:
             if (key := self.key()) is None or api.keys.service(key) is None:
                 return self.send(401, {}, b"{}")
+            if api.limits is not None:
+                ok, ms = api.limits.allow(key)
+                if not ok:
+                    return self.send(429, {"Retry-After": str(-(-ms // 1000))}, b"{}")
             got = dict(parse_qsl(urlsplit(self.path).query))
             name = f"{self.client_address}-{time.monotonic_ns()}"
             try:

@@ -24,6 +24,10 @@ class TokenBucket:
                 return True, 0
             return False, math.ceil((cost - self.left) * 1000 / self.rate)
 
+    @property
+    def full(self) -> bool:
+        return self.left + max(0, self.clock() - self.at) * self.rate / 1000 >= self.burst
+
     def wait(self, cost: float = 1, sleep=time.sleep) -> None:
         while True:
             ok, ms = self.allow(cost)
@@ -33,16 +37,24 @@ class TokenBucket:
 
 
 class Limiters:
-    """A bucket per caller; a broken store of buckets lets all pass."""
+    """A bucket per caller; a broken store of buckets lets all pass.
+
+    Beyond ``most`` callers those whose buckets are full again are forgotten: a new
+    bucket is as full.
+    """
 
-    def __init__(self, rate: float, burst: int, make=None):
-        self.make = make or (lambda: TokenBucket(rate, burst))
+    def __init__(self, rate: float, burst: int, make=None, most: int = 10_000):
+        self.make, self.most = make or (lambda: TokenBucket(rate, burst)), most
         self.buckets, self.lock = {}, threading.Lock()
 
     def allow(self, key: str, cost: float = 1) -> tuple[bool, int]:
         try:
             with self.lock:
-                bucket = self.buckets.get(key) or self.buckets.setdefault(key, self.make())
+                bucket = self.buckets.get(key)
+                if bucket is None:
+                    if len(self.buckets) >= self.most:
+                        self.buckets = {k: b for k, b in self.buckets.items() if not b.full}
+                    bucket = self.buckets[key] = self.make()
             return bucket.allow(cost)
         except Exception:  # noqa: BLE001  the limiter must not take the service down
             return True, 0

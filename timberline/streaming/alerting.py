@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from timberline.operators.alerts import ALERT_LEVELS, Rule
 
 STATE = "counts map<bigint,bigint>, firing boolean, last bigint"
-ALERTS = "service string, bucket bigint, kind string, errors bigint, usual double"
+ALERTS = "service string, bucket bigint, kind string, errors bigint, usual double, samples array<string>"
+#: Characters of a sample message that the state keeps.
+SAMPLE = 200
 
 
 class Detector:
@@ -71,40 +73,41 @@ def processor(rule: Rule):
     def present(timers) -> int:
         return timers.getCurrentWatermarkInMs() * 1000 // rule.bucket
 
-    def table(key, out: list[tuple]) -> pd.DataFrame:
-        rows = [(key[0], *x) for x in out]
-        return pd.DataFrame(rows, columns=["service", "bucket", "kind", "errors", "usual"]).astype({"bucket": "int64", "errors": "int64", "usual": "float64"})
+    def table(key, out: list[tuple], recent: list[str]) -> pd.DataFrame:
+        rows = [(key[0], *x, recent if x[1] == "firing" else []) for x in out]
+        return pd.DataFrame(rows, columns=["service", "bucket", "kind", "errors", "usual", "samples"]).astype({"bucket": "int64", "errors": "int64", "usual": "float64"})
 
     class SpikeProcessor(StatefulProcessor):
         """Counts of a batch are added, then every bucket up to the newest one is evaluated in order; a timer evaluates those that begin later.
 
         Time goes on with the clock: to the present bucket, or, where rows are older
         than window and baseline as in a replay, by as many buckets as have passed since
-        they came. An idle service is forgotten.
+        they came. An idle service is forgotten. The last messages go along with a firing.
         """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.state = handle.getValueState("detector", "counts string, firing boolean, last bigint, done bigint, seen bigint")
+            self.state = handle.getValueState("detector", "counts string, firing boolean, last bigint, done bigint, seen bigint, recent string")
 
-        def load(self) -> tuple[Detector, int | None, int | None]:
+        def load(self) -> tuple[Detector, int | None, int | None, list[str]]:
             if not self.state.exists():
-                return Detector(rule), None, None
-            counts, firing, last, done, seen = self.state.get()
-            return Detector(rule, {int(k): v for k, v in json.loads(counts).items()}, firing, last), done, seen
+                return Detector(rule), None, None, []
+            counts, firing, last, done, seen, recent = self.state.get()
+            return Detector(rule, {int(k): v for k, v in json.loads(counts).items()}, firing, last), done, seen, json.loads(recent)
 
-        def keep(self, detector: Detector, done: int, clock: int) -> None:
+        def keep(self, detector: Detector, done: int, clock: int, recent: list[str]) -> None:
             for at in list(self.handle.listTimers()):
                 self.handle.deleteTimer(at)
-            self.state.update((json.dumps(detector.counts), detector.firing, detector.last, done, clock))
+            self.state.update((json.dumps(detector.counts), detector.firing, detector.last, done, clock, json.dumps(recent)))
             self.handle.registerTimer(-(-(clock + 1) * rule.bucket // 1000))
 
         def handleInputRows(self, key, rows, timerValues):
-            detector, done, _ = self.load()
+            detector, done, _, recent = self.load()
             fresh: dict[int, int] = {}
             clock = 0
             for pdf in rows:
                 clock = max(clock, int(pdf["clock"].max()))
+                recent = [*recent, *(x[:SAMPLE] for x in pdf["message"].dropna().tail(rule.samples).tolist())][-rule.samples :]
                 for b, n in pdf["bucket"].value_counts().items():
                     fresh[int(b)] = fresh.get(int(b), 0) + int(n)
             out = []
@@ -114,11 +117,11 @@ def processor(rule: Rule):
                 for b in sorted(x for x in fresh if x < first):
                     detector.observe(b, fresh[b], max(newest, first - 1))
                 out = detector.advance(first, newest, fresh)
-                self.keep(detector, newest if done is None else max(newest, done), clock)
-            yield table(key, out)
+                self.keep(detector, newest if done is None else max(newest, done), clock, recent)
+            yield table(key, out, recent[::-1])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            detector, done, seen = self.load()
+            detector, done, seen, recent = self.load()
             out = []
             if done is not None:
                 clock = present(timerValues)
@@ -127,8 +130,8 @@ def processor(rule: Rule):
                 if detector.idle:
                     self.state.clear()
                 else:
-                    self.keep(detector, max(to, done), clock)
-            yield table(key, out)
+                    self.keep(detector, max(to, done), clock, recent)
+            yield table(key, out, recent[::-1])
 
         def close(self) -> None:
             pass
@@ -145,8 +148,9 @@ def alerts(logs: DataFrame, rule: Rule) -> DataFrame:
     """
     now = F.current_timestamp()
     bucket = F.floor(F.unix_micros(F.least(F.coalesce("observed_at", now), now)) / F.lit(rule.bucket)).cast("bigint")
-    errors = logs.where(F.col("level").isin(*ALERT_LEVELS)).select("service", bucket.alias("bucket"))
-    ticks = logs.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.lit(None).cast("string").alias("service"), F.lit(None).cast("bigint").alias("bucket"))
+    message = F.col("message") if "message" in logs.columns else F.lit(None).cast("string")
+    errors = logs.where(F.col("level").isin(*ALERT_LEVELS)).select("service", bucket.alias("bucket"), message.alias("message"))
+    ticks = logs.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.lit(None).cast("string").alias("service"), F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("string").alias("message"))
     clock = F.floor(F.unix_micros(now) / F.lit(rule.bucket)).cast("bigint")
     rows = errors.unionByName(ticks).withColumns({"at": now, "clock": clock}).withWatermark("at", "0 seconds")
     return rows.groupBy("service").transformWithStateInPandas(statefulProcessor=processor(rule), outputStructType=ALERTS, outputMode="update", timeMode="EventTime")

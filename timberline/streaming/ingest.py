@@ -98,6 +98,32 @@ def tail(spark: SparkSession, pattern: str, config: Config, poll: str = "100 mil
     return _writer(lines, config).trigger(processingTime=poll).start()
 
 
+def index(spark: SparkSession, raw: DataFrame, config: Config):
+    """Start storing the records of a log (value, topic, partition, source_offset); what can't be read or is invalid goes to the dead letters with its place.
+
+    Levels and times that a record's sender left open are taken from its line.
+    """
+    timberline.importable(spark)
+    store.create(spark, config.store)
+
+    def batch(rows: DataFrame, i: int) -> None:
+        now = F.current_timestamp()
+        rows = rows.persist()
+        try:
+            good, dead = validate.decode(rows, now)
+            open_time = F.col("timestamp") == F.col("observed_at")
+            good = good.withColumns({
+                "level": F.when(F.col("level") == "unknown", parse_level(F.col("message"))).otherwise(F.col("level")),
+                "timestamp": F.when(open_time, F.coalesce(parse_timestamp(F.col("message"), F.col("observed_at")), F.col("timestamp"))).otherwise(F.col("timestamp")),
+            })
+            dead.write.mode("overwrite").parquet(f"{config.dead_letters}/batch={config.run}-{i}")
+            store.append(rows.sparkSession, config.store, store.stored(good, now), f"{config.run}-{i}")
+        finally:
+            rows.unpersist()
+
+    return raw.writeStream.foreachBatch(batch).option("checkpointLocation", config.checkpoint).trigger(processingTime="1 second").start()
+
+
 def load(spark: SparkSession, path: str, config: Config) -> None:
     """Ingest files of any size under ``path`` in one batch, split into blocks; doing it again changes nothing."""
     timberline.importable(spark)
