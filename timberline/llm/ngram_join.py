@@ -20,7 +20,7 @@ import math
 from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.llm.common import batches_by_size, release, remove, small_side, sole_cache, written
@@ -28,15 +28,21 @@ from timberline.llm.common import batches_by_size, release, remove, small_side,
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Shingles that so many documents share, by what is counted in chunks, come last in the order.
-HEAVY = 24
-#: Occurrences within a chunk of the input from which a shingle is counted.
+#: Shingles that so many documents share, by what is counted in tasks, come last in the order.
+HEAVY = 8
+#: Occurrences within a task from which a shingle is counted.
 LOCAL = 2
+#: Hashes that are counted: the order begins with the smallest ones, and a quarter of a set is looked up.
+COUNTED = np.uint64(int(0.32 * 2**64))
+#: Hashes that a task holds to count them together.
+COUNT_HELD = 6_000_000
 #: Frequent shingles that are told apart at most; more only lose their place at the order's end.
 MOST_HEAVY = 2_000_000
+#: Bits of a small set's bitmap.
+LEAST_BITS = 1024
 #: Nodes of a tile that one block holds.
 BLOCK = 256
-#: Nodes of a group from which its main component is tried first, how many of that one's nodes, and how often.
+#: Nodes of a group from which its main component is tried first, how many of that one's nodes at most, and how often.
 LARGE, CENTRAL, ROUNDS = 24, 12, 2
 #: Rows of one shingle that a task holds together.
 HOLD = 100_000
@@ -111,8 +117,8 @@ def band(n: np.ndarray) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit for every shingle's hash, in the power of two of bits that is at least four times the set's size."""
-    bits = max(64, 1 << int(4 * len(s) - 1).bit_length())
+    """A bit for every shingle's hash, in the power of two of bits that is at least twice the set's size, and ``LEAST_BITS``."""
+    bits = max(LEAST_BITS, 1 << int(2 * len(s) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -145,29 +151,40 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """kind 0: doc_id, n and set_key of every row; kind 1: frequent shingles of a chunk (in set_key) and their count (in n)."""
+    """kind 0: doc_id, n and set_key of every row; kind 1: frequent shingles of a task (in set_key) and their count (in n)."""
 
     def run(batches):
         import pyarrow as pa
 
+        names = ["kind", "doc_id", "n", "set_key"]
+        held, size, seen = [], 0, set()
+
+        def often():
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            keep = counts >= LOCAL
+            values, counts = values[keep].astype(np.int64), counts[keep]
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(values)], names=names)
+
         for batch in batches:
             ids, data = batch.column(0), batch.column(1).to_pylist()
             for a, b in batches_by_size(data, 8_000_000):
                 found = shingle_sets(data[a:b])
                 keys = [set_key(s) for s in found]
-                different = list({k: s for k, s in zip(keys, found)}.values())
-                values, counts = np.unique(np.concatenate(different), return_counts=True)
-                often = counts >= LOCAL
-                values, counts = values[often].astype(np.int64), counts[often]
+                for k, s in zip(keys, found):
+                    if k not in seen:
+                        seen.add(k)
+                        low = s[: np.searchsorted(s, COUNTED)].copy()
+                        held.append(low)
+                        size += len(low)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([0] * (b - a) + [1] * len(values), pa.int32()),
-                        pa.concat_arrays([ids.slice(a, b - a), pa.nulls(len(values), pa.int64())]),
-                        pa.array(np.concatenate([np.array([len(s) for s in found], np.int64), counts.astype(np.int64)])),
-                        pa.array(np.concatenate([np.array(keys, np.int64), values])),
-                    ],
-                    names=["kind", "doc_id", "n", "set_key"],
-                )
+                    [pa.array(np.zeros(b - a, np.int32)), ids.slice(a, b - a), pa.array(np.array([len(s) for s in found], np.int64)), pa.array(np.array(keys, np.int64))],
+                    names=names,
+                )
+                if size > COUNT_HELD:
+                    yield often()
+                    held, size, seen = [], 0, set()
+        if held:
+            yield often()
 
     return written(texts(docs).mapInArrow(run, "kind int, doc_id long, n long, set_key long"), "sets")
 
@@ -369,16 +386,17 @@ def groups(postings: DataFrame) -> DataFrame:
 
 
 def central_edges(found: DataFrame, seed: int) -> DataFrame:
-    """Nodes of large groups with a few nodes of their group's largest component: a, b."""
-    large = found.groupBy("lead").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE).select("lead")
-    nodes = found.join(large, "lead")
-    sizes = nodes.groupBy("lead", "comp").agg(F.count(F.lit(1)).alias("size"))
-    top = sizes.groupBy("lead").agg(F.max(F.struct("size", "comp")).alias("t")).select("lead", F.col("t.comp").alias("comp"))
-    members = nodes.join(top, ["lead", "comp"]).select("lead", "set_key", F.xxhash64("set_key", F.lit(seed)).alias("h"))
-    first = Window.partitionBy("lead").orderBy("h")
-    center = members.withColumn("r", F.row_number().over(first)).where(F.col("r") <= CENTRAL).select("lead", F.col("set_key").alias("b"))
-    others = nodes.join(top.withColumnRenamed("comp", "main"), "lead").where("comp <> main").select("lead", F.col("set_key").alias("a"))
-    return others.join(center, "lead").select("a", "b").distinct()
+    """Nodes of large groups with a few nodes of their group's largest component: a, b.
+
+    The component and its nodes, at most one of each of ``CENTRAL`` parts, are
+    aggregates, so that a large group's nodes need not meet in one task.
+    """
+    hashed = found.withColumn("h", F.xxhash64("set_key", F.lit(seed)))
+    parts = hashed.groupBy("lead", "comp", F.pmod("h", F.lit(CENTRAL)).alias("part")).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("h", "set_key")).alias("c"))
+    sizes = parts.groupBy("lead", "comp").agg(F.sum("size").alias("size"), F.collect_list("c.set_key").alias("center"))
+    tops = sizes.groupBy("lead").agg(F.sum("size").alias("nodes"), F.max(F.struct("size", "comp", "center")).alias("t")).where(F.col("nodes") >= LARGE)
+    tops = small_side(tops.select("lead", F.col("t.comp").alias("main"), F.col("t.center").alias("center")), "centers")
+    return found.join(tops, "lead").where("comp <> main").select(F.col("set_key").alias("a"), F.explode("center").alias("b")).distinct()
 
 
 def block_pairs(found: DataFrame, signs: DataFrame) -> DataFrame:
@@ -426,7 +444,7 @@ def block_pairs(found: DataFrame, signs: DataFrame) -> DataFrame:
         if len(held) > 1:
             yield batch_of(pairs(held))
 
-    blocks = found.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = small_side(found.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
     rows = found.join(blocks, "lead").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("lead", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "comp", "set_key")
