@@ -1,8 +1,9 @@
 """Personal data by weak supervision, JVM-side throughout.
 
 Fixed patterns give base spans, which always stay, and wider ones give
-candidates. Regex and context labelers, which know some cue words but no lists of
-values, vote on every candidate of the whole corpus; only counts of vote and feature patterns, a few hundred rows
+candidates. Regex, gazetteer and context labelers vote on every candidate of the
+whole corpus; the gazetteers list top-level domains, card issuers' and country
+calling codes, account countries and given names, and are parameters; only counts of vote and feature patterns, a few hundred rows
 at most, reach the driver, where expectation-maximisation estimates the
 labelers' reliabilities and a logistic span classifier is trained on the
 posteriors. The classifier is compiled into a column expression.
@@ -40,6 +41,7 @@ NEEDS = {
     "ip": r"_t rlike '[0-9]\\.[0-9]++\\.[0-9]'",
     "card": r"_t rlike '[0-9](?:[ -]?[0-9]){12}'",
     "phone": "contains(_t, '+')",
+    "names": r"_t rlike '\\p{Lu}\\p{Ll}++ \\p{Lu}\\p{Ll}'",
     "more": r"_t rlike 'AKIA|[0-9]{3}-[0-9]{2}-[0-9]|[0-9][0-9A-Za-z]{11}'",
 }
 MORE = (
@@ -48,7 +50,26 @@ MORE = (
     r"|(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+"
     r"|(?<![0-9A-Za-z])[A-Za-z]{0,12}[0-9][0-9A-Za-z]{11,}+"
 )
-KINDS = [*BASE, "secret", "ssn", "iban", "number"]
+#: Two or three capitalised words; they are a candidate if the first one is a listed name.
+NAMES = r"(?<![\p{L}0-9_'-])\p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++){1,2}+(?![\p{L}0-9_])"
+KINDS = [*BASE, "secret", "ssn", "iban", "number", "name"]
+
+# Lists in which the parts of a span that identify it are looked up.
+GAZETTEERS = {
+    "domains": (
+        "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "dev", "app", "at", "au", "be", "br", "ca", "ch", "cn", "cz", "de", "dk", "es",
+        "eu", "fi", "fr", "gr", "hu", "ie", "in", "it", "jp", "kr", "mx", "nl", "no", "nz", "pl", "pt", "ro", "ru", "se", "sg", "tr", "uk", "us", "za",
+    ),
+    "issuers": ("34", "35", "36", "37", "38", "4", "51", "52", "53", "54", "55", "60", "62", "64", "65"),
+    "calling": ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "52", "54", "55", "61", "64", "65", "81", "82", "86", "90", "91"),
+    "countries": ("AD", "AT", "BE", "BG", "CH", "CY", "CZ", "DE", "DK", "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE", "IS", "IT", "LI", "LT", "LU", "LV", "MC", "MT", "NL", "NO", "PL", "PT", "RO", "SE", "SI", "SK", "SM", "TR"),
+    "names": (
+        "Alexander", "Alice", "Amelia", "Andrea", "Anna", "Anne", "Antonio", "Barbara", "Carlos", "Carmen", "Charles", "Charlotte", "Christian", "Claire", "Daniel", "David", "Elena", "Elizabeth",
+        "Emily", "Emma", "Felix", "Francisco", "George", "Hannah", "Hans", "Helen", "Henry", "Isabel", "Jack", "James", "Jean", "Jennifer", "Johann", "John", "Jonas", "Jorge", "Joseph", "Juan",
+        "Julia", "Julien", "Karl", "Katharina", "Laura", "Linda", "Louis", "Lucas", "Lucie", "Manuel", "Marco", "Maria", "Marie", "Martin", "Mary", "Michael", "Miguel", "Monika", "Nicolas",
+        "Olivia", "Patricia", "Paul", "Pedro", "Peter", "Petra", "Philip", "Pierre", "Richard", "Robert", "Sarah", "Sofia", "Sophie", "Stefan", "Susan", "Thomas", "Ursula", "William", "Wolfgang",
+    ),
+}
 CUES = ("password", "passwd", "pwd", "secret", "token", "key", "ssn", "iban", "account", "mail", "phone", "tel", "card", "ip", "license")
 #: Labelers: 1 for personal, -1 against, 0 abstains.
 LABELERS = {
@@ -57,11 +78,13 @@ LABELERS = {
     "assigned": r"CASE WHEN before rlike '[=:][ ]?[\"\']?$' THEN 1 ELSE 0 END",
     "mixed": r"CASE WHEN NOT base AND value rlike '[0-9]' AND value rlike '[A-Za-z]' AND length(value) >= 16 THEN 1 WHEN NOT base AND NOT value rlike '[A-Za-z]' THEN -1 ELSE 0 END",
     "varied": "CASE WHEN NOT base AND size(array_distinct(split(value, ''))) <= 4 THEN -1 ELSE 0 END",
+    "listed": "CASE WHEN kind = 'ip' OR kind IN ('secret', 'ssn', 'number') THEN 0 WHEN listed THEN 1 ELSE -1 END",
     "bounded": r"CASE WHEN before rlike '[0-9A-Za-z]$' OR after rlike '^[0-9A-Za-z]' THEN -1 ELSE 0 END",
 }
 #: Inputs of the span classifier besides its kind, as SQL that gives 0 or 1.
 FEATURES = {
     "base": "int(base)",
+    "listed": "int(listed)",
     "long": "int(length(value) >= 32)",
     "digits": "int(length(regexp_replace(value, '[^0-9]', '')) * 2 >= length(value))",
     "upper": "int(NOT value rlike '[a-z]')",
@@ -98,10 +121,25 @@ def spans(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*own, *(found.format(k=k) for k in names))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def lookup(gazetteers: dict[str, tuple[str, ...]]) -> str:
+    """SQL that tells whether the identifying part of a span x is listed: its value's domain, issuer, calling code, country or first name."""
+
+    def among(part: str, name: str) -> str:
+        return f"array_contains(array({', '.join(map(quoted, gazetteers[name])) or quoted('')}), {part})"
+
+    digits = "regexp_replace(x.value, '[^0-9]', '')"
+    starts = lambda name: "(" + " OR ".join(among(f"left({digits}, {n})", name) for n in (1, 2, 3)) + ")"
+    return (
+        f"CASE x.kind WHEN 'email' THEN {among(chr(39).join(('lower(regexp_extract(x.value, ', '[^.]+$', ', 0))')), 'domains')} WHEN 'card' THEN {starts('issuers')}"
+        f" WHEN 'phone' THEN {starts('calling')} WHEN 'iban' THEN {among('left(x.value, 2)', 'countries')} WHEN 'name' THEN {among(chr(39).join(('split_part(x.value, ', ' ', ', 1)')), 'names')} ELSE false END"
+    )
+
+
+def candidates(docs: DataFrame, gazetteers: dict[str, tuple[str, ...]] = GAZETTEERS) -> DataFrame:
     """doc_id and the valid base spans and further candidates of every row, in the shared folder."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
-    rows = spans(rows, BASE | {"more": MORE})
+    rows = spans(rows, BASE | {"more": MORE, "names": NAMES})
+    names = f"array({', '.join(map(quoted, gazetteers['names'])) or quoted('')})"
 
     def valid(kind: str) -> str:
         test = VALID[kind].replace("value", "x.value")
@@ -111,10 +149,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         "CASE WHEN x.value rlike '^AKIA[0-9A-Z]{16}$' THEN 'secret' WHEN x.value rlike '^[0-9]{3}-[0-9]{2}-[0-9]{4}$' THEN 'ssn'"
         " WHEN x.value rlike '^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$' THEN 'iban' WHEN x.value rlike '^[0-9]+$' THEN 'number' ELSE 'secret' END"
     )
-    rows = rows.selectExpr("doc_id", "_f_more", "concat(" + ", ".join(valid(k) for k in BASE) + ") AS base_spans")
+    rows = rows.selectExpr("doc_id", "_f_more", "_f_names", "concat(" + ", ".join(valid(k) for k in BASE) + ") AS base_spans")
     more = f"transform(_f_more, x -> named_struct('kind', {kind}, 'start', x.start, 'end', x.start + length(x.value), 'value', x.value, 'before', x.before, 'after', x.after, 'base', false))"
+    named = f"transform(filter(_f_names, x -> array_contains({names}, split_part(x.value, ' ', 1))), x -> named_struct('kind', 'name', 'start', x.start, 'end', x.start + length(x.value), 'value', x.value, 'before', x.before, 'after', x.after, 'base', false))"
+    looked = f"x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end, 'value', x.value, 'before', x.before, 'after', x.after, 'base', x.base, 'listed', {lookup(gazetteers)})"
     apart = "x -> NOT exists(base_spans, b -> b.start < x.end AND x.start < b.end)"
-    return written(rows.selectExpr("doc_id", "base_spans", f"filter({more}, {apart}) AS more_spans"), "pii")
+    rows = rows.selectExpr("doc_id", f"transform(base_spans, {looked}) AS base_spans", f"transform(filter(concat({more}, {named}), {apart}), {looked}) AS more_spans")
+    return written(rows, "pii")
 
 
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, float, np.ndarray]:
@@ -171,7 +212,7 @@ def train(found: DataFrame) -> str:
     return f"1 / (1 + exp(-({w[-1]!r}D + {' + '.join(terms)})))"
 
 
-def find(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
+def find(docs: DataFrame, limit: float = LIMIT, gazetteers: dict[str, tuple[str, ...]] = GAZETTEERS) -> DataFrame:
     """One row per row of ``docs``: doc_id, counts of base spans, base_sha256 and spans.
 
     A span is kind:start:end in code points, end exclusive; kinds stand in the
@@ -180,9 +221,9 @@ def find(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     repeat give equal rows; an empty table gives an empty result; other columns
     are ignored.
     """
-    found = candidates(docs)
+    found = candidates(docs, gazetteers)
     p = train(found)
-    for name in ("kind", "value", "before", "after", "base"):
+    for name in ("kind", "value", "before", "after", "base", "listed"):
         p = _qualified(p, name)
     order = "CASE x.kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS)) + " END"
     text = "concat_ws(',', transform(array_sort(transform({}, x -> named_struct('k', " + order + ", 's', x.start, 't', concat(x.kind, ':', x.start, ':', x.end)))), y -> y.t))"
