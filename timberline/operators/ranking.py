@@ -12,32 +12,32 @@ _BITS = 33
 
 
 def dealt(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Adds _at: rows are dealt by ranges of ``order``, sorted, numbered and written once.
+    """Adds __at: rows are dealt by ranges of ``order``, sorted, numbered and written once.
 
     The number's upper bits are the range, so that whatever is computed of the
     table afterwards, however it is read, means the same ranges.
     """
     sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return written(sorted_.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    return written(sorted_.withColumn("__at", F.monotonically_increasing_id()), "ranges")
 
 
 def _before(per_range: DataFrame, amount: str) -> DataFrame:
-    """_range and the sum of ``amount`` in the ranges before; one row for every range."""
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    return F.broadcast(per_range.select("_range", F.coalesce(F.sum(amount).over(before), F.lit(0)).alias("_before")))
+    """__range and the sum of ``amount`` in the ranges before; one row for every range."""
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(per_range.select("__range", F.coalesce(F.sum(amount).over(before), F.lit(0)).alias("__before")))
 
 
 def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     """Adds place, from 1, in the total order of all rows; rows that tie get places in any order."""
-    rows = dealt(df, order).withColumn("_range", F.shiftright("_at", _BITS))
-    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    own = F.col("_at").bitwiseAND((1 << _BITS) - 1) + 1
-    return rows.join(_before(counts, "_n"), "_range").withColumn("place", F.col("_before") + own).drop("_range", "_before", "_at")
+    rows = dealt(df, order).withColumn("__range", F.shiftright("__at", _BITS))
+    counts = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    own = F.col("__at").bitwiseAND((1 << _BITS) - 1) + 1
+    return rows.join(_before(counts, "__n"), "__range").withColumn("place", F.col("__before") + own).drop("__range", "__before", "__at")
 
 
 def running(df: DataFrame, order: list[Column], amount: str, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``amount`` over all rows before in the order."""
-    rows = dealt(df, order).withColumn("_range", F.shiftright("_at", _BITS))
-    sums = rows.groupBy("_range").agg(F.sum(amount).alias("_n"))
-    inside = F.coalesce(F.sum(amount).over(Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn(out, inside).join(_before(sums, "_n"), "_range").withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_before", "_at")
+    rows = dealt(df, order).withColumn("__range", F.shiftright("__at", _BITS))
+    sums = rows.groupBy("__range").agg(F.sum(amount).alias("__n"))
+    inside = F.coalesce(F.sum(amount).over(Window.partitionBy("__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn(out, inside).join(_before(sums, "__n"), "__range").withColumn(out, F.col(out) + F.col("__before")).drop("__range", "__before", "__at")

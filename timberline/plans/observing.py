@@ -372,17 +372,23 @@ def docker_stats(spark, d):
 
 @query(
     "rate_quantile",
-    f"""WITH f AS (SELECT event_type, epoch_us(ts) // 3600000000 AS hour, value FROM events),
-    h AS (SELECT hour, b AS bound, count_if(value <= b)::BIGINT AS n FROM f, (SELECT unnest([1.0, 4.0, 16.0, 64.0, 256.0, 'Infinity'::DOUBLE]) AS b) GROUP BY hour, b),
-    l AS (SELECT *, lag(bound, 1, 0.0) OVER o AS b0, lag(n, 1, 0) OVER o AS c0, max(n) OVER (PARTITION BY hour) AS total FROM h WINDOW o AS (PARTITION BY hour ORDER BY bound))
-    SELECT hour, round(CASE WHEN isinf(bound) THEN b0 ELSE b0 + (bound - b0) * (0.5 * total - c0) / (n - c0) END, 6) AS p50 FROM l WHERE n >= 0.5 * total AND c0 < 0.5 * total""",
+    f"""WITH f AS (SELECT event_type, epoch_us(ts) // 86400000000 AS day, value FROM events),
+    p AS (SELECT event_type, day, b AS bound, count_if(value <= b)::BIGINT AS n FROM f, (SELECT unnest([1.0, 4.0, 16.0, 64.0, 256.0, 'Infinity'::DOUBLE]) AS b) GROUP BY ALL),
+    k AS (SELECT *, sum(n) OVER (PARTITION BY event_type, bound, day // 5 ORDER BY day)::BIGINT AS value FROM p),
+    u AS (SELECT *, lag(value) OVER (PARTITION BY event_type, bound ORDER BY day) AS b FROM k),
+    h AS (SELECT day, bound, sum(CASE WHEN b IS NULL THEN 0 WHEN value < b THEN value ELSE value - b END)::BIGINT AS n FROM u GROUP BY ALL),
+    l AS (SELECT *, lag(bound, 1, 0.0) OVER o AS b0, lag(n, 1, 0) OVER o AS c0, max(n) OVER (PARTITION BY day) AS total FROM h WINDOW o AS (PARTITION BY day ORDER BY bound))
+    SELECT day, round(CASE WHEN isinf(bound) THEN b0 ELSE b0 + (bound - b0) * (0.5 * total - c0) / (n - c0) END, 6) AS p50 FROM l WHERE total > 0 AND n >= 0.5 * total AND c0 < 0.5 * total""",
 )
 def rate_quantile(spark, d):
-    """Median of each hour's increase of a histogram, summed over its series."""
-    e = table(spark, d, "events").select("event_type", "value", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000).alias("hour"))
-    per = metrics.cumulative_histogram(e, ["event_type", "hour"], "value", [1.0, 4.0, 16.0, 64.0, 256.0])
-    summed = per.groupBy("hour", "bound").agg(F.sum("count").alias("count"))
-    return metrics.histogram_quantile(summed, ["hour"], 0.5).select("hour", F.round("value", 6).alias("p50"))
+    """Median of each day's increase of a histogram's counters, which restart every fifth day, summed over its series."""
+    e = table(spark, d, "events").select("event_type", "value", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000).alias("day"))
+    per = metrics.cumulative_histogram(e, ["event_type", "day"], "value", [1.0, 4.0, 16.0, 64.0, 256.0])
+    since = Window.partitionBy("event_type", "bound", F.floor(F.col("day") / 5)).orderBy("day")
+    counters = per.withColumn("counter", F.sum("count").over(since)).withColumn("at_s", F.col("day") * 86_400)
+    grown = metrics.increases(counters, ["event_type", "bound"], "at_s", "counter", chunk=10 * 86_400)
+    summed = grown.groupBy("day", "bound").agg(F.sum("_up").alias("count"))
+    return metrics.histogram_quantile(summed, ["day"], 0.5).where("value IS NOT NULL AND NOT isnan(value)").select("day", F.round("value", 6).alias("p50"))
 
 
 @query("label_filter", with_logs("""SELECT l."offset", n.n_name AS host FROM logs l JOIN nation n ON n.n_nationkey = l."offset" % 25 JOIN region r ON r.r_regionkey = n.n_regionkey WHERE r.r_name = 'ASIA'"""))
