@@ -1,15 +1,18 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence's probability is logistic in its
-words and word stems, a document's is the noisy-or of its sentences', and only
-document labels of a bounded sample train it. Scoring names the sentences that
-carry the document's score.
+A document is a bag of sentences. A sentence with telling words or word stems has
+a probability that is logistic in them; sentences without any have one small
+probability together, the leak, so that length alone makes no document toxic. A
+document's probability is the noisy-or of these, and only document labels of a
+bounded sample train it. Scoring names the sentences that carry the document's
+score.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -30,8 +33,10 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 #: Share of labels that are taken to be wrong either way.
 NOISE = 0.02
-#: A sentence without any telling word is toxic with this probability at most.
+#: Logit of the leak at most; a sentence's logit starts from it.
 FLOOR = -10.0
+#: Different sentences with telling words that a labelled document enters the training with at most, by a hash order.
+SENTENCES = 1_000
 PENALTY = 2e-4
 LIMIT = 0.5
 
@@ -88,7 +93,7 @@ def telling(sample: DataFrame, most: int) -> list[str]:
 
 
 def bags(sample: DataFrame, index: dict[str, int]):
-    """Per document: label, number of sentences, and the telling features of each sentence that has any."""
+    """Per document: label, and the telling features of each sentence that has any, ``SENTENCES`` different ones at most."""
 
     def run(batches):
         import pyarrow as pa
@@ -97,9 +102,8 @@ def bags(sample: DataFrame, index: dict[str, int]):
         for batch in batches:
             out = []
             for doc, y, text in zip(*(c.to_pylist() for c in batch.columns)):
-                sentences = SENTENCE.findall((text or "").lower())
-                found = []
-                for s in sentences:
+                found = set()
+                for s in SENTENCE.findall((text or "").lower()):
                     ids: set[int] = set()
                     for w in WORD.findall(s):
                         if w not in known:
@@ -108,20 +112,19 @@ def bags(sample: DataFrame, index: dict[str, int]):
                             known[w] = [index[f] for f in features(w) if f in index]
                         ids.update(known[w])
                     if ids:
-                        found.append(sorted(ids))
-                out.append({"doc_id": doc, "label": y, "n": len(sentences), "found": found})
+                        found.add(tuple(sorted(ids)))
+                out.append({"doc_id": doc, "label": y, "found": sorted(found, key=lambda x: (zlib.crc32(repr(x).encode()), x))[:SENTENCES]})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     import pyarrow as pa
 
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("n", pa.int64()), ("found", pa.list_(pa.list_(pa.int32())))])
-    return sample.mapInArrow(run, "doc_id long, label int, n long, found array<array<int>>").toArrow().sort_by([("doc_id", "ascending")]).to_pylist()
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("found", pa.list_(pa.list_(pa.int32())))])
+    return sample.mapInArrow(run, "doc_id long, label int, found array<array<int>>").toArrow().sort_by([("doc_id", "ascending")]).to_pylist()
 
 
 def fit(rows: list[dict], k: int, steps: int = 400) -> tuple[np.ndarray, float]:
     """Feature weights (none below 0) and bias that fit the noisy-or of the sentences to the labels."""
     y = np.array([r["label"] > 0 for r in rows], float)
-    n_empty = np.array([r["n"] - len(r["found"]) for r in rows], float)
     sent_doc = np.array([i for i, r in enumerate(rows) for _ in r["found"]], np.int64)
     sizes = [len(s) for r in rows for s in r["found"]]
     cols = np.array([f for r in rows for s in r["found"] for f in s], np.int64)
@@ -133,14 +136,14 @@ def fit(rows: list[dict], k: int, steps: int = 400) -> tuple[np.ndarray, float]:
         a = b + np.bincount(sent, weights=w[cols], minlength=m)
         a = np.clip(a, -30, 30)
         p = 1 / (1 + np.exp(-a))
-        log_not = np.bincount(sent_doc, weights=-np.logaddexp(0, a), minlength=n) - n_empty * np.logaddexp(0, b)
+        log_not = np.bincount(sent_doc, weights=-np.logaddexp(0, a), minlength=n) - np.logaddexp(0, b)
         nothing = np.exp(log_not)
         q = NOISE + (1 - 2 * NOISE) * (1 - nothing)
         # derivative of the negative log-likelihood by log_not, then by each sentence's logit
         d = -(y / q - (1 - y) / (1 - q)) * (1 - 2 * NOISE) * -nothing
         ga = d[sent_doc] * -p
         gw = np.bincount(cols, weights=ga[sent], minlength=k) / n
-        gb = (ga.sum() - (d * n_empty).sum() / (1 + math.exp(-b))) / n
+        gb = (ga.sum() - d.sum() / (1 + math.exp(-b))) / n
         mw, vw = 0.9 * mw + 0.1 * gw, 0.999 * vw + 0.001 * gw**2
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb**2
         rate = 0.1 * (1 - step / (steps + 1))
@@ -177,7 +180,7 @@ def scored(docs: DataFrame, model: tuple[dict[str, float], float], limit: float
         import pyarrow as pa
 
         table, known = shared.value, {}
-        quiet = -math.log1p(math.exp(bias))
+        leak = -math.log1p(math.exp(bias))
 
         def own(word: str) -> tuple:
             if word not in known:
@@ -192,12 +195,12 @@ def scored(docs: DataFrame, model: tuple[dict[str, float], float], limit: float
                 low = (text or "").lower()
                 text = text or ""
                 hits = [w for w in set(WORD.findall(low)) if own(w)]
-                total, found = 0.0, []
-                if not hits:
-                    total = quiet * len(SENTENCE.findall(low))
-                else:
+                total, found = leak if SENTENCE.search(low) else 0.0, []
+                if hits:
                     for m in SENTENCE.finditer(text):
                         got = {f: x for w in WORD.findall(m[0].lower()) for f, x in own(w)}
+                        if not got:
+                            continue
                         a = bias + sum(got.values())
                         total -= math.log1p(math.exp(min(a, 30.0)))
                         if a >= 0:
