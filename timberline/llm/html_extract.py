@@ -3,10 +3,15 @@
 A page's text nodes are grouped by their root-to-leaf tag path. Text length and
 punctuation per node of a path are smoothed along the page, fused, and compared
 with a threshold; the paths above it name the content nodes. The container around
-all of them bounds the article, and what stands inside it, but for boilerplate
-elements, elements marked as such and lists of nothing but links, is the result.
-Content nodes outside of any article or main element don't count where such an
-element holds most of the text.
+all of them bounds the article. The result are the blocks inside it that hold a
+content node, and its paragraphs, headings, list items, table cells and captions;
+other blocks below the threshold, boilerplate elements, elements marked as such
+and lists of nothing but links are left out. Content nodes outside of any article
+or main element don't count where such an element holds most of the text.
+
+Elements are numbered as they open, so that an element's number is larger than its
+parent's: sums over subtrees and what is inherited take one pass each, whatever
+the depth.
 """
 
 from __future__ import annotations
@@ -21,17 +26,18 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"  # a comment, or an unclosed one to the end
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)"
+    # a name, attributes with values in quotes or up to the next blank, as browsers read them
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]++)?)?)*+)(?:>|\Z)"
     r"|([^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++))?)?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no markup, and what ends them.
 PLAIN = {x: re.compile(rf"</{x}(?=[\s/>]|\Z)", re.I) for x in "script style noscript textarea title iframe".split()}
 #: Those of them that are so in vector graphics as well.
 CODE = frozenset(("script", "style"))
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
@@ -55,6 +61,13 @@ _BESIDE = (
 MARKS = re.compile(
     rf"(?:^|\s)(?!(?:post|article|entry)[_-]+header(?:\s|$))(?:(?:{_BESIDE})[_-]+)*(?:{_WORDS})(?:[_-]+(?:{_BESIDE}|{_WORDS}|content|text|title|body|trail))*(?=\s|$)", re.I
 )
+#: What an id alone marks on an element that may be a chapter or a paragraph of an article; "discussion" or "related" may name one.
+PART_MARKS = re.compile(
+    rf"(?:^|\s)(?:(?:{_BESIDE})[_-]+)*(?:comments?|commentlist|disqus|sidebar\w*|menu|nav\w*|breadcrumbs?|footer|masthead|ads?|advert\w*|cookies?|consent|newsletter)(?:[_-]+(?:{_BESIDE}))*(?=\s|$)", re.I
+)
+PARTS = frozenset("section p h1 h2 h3 h4 h5 h6 li dt dd td th".split())
+#: Blocks that belong to an article they stand in, whatever their ratio.
+KEPT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption pre blockquote summary".split())
 DISCUSSION = re.compile(rf"(?:^|[\s_-])(?:{_DISCUSSION})(?=$|[\s_-])", re.I)
 HOME = frozenset(("article", "main"))
 #: Elements that are left out as a whole where they hold nothing but links, more than FEW_LINKS.
@@ -73,108 +86,153 @@ CONTAINERS = HOME | frozenset("html body div section".split())
 HOLDS = 0.85
 
 
-def nodes(page: str) -> tuple[list[tuple[tuple, int, str, bool, bool]], dict[int, bool]]:
-    """Text nodes in page order (tag path, block number, text, inside a link, inside a boilerplate element), and marked elements.
+class Page:
+    """Elements and text nodes of a page; element 0 is the page itself.
 
-    A path is a tuple of (element name and class, number of the element). For
-    elements with a mark their number tells whether it names a discussion.
+    Per element: parent, tag, number of its tag path (names with classes), and
+    whether it stands in a boilerplate element, in an article or main, in a link.
+    Texts are (element, block number, text) in page order; marked elements tell
+    whether their mark names a discussion.
     """
-    out, stack, block, number, marked = [], [], 0, 0, {}
-    raw = None
-
-    def opened(tag: str) -> int:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                return i
-        return -1
-
-    at = 0
-    while m := TOKEN.match(page, at):
-        closing, tag, attributes, text = m.groups()
-        at = m.end()
-        if tag and not closing and (kind := tag.lower()) in PLAIN and (not raw or kind in CODE) and not (attributes or "").rstrip().endswith("/"):
-            end = PLAIN[kind].search(page, at)
-            at = end.start() if end else len(page)
-        if raw:
-            if closing and tag.lower() == raw:
-                raw = None
-            continue
-        if text is not None:
-            path = tuple((x[1], x[2]) for x in stack)
-            out.append((path, block, entities.unescape(text), any(x[0] == "a" for x in stack), any(x[3] for x in stack)))
-            continue
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if closing:
-            i = opened(tag)
-            if i >= 0:
-                if tag in BLOCK:
-                    block += 1
-                    del stack[i:]
-                elif not any(x[0] in BLOCK for x in stack[i + 1 :]):
-                    del stack[i:]
-            elif tag in BLOCK:
-                block += 1
-            continue
-        if tag == "br":
-            out.append((tuple((x[1], x[2]) for x in stack), block, " ", False, any(x[3] for x in stack)))
-            continue
-        if tag in BLOCK:
-            block += 1
-        if tag in VOID:
-            continue
-        if tag in RAW:
-            if not (attributes or "").rstrip().endswith("/"):
-                raw = tag
-            continue
-        if tag in BLOCK and (i := opened("p")) >= 0 and not any(x[0] in SCOPES for x in stack[i + 1 :]):
+
+    def __init__(self, page: str):
+        self.parent, self.tag, self.path, self.junk, self.home, self.link = [-1], [""], [0], [False], [False], [-1]
+        self.texts: list[tuple[int, int, str]] = []
+        self.marked: dict[int, bool] = {}
+        self._names: dict[tuple[int, str], int] = {}
+        self._read(page)
+
+    def _open(self, up: int, tag: str, attributes: str) -> int:
+        named = [(name.lower(), x or y or z) for name, x, y, z in ATTRIBUTE.findall(attributes)] if attributes.strip() else []
+        marks = " ".join(v for name, v in named if name in ("class", "id", "role"))
+        k = len(self.parent)
+        if marks and tag not in ("html", "body") and tag not in HOME:
+            plain = tag in PARTS and not any(name in ("class", "role") for name, _ in named)
+            if m := (PART_MARKS if plain else MARKS).search(marks):
+                self.marked[k] = bool(DISCUSSION.search(m[0]))
+        self.parent.append(up)
+        self.tag.append(tag)
+        self.path.append(self._names.setdefault((self.path[up], f"{tag}.{marks}" if marks else tag), len(self._names) + 1))
+        self.junk.append(self.junk[up] or tag in BOILERPLATE or tag == "header" and not self.home[up])
+        self.home.append(self.home[up] or tag in HOME)
+        self.link.append(k if tag == "a" else self.link[up])
+        return k
+
+    def _read(self, page: str) -> None:
+        stack, block, at, raw = [0], 0, 0, None
+        tags, opened = self.tag, {}
+
+        def close(i: int) -> None:
+            for k in stack[i:]:
+                opened[tags[k]] -= 1
             del stack[i:]
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in CLOSES.get(tag, ()):
-                del stack[i:]
-                break
-            if stack[i][0] in SCOPES:
-                break
-        marks = " ".join(x or y or z for name, x, y, z in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role")) if attributes else ""
-        home = any(x[0] in HOME for x in stack)
-        junk = tag in BOILERPLATE or tag == "header" and not home
-        number += 1
-        if marks and tag not in ("html", "body") and tag not in HOME and (m := MARKS.search(marks)):
-            marked[number] = bool(DISCUSSION.search(m[0]))
-        stack.append((tag, f"{tag}.{marks}" if marks else tag, number, junk))
-    return out, marked
-
-
-def lowered(texts: list[tuple[tuple, str, bool]], marked: dict[int, bool]) -> set[int]:
-    """Numbers of the marked elements that are boilerplate indeed.
+
+        while m := TOKEN.match(page, at):
+            closing, tag, attributes, text = m.groups()
+            at = m.end()
+            if tag and not closing and (kind := tag.lower()) in PLAIN and (not raw or kind in CODE) and not attributes.rstrip().endswith("/"):
+                end = PLAIN[kind].search(page, at)
+                at = end.start() if end else len(page)
+            if raw:
+                if closing and tag.lower() == raw:
+                    raw = None
+                continue
+            if text is not None:
+                self.texts.append((stack[-1], block, entities.unescape(text)))
+                continue
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if closing:
+                if not opened.get(tag):
+                    block += tag in BLOCK
+                    continue
+                for i in range(len(stack) - 1, 0, -1):
+                    if tags[stack[i]] == tag:
+                        block += tag in BLOCK
+                        close(i)
+                        break
+                    if tag not in BLOCK and tags[stack[i]] in BLOCK:
+                        break
+                continue
+            if tag == "br":
+                self.texts.append((stack[-1], block, " "))
+                continue
+            block += tag in BLOCK
+            if tag in VOID:
+                continue
+            if tag in RAW:
+                if not attributes.rstrip().endswith("/"):
+                    raw = tag
+                continue
+            if tag in BLOCK and opened.get("p"):
+                for i in range(len(stack) - 1, 0, -1):
+                    if tags[stack[i]] == "p":
+                        close(i)
+                        break
+                    if tags[stack[i]] in SCOPES:
+                        break
+            if tag in CLOSES:
+                for i in range(len(stack) - 1, 0, -1):
+                    if tags[stack[i]] in CLOSES[tag]:
+                        close(i)
+                        break
+                    if tags[stack[i]] in SCOPES:
+                        break
+            stack.append(self._open(stack[-1], tag, attributes))
+            opened[tag] = opened.get(tag, 0) + 1
+
+    def summed(self, own: dict[int, int]) -> list[int]:
+        """For every element the sum over itself and all it holds."""
+        out = [own.get(k, 0) for k in range(len(self.parent))]
+        for k in range(len(out) - 1, 0, -1):
+            out[self.parent[k]] += out[k]
+        return out
+
+    def within(self, roots: set[int]) -> list[bool]:
+        """For every element whether it is one of ``roots`` or stands in one."""
+        out = [False] * len(self.parent)
+        for k, up in enumerate(self.parent):
+            out[k] = k in roots or k > 0 and out[up]
+        return out
+
+    def homes(self, k: int) -> list[int]:
+        """The article and main elements around an element, itself included, from the inside out."""
+        out = []
+        while k > 0 and self.home[k]:
+            if self.tag[k] in HOME:
+                out.append(k)
+            k = self.parent[k]
+        return out
+
+
+def lowered(page: Page, texts: list[tuple[int, int, str]]) -> set[int]:
+    """The marked elements that are boilerplate indeed.
 
     A mark doesn't count where its element holds more than half of the page's text
     without links, or the only article or main element with unmarked text. It counts
     even so if ``ELSEWHERE`` of the text is unmarked and, but for a discussion,
     in another article or main. Where marks take all text, that with the most doesn't count.
     """
-    total, held, around, inside = 0, {}, set(), set()
-    for path, text, link in texts:
-        home = False
-        for x, k in path:
-            if k in marked:
-                held[k] = held.get(k, 0) + len(text) * (not link)
-                if home:
-                    inside.add(k)
-            home = home or x.split(".")[0] in HOME
-        if home:
-            last = max(i for i, (x, _) in enumerate(path) if x.split(".")[0] in HOME)
-            around.update(k for _, k in path[:last] if k in marked)
-        total += len(text) * (not link)
-    low = set(held)
+    own: dict[int, int] = {}
+    at_home: dict[int, int] = {}
+    for e, _, text in texts:
+        own[e] = own.get(e, 0) + len(text) * (page.link[e] < 0)
+        if found := page.homes(e):
+            at_home[found[0]] = 1
+    held, with_text = page.summed(own), page.summed({e: 1 for e, _, _ in texts})
+    above = page.summed(at_home)
+    low = {k for k in page.marked if with_text[k]}
+    around = {k for k in low if above[k]}
+    total = held[0]
 
     def unmarked(home: bool) -> int:
-        return sum(len(t) for path, t, link in texts if not link and not any(k in low for _, k in path) and (not home or any(x.split(".")[0] in HOME for x, _ in path)))
+        out = page.within(low)
+        return sum(n for e, n in own.items() if not out[e] and (not home or page.home[e]))
 
-    for k in sorted(held):
+    for k in sorted(low):
         if 2 * held[k] > total or k in around:
-            elsewhere = unmarked(False) if marked[k] else 0 if k in inside else unmarked(True)
+            elsewhere = unmarked(False) if page.marked[k] else 0 if page.home[k] else unmarked(True)
             if elsewhere < ELSEWHERE * total and (2 * held[k] > total or not unmarked(True)):
                 low.discard(k)
     while low and not unmarked(False) and (most := max((held[k], -k) for k in low))[0]:
@@ -190,91 +248,111 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return padded / np.convolve(np.ones(len(values)), window)[width : width + len(values)]
 
 
-def link_lists(texts: list[tuple[tuple, str, bool]]) -> set[int]:
-    """Numbers of the lists and other blocks whose whole text, but for separators, is that of more than ``FEW_LINKS`` links.
+def path_ratios(paths: list[int], texts: list[str]) -> tuple[dict[int, float], float]:
+    """The largest fused ratio of each path, and the mean over all text nodes.
+
+    A node's ratios are its path's mean text length and mean number of marks,
+    each smoothed over the sequence of nodes; fused, they are the geometric mean.
+    """
+    count, length, marks = {}, {}, {}
+    for p, text in zip(paths, texts):
+        count[p] = count.get(p, 0) + 1
+        length[p] = length.get(p, 0) + len(text)
+        marks[p] = marks.get(p, 0) + len(PUNCTUATION.findall(text))
+    ratio = smooth(np.array([length[p] / count[p] for p in paths]))
+    points = smooth(np.array([(marks[p] + 0.1) / count[p] for p in paths]))
+    fused = np.sqrt(ratio * points)
+    best: dict[int, float] = {}
+    for p, value in zip(paths, fused.tolist()):
+        best[p] = max(best.get(p, 0.0), value)
+    return best, float(fused.mean())
+
+
+def content_paths(page: Page, texts: list[tuple[int, int, str]]) -> set[int]:
+    """The paths whose ratio reaches the threshold and whose text isn't mostly that of links."""
+    paths = [page.path[e] for e, _, _ in texts]
+    best, mean = path_ratios(paths, [t for _, _, t in texts])
+    length, links = {}, {}
+    for p, (e, _, text) in zip(paths, texts):
+        length[p] = length.get(p, 0) + len(text)
+        links[p] = links.get(p, 0) + len(text) * (page.link[e] >= 0)
+    linked = {p for p in length if links[p] > 0.5 * length[p]}
+    return {p for p, v in best.items() if v >= THRESHOLD * mean and p not in linked} or set(best) - linked or set(best)
+
+
+def link_lists(page: Page, texts: list[tuple[int, int, str]]) -> set[int]:
+    """The lists and other blocks whose whole text, but for separators, is that of more than ``FEW_LINKS`` links.
 
     A part of a list or table is none, nor is the page or an article as such.
     """
-    links: dict[int, set[int]] = {}
-    plain: set[int] = set()
-    for path, text, link in texts:
-        if link:
-            a = [k for x, k in path if x.split(".")[0] == "a"][-1]
-            for _, k in path:
-                links.setdefault(k, set()).add(a)
-        elif any(c.isalnum() for c in text):
-            plain.update(k for _, k in path)
-    full = {k for k, a in links.items() if len(a) > FEW_LINKS} - plain
-    return full and {k for path, _, _ in texts for x, k in path if k in full and x.split(".")[0] in LISTS}
-
-
-def bounds(paths: list[tuple]) -> set[int]:
-    """Numbers of the elements that bound an article; none is the whole page.
-
-    It is the deepest article or main around all ``paths``, else each one's outermost
-    article or main if all have one, else the deepest container around all.
+    links = page.summed({page.link[e]: 1 for e, _, _ in texts if page.link[e] >= 0})
+    plain = page.summed({e: 1 for e, _, text in texts if page.link[e] < 0 and any(c.isalnum() for c in text)})
+    return {k for k, tag in enumerate(page.tag) if tag in LISTS and links[k] > FEW_LINKS and not plain[k]}
+
+
+def bounds(page: Page, content: list[int]) -> set[int]:
+    """The elements that bound an article; element 0 is the whole page.
+
+    It is the deepest article or main around all elements with content, else each
+    one's outermost article or main if all have one, else the deepest container
+    around all.
     """
-    common = paths[0]
-    for path in paths:
-        common = common[: next((i for i, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
-    if found := [k for x, k in common if x.split(".")[0] in HOME]:
-        return {found[-1]}
-    found = [next((k for x, k in path if x.split(".")[0] in HOME), None) for path in paths]
-    if None not in found:
-        return set(found)
-    return set([k for x, k in common if x.split(".")[0] in CONTAINERS][-1:])
-
-
-def main_text(page: str | None) -> str:
+    number: dict[int, int] = {}
+    for e in content:
+        number[e] = number.get(e, 0) + 1
+    inside = page.summed(number)
+    common = max(k for k, n in enumerate(inside) if n == len(content))
+    if found := page.homes(common):
+        return {found[0]}
+    if all(page.home[e] for e in content):
+        return {page.homes(e)[-1] for e in set(content)}
+    while common and page.tag[common] not in CONTAINERS:
+        common = page.parent[common]
+    return {common}
+
+
+def main_text(html: str | None) -> str:
     """The article of a page: blocks in page order, one per line; empty where there is none.
 
     A null or empty page, and one without any text outside boilerplate, gives an
     empty text. Truncated and unclosed markup is read as browsers do: what is
     open ends with its parent, and an unfinished tag or comment at the end is none.
     """
-    if not page:
+    if not html:
         return ""
-    found, marked = nodes(page)
-    texts = [(path, " ".join(text.split()), link) for path, _, text, link, junk in found if not junk and text.strip()]
-    if low := marked and lowered(texts, marked):
-        found = [x for x in found if not any(k in low for _, k in x[0])]
-        texts = [x for x in texts if not any(k in low for _, k in x[0])]
+    page = Page(html)
+    found = [x for x in page.texts if not page.junk[x[0]]]
+    texts = [(e, b, " ".join(t.split())) for e, b, t in found if t.strip()]
+    if low := page.marked and lowered(page, texts):
+        out = page.within(low)
+        found, texts = [x for x in found if not out[x[0]]], [x for x in texts if not out[x[0]]]
     if not texts:
         return ""
-    names = [tuple(x for x, _ in path) for path, _, _ in texts]
-    length, marks, links, count = {}, {}, {}, {}
-    for name, (_, text, link) in zip(names, texts):
-        count[name] = count.get(name, 0) + 1
-        length[name] = length.get(name, 0) + len(text)
-        marks[name] = marks.get(name, 0) + len(PUNCTUATION.findall(text))
-        links[name] = links.get(name, 0) + len(text) * link
-    ratio = smooth(np.array([length[n] / count[n] for n in names]))
-    points = smooth(np.array([(marks[n] + 0.1) / count[n] for n in names]))
-    fused = np.sqrt(ratio * points)
-    best: dict[tuple, float] = {}
-    for name, value in zip(names, fused.tolist()):
-        best[name] = max(best.get(name, 0.0), value)
-    linked = {n for n in length if links[n] > 0.5 * length[n]}
-    limit = THRESHOLD * float(fused.mean())
-    chosen = {n for n, v in best.items() if v >= limit and n not in linked} or set(best) - linked or set(best)
-
+    chosen = content_paths(page, texts)
+    content = [x for x in texts if page.path[x[0]] in chosen]
     held: dict[int, int] = {}
-    total = 0
-    for name, (path, text, _) in zip(names, texts):
-        if name in chosen:
-            total += len(text)
-            for _, number in path:
-                held[number] = held.get(number, 0) + len(text)
-    content = [path for name, (path, _, _) in zip(names, texts) if name in chosen]
-    if any(x.split(".")[0] in HOME and held[k] >= HOLDS * total for path in content for x, k in path):
-        content = [path for path in content if any(x.split(".")[0] in HOME for x, _ in path)]
-    homes = bounds(content)
-    lists = link_lists(texts)
+    for e, _, text in content:
+        if around := page.homes(e):
+            held[around[-1]] = held.get(around[-1], 0) + len(text)
+    if held and max(held.values()) >= HOLDS * sum(len(t) for _, _, t in content):
+        content = [x for x in content if page.home[x[0]]]
+    inside = page.within(bounds(page, [e for e, _, _ in content]))
+    lists = page.within(link_lists(page, texts))
     blocks: dict[int, list[str]] = {}
-    for path, block, text, _, junk in found:
-        if not junk and (not homes or any(k in homes for _, k in path)) and not any(k in lists for _, k in path):
-            blocks.setdefault(block, []).append(text)
-    lines = (" ".join("".join(x).split()) for _, x in sorted(blocks.items()))
+    keep = set()
+    for e, block, text in found:
+        if not inside[e] or lists[e]:
+            continue
+        blocks.setdefault(block, []).append(text)
+        if block not in keep and text.strip():
+            if page.path[e] in chosen:
+                keep.add(block)
+            else:
+                while e and page.tag[e] not in BLOCK:
+                    e = page.parent[e]
+                if page.tag[e] in KEPT:
+                    keep.add(block)
+    lines = (" ".join("".join(x).split()) for b, x in sorted(blocks.items()) if b in keep)
     return "\n".join(x for x in lines if x)
 
 
