@@ -156,23 +156,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
     sample = training_sample(labels, label, bound)  # bound times two numbers: small enough to broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     joined = rows.join(F.broadcast(sample), "doc_id")
+    # an id that repeats counts once, with the statistics of one of its texts: ``bound`` rows at most reach the driver
+    joined = joined.groupBy("doc_id", "label").agg(F.max("text").alias("text"))
     stats = statistics(F.col("text"))
     got = joined.select("doc_id", "label", *[c.alias(k) for k, c in stats.items()]).toArrow().sort_by([("doc_id", "ascending")])
     x = np.stack([got.column(k).to_numpy() for k in stats], 1)
     return list(stats), *fit(x, got.column("label").to_numpy().astype(float))
 
 
-def score(text: Column, model: tuple[list[str], list[tuple], float]) -> tuple[list[Column], Column]:
+def score(text: Column, model: tuple[list[str], list[tuple], float], prefix: str = "__stat_") -> tuple[list[Column], Column]:
     """Columns of the statistics that the model uses, and the score over their names."""
     names, weighted, intercept = model
     used = sorted({f for path, _ in weighted for f, _, _ in path})
     stats = statistics(text)
-    columns = [stats[names[f]].alias(f"__stat_{names[f]}") for f in used]
+    columns = [stats[names[f]].alias(f"{prefix}{names[f]}") for f in used]
     margin = F.lit(intercept)
     for path, weight in weighted:
         rule = F.lit(True)
         for f, above, cut in path:
-            c = F.col(f"__stat_{names[f]}")
+            c = F.col(f"{prefix}{names[f]}")
             rule = rule & ((c > cut) if above else (c <= cut))
         margin = margin + F.when(rule, F.lit(weight)).otherwise(F.lit(0.0))
     return columns, 1 / (1 + F.exp(-margin))
@@ -180,11 +182,19 @@ def score(text: Column, model: tuple[list[str], list[tuple], float]) -> tuple[li
 
 def accepted(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
     """The rows of ``docs`` whose score reaches the limit, with all their columns."""
-    own = docs.columns
-    columns, value = score(F.col("text"), model)
+    own, prefix = docs.columns, free_prefix(docs)
+    columns, value = score(F.col("text"), model, prefix)
     # the row number keeps the filter above the projection, which else would compute every statistic for every rule
-    rows = docs.select("*", *columns, F.monotonically_increasing_id().alias("__stat_row"))
-    return rows.where((value >= limit) & (F.col("__stat_row") >= 0)).select(*own)
+    rows = docs.select("*", *columns, F.monotonically_increasing_id().alias(f"{prefix}row"))
+    return rows.where((value >= limit) & (F.col(f"{prefix}row") >= 0)).select(*own)
+
+
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix that no column of ``docs`` begins with."""
+    prefix = "__stat_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return prefix
 
 
 def scored(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
@@ -194,8 +204,8 @@ def scored(docs: DataFrame, model: tuple, limit: float = LIMIT) -> DataFrame:
     rows that repeat get the same score; an empty table gives an empty result.
     Columns of the input named held_out, score or predicted are replaced.
     """
-    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted") and not c.startswith("__stat_")]
-    columns, value = score(F.col("text"), model)
+    own = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
+    columns, value = score(F.col("text"), model, free_prefix(docs))
     return (
         docs.select(*own, *columns)
         .select(*own, F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), value.alias("score"))
