@@ -160,7 +160,7 @@ WITH t AS (
 SELECT doc_id,
        max(doc_id) OVER (PARTITION BY x) AS keep_id,
        count(*) OVER (PARTITION BY x) AS group_size,
-       doc_id = max(doc_id) OVER (PARTITION BY x) AS kept,
+       row_number() OVER (PARTITION BY x ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
        sha256(x) AS text_sha256
 FROM t
 """
