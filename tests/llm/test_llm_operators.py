@@ -14,7 +14,7 @@ from timberline.llm import exact_dedup, flac, html_extract, mixing, ngram_join,
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that clash with names that operators use.
-CLASH = ["score", "predicted", "held_out", "sha", "keep", "rows", "kept", "ids", "start", "length", "shard", "key", "part", "cut", "whole", "set_key", "n", "band", "media", "label"]
+CLASH = ["score", "predicted", "held_out", "sha", "keep", "rows", "kept", "ids", "start", "length", "shard", "key", "part", "cut", "whole", "set_key", "n", "band", "media", "label", "__stat_log_chars", "__stat_row", "__mix_l", "__mix_m_whole", "__mix_domain", "_t", "listed", "lead"]
 WORDS = [f"w{i}" for i in range(400)]
 
 
@@ -210,6 +210,51 @@ def test_training_never_sees_held_out_labels(spark, docs, labels):
     assert training_sample(labels, "quality", 3).count() == 3
 
 
+def test_rules_are_compiled_as_they_hold(larger, spark):
+    """The column expression against the rules' own evaluation on the statistics."""
+    from timberline.llm import quality
+
+    docs, labels = larger
+    docs = docs.where("doc_id < 1500")
+    model = quality.train(docs, labels)
+    names, weighted, intercept = model
+    assert weighted
+    got = {r.doc_id: r.score for r in quality.scored(docs.select("doc_id", "text"), model).select("doc_id", "score").collect()}
+    stats = docs.select("doc_id", *(c.alias(k) for k, c in quality.statistics(F.col("text")).items())).collect()
+    x = np.array([[r[k] for k in names] for r in stats])
+    margin = intercept + sum(w * quality.holds(x, p) for p, w in weighted)
+    np.testing.assert_allclose([got[r.doc_id] for r in stats], 1 / (1 + np.exp(-margin)), rtol=1e-9)
+    # the lasso's weights are where its objective can't be lowered: smooth gradient within the penalty
+    r = np.random.default_rng(1)
+    z = (r.random((400, 12)) < 0.4).astype(float)
+    y = (r.random(400) < 1 / (1 + np.exp(-(2 * z[:, 0] - 2 * z[:, 1])))).astype(float)
+    w, b = quality.lasso(z, y, 0.01, 4000)
+    g = z.T @ (1 / (1 + np.exp(-(z @ w + b))) - y) / 400
+    assert (np.abs(g) <= 0.01 + 1e-4).all() and np.allclose(g[w != 0], -0.01 * np.sign(w[w != 0]), atol=1e-4) and (w == 0).any()
+
+
+def test_toxicity_scores_match_brute_force(spark):
+    """Every sentence scored by hand, and the noisy-or of all; length alone doesn't count."""
+    model = ({"vile": 11.0, "vile-": 2.0, "awful": 6.0, "nast-": 9.0}, -10.0)
+    texts = [None, "", "...", "vile", "Nasty thing. A vile, VILE day! awful", "awful\n" * 40, "clean words. " * 100_000, "vilely so. " + "x. " * 20_000, words(3, 5000) + ". nastier", "nast"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.scored(df, model).collect():
+        none, spans = 1.0, []
+        sentences = [(m.start(), m.end()) for m in re.finditer(r"[^.!?\n]+", texts[r.doc_id] or "")]
+        if sentences:
+            none *= 1 - 1 / (1 + np.exp(10.0))
+        for a, b in sentences:
+            found = {f for w in re.findall(r"\w+", texts[r.doc_id][a:b].lower()) for f in (w, w[:4] + "-" if len(w) > 4 else w, w[:5] + "-" if len(w) > 5 else w) if f in model[0]}
+            if found:
+                p = 1 / (1 + np.exp(10.0 - sum(model[0][f] for f in found)))
+                none *= 1 - p
+                if p >= 0.5:
+                    spans.append((a, b))
+        assert r.score == pytest.approx(1 - none, abs=1e-9), r.doc_id
+        assert [(x.start, x.end) for x in r.offending] == spans and r.predicted == int(r.score >= 0.5)
+        assert r.doc_id != 6 or r.score < 1e-3
+
+
 # 3 ------------------------------------------------------------------------------------------------
 
 
@@ -271,8 +316,23 @@ def test_mixing_budgets(spark):
     assert mixing.mix(df, 0.5, 1).count() == len(out)
 
 
+def test_mixing_takes_another_tree(spark):
+    import duckdb
+
+    tree = mixing.Tree("CASE WHEN source LIKE 'it''s%' THEN 'a' ELSE 'b' END", {"a": 3, "b": 1}, {"en": 2}, {"it's 1": 5}, seed=3)
+    rows = [(i, " ".join(["x"] * (1 + i % 9)), ["en", "de", None][i % 3], ["it's 1", "it's 2", "other", None][i % 4], 0) for i in range(600)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted(map(repr, map(tuple, mixing.mix(df, 0.7, 2, tree).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens").collect())))
+    duck = duckdb.connect()
+    duck.sql("CREATE TABLE t (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    duck.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?)", rows)
+    want = duck.sql(mixing.oracle(0.7, 2, "t", tree)).select("doc_id, domain, lang, source, epoch, n_tokens").fetchall()
+    assert got == sorted(map(repr, want)) and len(got) > 100
+
+
 def test_mixing_on_awkward_rows(awkward, empty):
     out = mixing.mixed(awkward, 3.0, 3)
+    assert set(awkward.columns) <= set(out.columns) and out.where("__mix_m_whole <> 'clash' OR __mix_l <> 'clash'").count() == 0
     assert out.select(*awkward.columns).count() == 3 * len(awkward_rows()) - 2  # the source without tokens comes once
     assert mixing.mix(empty).count() == 0
 
@@ -327,6 +387,21 @@ def test_pii_adds_secrets(spark):
     assert all("secret:" in r.spans for r in got if r.doc_id < 60) and all(not r.spans for r in got if r.doc_id >= 60)
 
 
+def test_pii_gazetteer_names_and_lists(spark):
+    named = [f"we met Maria Stolz{chr(97 + i % 26)} there, {words(i, 9)}" for i in range(30)]
+    mails = [f"write to a{i}@b.com or call +49 30 12345{i:02d} now" for i in range(30)]
+    plain = [f"Under Ground {words(100 + i, 20)}. The Big House" for i in range(30)]
+    rows = [*named, *mails, *plain]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.candidates(df).collect()}
+    assert all([(x.kind, x.value[:11], x.listed) for x in found[i].more_spans] == [("name", "Maria Stolz", True)] for i in range(30))
+    assert all([x.listed for x in found[i].base_spans] == [True, True] for i in range(30, 60)) and not any(found[i].more_spans for i in range(60, 90))
+    got = {r.doc_id: r.spans for r in pii.find(df).collect()}
+    assert all(got[i] == f"name:7:{7 + len('Maria Stolzx')}" for i in range(30)) and not any(got[i] for i in range(60, 90))
+    none = pii.GAZETTEERS | {"names": ()}
+    assert not any(r.spans for r in pii.find(df.where("doc_id < 30"), gazetteers=none).collect())
+
+
 def test_pii_on_awkward_rows(awkward, empty):
     rows = pii.find(awkward).collect()
     assert len(rows) == len(awkward_rows())
@@ -366,6 +441,34 @@ def check_pieces(rows, ids, capacity=4096):
     return len(seqs)
 
 
+def test_id_encoder_equals_the_library():
+    import random
+
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from timberline.llm.common import IdEncoder, slices_by_size
+
+    rng = random.Random(5)
+    parts = [
+        "Hello", "w\u00f6rld", "\u00c9T\u00c9", "don't", "IT'S", "'s", "a'", "x...", "!!", "\u0301", "e\u0301", "\u00a0", " ", "\u0085", "\x1c", "\u0130stanbul", "\u0391\u03a3", "\u4e2d\u6587", "1234", "\u00b2",
+        "\u00aa", "\u00df", "\u1e9e", "\t", "\n", "\r\n", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "A<|endoftext|>b", "A\u030a", "\ufb01", "%%%", "word,", "Word.", "\U0001f600", "_x_", "\x00", "\u200d", "\u212a",
+    ]
+    texts = [None, "", " ", "\n"] + ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        library, encoder = Tokenizer.from_file(path), IdEncoder(path, 500)
+        assert encoder.by_words == by_words
+        for _ in range(2):
+            ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [e.ids for e in library.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+        ids, bounds = encoder.encode(pa.array([], pa.string()))
+        assert len(ids) == 0 and bounds.tolist() == [0]
+    column = pa.array(["a" * n if n else None for n in (5, 0, 3, 20, 1, 1)], pa.string())
+    assert list(slices_by_size(column, 7)) == [(0, 3), (3, 4), (4, 6)] and list(slices_by_size(column[:0])) == []
+
+
 def test_packing(docs, local):
     ids = dict(zip(local, token_ids(local.values())))
     used = check_pieces(packing.pack(docs, queries.tokenizer_path()).collect(), ids)
@@ -606,3 +709,66 @@ def test_html_on_awkward_rows(spark):
     df = spark.createDataFrame([(None, None, None, "c"), (1, "u", "<p>x</p>" * 20_000, "c"), (1, "u", "<p>x</p>", "c")], "page_id long, url string, html string, text string")
     assert sorted(r.n_chars for r in html_extract.extract(df).collect()) == [0, 1, 39_999]
     assert html_extract.extract(df.where("page_id = 7")).count() == 0
+
+
+def naive_ratios(paths, texts):
+    """The path ratios with every window written out."""
+    of = {p: [t for q, t in zip(paths, texts) if q == p] for p in paths}
+    mean = {p: sum(map(len, v)) / len(v) for p, v in of.items()}
+    marks = {p: (sum(sum(c in ".,;:!?\u2026\u3002\uff0c\u3001\uff1b\uff1a\uff01\uff1f\u00bf\u00a1" for c in t) for t in v) + 0.1) / len(v) for p, v in of.items()}
+
+    def at(i, values):
+        near = [j for j in range(len(paths)) if abs(i - j) <= 3]
+        weight = [np.exp(-0.5 * (i - j) ** 2) for j in near]
+        return sum(w * values[paths[j]] for w, j in zip(weight, near)) / sum(weight)
+
+    fused = [np.sqrt(at(i, mean) * at(i, marks)) for i in range(len(paths))]
+    return {p: max(f for f, q in zip(fused, paths) if q == p) for p in paths}, sum(fused) / len(fused)
+
+
+def test_path_ratios_match_brute_force(spark, sf_dir):
+    for r in queries.table(spark, sf_dir, "pages").limit(40).collect():
+        page = html_extract.Page(r.html)
+        texts = [(e, t) for e, _, t in page.texts if t.strip() and not page.junk[e]]
+        paths = [page.path[e] for e, _ in texts]
+        best, mean = html_extract.path_ratios(paths, [t for _, t in texts])
+        want, level = naive_ratios(paths, [t for _, t in texts])
+        assert best.keys() == want.keys() and all(best[p] == pytest.approx(want[p]) for p in want) and mean == pytest.approx(level)
+        chosen = {p for p in want if want[p] >= 0.5 * level}
+        assert html_extract.content_paths(page, [(e, 0, t) for e, t in texts]) <= chosen
+
+
+LONG = "A paragraph of the text, with a mark or two. And another sentence, too."
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        # without an article element: menu, comments and footer by their marks, the rest by its paths
+        (f"<body><div class=top><a href=/>Home</a> <a href=/b>News</a> <a href=/c>Shop</a></div><div class=text><h1>Title</h1><p>{LONG}</p><ul><li>one</li><li>two</li></ul><p>{LONG}</p></div><div id=comments><p>{LONG} Me too.</p></div><div class=footer>Imprint</div></body>", f"Title\n{LONG}\none\ntwo\n{LONG}"),
+        (f"<body><div class=intro><p>{LONG}</p></div><div class=text>{f'<p>{LONG}</p>' * 16}</div></body>", "\n".join([LONG] * 17)),
+        # marked comments inside the article go, chapters that are only named like boilerplate stay
+        (f"<article><p>{LONG}</p><section id=discussion><h2>Discussion</h2><p>{LONG}</p></section><p id=search-methods>{LONG}</p><section class=comments><p>{LONG}</p></section></article>", f"{LONG}\nDiscussion\n{LONG}\n{LONG}"),
+        (f"<article><div class=entry-header><h1>Title</h1></div><p>Let <math>x</math> be. {LONG}</p></article>", f"Title\nLet x be. {LONG}"),
+        # attributes as browsers read them
+        (f"<article><p title=it's>{LONG}</p><p data-x='a>b' class=\"c>d\">{LONG}</p><p x=1 / y = \"2\" z>{LONG}</p></article>", "\n".join([LONG] * 3)),
+        # blocks far from the text whose path lies below the threshold
+        (f"<article><div class=x>12</div><div class=x>7</div><div class=x>3</div><div class=x>9</div><div class=x>8</div>{f'<p>{LONG * 4}</p>' * 9}</article>", None),
+    ],
+)
+def test_content_is_selected_by_paths(page, want):
+    got = html_extract.main_text(page)
+    if want is None:
+        assert got.endswith("\n".join([LONG * 4] * 9)) and "12" not in got.split("\n")
+    else:
+        assert got == want
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + LONG + "</div>" * 20_000, f"<div>{LONG}" * 20_000, f"<b>{LONG}" * 20_000, f"<p>{LONG}<span>" * 20_000, "<a " + "x='" * 50_000, "<a " + "x= " * 50_000 + "<p " * 50_000, "<" * 100_000])
+def test_deep_and_broken_markup_takes_linear_time(page):
+    import time
+
+    html_extract.main_text(LONG)
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 4

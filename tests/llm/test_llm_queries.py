@@ -3,6 +3,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from timberline.llm import queries
@@ -53,3 +54,20 @@ def test_pipeline_on_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.common.written(stage(spark, docs, sf_dir), "none")
         assert docs.count() == 0
+
+
+def test_pipeline_on_awkward_rows(spark, sf_dir, tmp_path):
+    """Nulls, empty and long texts, repeats, and columns with names that the operators use go through all stages."""
+    from tests.llm.test_llm_operators import CLASH, DOCS, awkward_rows
+
+    rows = spark.createDataFrame(awkward_rows(), DOCS)
+    for c in CLASH:
+        rows = rows.withColumn(c, F.lit("clash"))
+    docs = corpus_pipeline.common.written(rows, "awkward")
+    columns, ids = docs.columns, {r[0] for r in awkward_rows()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.common.written(stage(spark, docs, sf_dir), name)
+        got = docs.collect()
+        assert {r.doc_id for r in got} <= ids
+        if name != "packing":
+            assert docs.columns == columns and all(r.score == "clash" and r["__stat_log_chars"] == "clash" for r in got)

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, release, remove, small_side, sole_cache, written
+from timberline.llm.common import batches_by_size, release, remove, scratch, small_side, sole_cache, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -47,7 +47,7 @@ LARGE, CENTRAL, ROUNDS = 24, 12, 2
 #: Rows of one shingle that a task holds together.
 HOLD = 100_000
 #: Edges of one leader that one task compares.
-CHUNK = 512
+CHUNK = 128
 
 
 
@@ -484,8 +484,17 @@ def labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, labels): doc_id, n and set_key of every row; set_key and comp of every node that has a link."""
-    docs = docs.select("doc_id", "text")
+    """(rows, labels): doc_id, n and set_key of every row; set_key and comp of every node that has a link.
+
+    Of the tables that are written on the way only these two stay.
+    """
+    with scratch(docs.sparkSession) as keep:
+        rows, labels = _similar(docs.select("doc_id", "text"))
+        keep(rows, labels)
+    return rows, labels
+
+
+def _similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = sets(docs)
     nodes = rows.where("kind = 0 and n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     signs_all = signatures(docs, frequent(rows))
