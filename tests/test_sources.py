@@ -80,3 +80,20 @@ def test_workload(spark):
     assert got["requests"] == got["statuses"][200] == got["hits"] == got["empty"] and got["max"] >= got["p50"]
     logs = spark.createDataFrame([("x blk_2 y", 5), ("blk_-1", 1), ("blk_2", 0), ("none", 2)], "message string, offset long")
     assert workload.block_ids(logs) == ["blk_2", "blk_-1"]
+
+
+def test_paced_lines_loop_in_order(spark, tmp_path):
+    import time
+
+    from timberline.sources.generators import paced
+
+    lines = spark.createDataFrame([(i, f"line {i}") for i in range(7)], "i long, line string")
+    q = paced(spark, lines, 20).writeStream.format("memory").queryName("paced_out").option("checkpointLocation", f"file://{tmp_path}/ck").start()
+    try:
+        end = time.time() + 60
+        while time.time() < end and spark.table("paced_out").count() < 30:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = spark.table("paced_out").orderBy("value").collect()
+    assert len(got) >= 30 and [r.line for r in got] == [f"line {r.value % 7}" for r in got] and [r.value for r in got] == list(range(len(got)))

@@ -50,7 +50,8 @@ def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str)
     Nothing of what is there is read or rewritten, but for the same batch's
     files: a batch that is written again after a failure replaces itself.
     """
-    rows = last_write(entries).withColumn("batch", F.lit(str(batch)))
+    # tasks of even size, each with few days: a large day is split, small ones share a task
+    rows = last_write(entries).withColumn("batch", F.lit(str(batch))).hint("rebalance", "event_date")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(path)
 
 
@@ -67,7 +68,7 @@ def compact(spark: SparkSession, path: str, day) -> int:
         name = f"merged-{max([0, *(int(x.getName().rpartition('-')[2]) for x in old if x.getName().startswith('batch=merged-'))]) + 1}"
         schema = T.StructType([f for f in read(spark, path).schema.fields if f.name != "event_date"])
         rows = last_write(spark.read.schema(schema).option("basePath", str(fs_path)).parquet(*(str(x) for x in old)))
-        rows.write.parquet(f"{fs_path}/batch={name}")
+        rows.hint("rebalance").write.parquet(f"{fs_path}/batch={name}")
         for x in old:
             fs.delete(x, True)
     return len(old)

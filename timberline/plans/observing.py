@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from timberline.operators import alerts, bench, metrics, sequences
+from timberline.operators import alerts, bench, metrics, reports, sequences
 from timberline.operators.tail import TailFilter, buffered, events, fan_out, kept
 from timberline.plans.registry import query, with_logs
 from timberline.sources.tables import logs_from_events, table
@@ -194,22 +194,17 @@ def requests(spark, d):
 
 @query("status_count_map", f"WITH {STATUS} SELECT string_agg(status || ':' || n, ',' ORDER BY status) AS counts, sum(n)::BIGINT AS requests FROM (SELECT status, count(*) AS n FROM r GROUP BY status)")
 def status_count_map(spark, d):
-    n = requests(spark, d).groupBy("status").agg(F.count("*").alias("n"))
-    entries = F.array_sort(F.collect_list(F.struct("status", "n")))
-    return n.agg(entries.alias("e"), F.sum("n").alias("requests")).select(F.array_join(F.transform("e", lambda x: F.concat(x["status"], F.lit(":"), x["n"])), ",").alias("counts"), "requests")
+    return reports.status_counts(requests(spark, d), "status")
 
 
 @query("hit_miss_percentiles", f"WITH {STATUS} SELECT quantile_disc(ms, 0.5) FILTER (hit) AS hit_p50, quantile_disc(ms, 0.99) FILTER (hit) AS hit_p99, quantile_disc(ms, 0.5) FILTER (NOT hit) AS miss_p50, quantile_disc(ms, 0.99) FILTER (NOT hit) AS miss_p99, count_if(hit)::BIGINT AS hits FROM r")
 def hit_miss_percentiles(spark, d):
-    r = requests(spark, d)
-    part = lambda c, p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY ms) FILTER (WHERE {c})")
-    return r.agg(part("hit", 0.5).alias("hit_p50"), part("hit", 0.99).alias("hit_p99"), part("NOT hit", 0.5).alias("miss_p50"), part("NOT hit", 0.99).alias("miss_p99"), F.count_if("hit").alias("hits"))
+    return reports.hit_miss(requests(spark, d), "ms", "hit", {"p50": 0.5, "p99": 0.99})
 
 
 @query("warmup_filter", f"WITH {STATUS} SELECT o_orderkey, ms FROM r WHERE o_orderkey >= 1000")
 def warmup_filter(spark, d):
-    """Samples that began after the warm-up."""
-    return requests(spark, d).where("o_orderkey >= 1000").select("o_orderkey", "ms")
+    return reports.after_warmup(requests(spark, d), "o_orderkey", 1000).select("o_orderkey", "ms")
 
 
 @query("bench_median_range", "SELECT o_orderpriority AS variant, median(o_totalprice) AS median, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*) AS runs FROM orders GROUP BY 1")
@@ -219,7 +214,8 @@ def bench_median_range(spark, d):
 
 @query("cpu_mean_peak", "SELECT o_orderstatus AS container, round(avg(o_totalprice), 4) AS mean, max(o_totalprice) AS peak FROM orders GROUP BY 1")
 def cpu_mean_peak(spark, d):
-    return table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("container")).agg(F.round(F.avg("o_totalprice"), 4).alias("mean"), F.max("o_totalprice").alias("peak"))
+    readings = table(spark, d, "orders").withColumnRenamed("o_orderstatus", "container")
+    return reports.mean_peak(readings, "container", "o_totalprice").withColumn("mean", F.round("mean", 4))
 
 
 @query(
@@ -235,18 +231,15 @@ def mann_whitney_u(spark, d):
 
 @query("pool_runs", "SELECT variant, median(x) AS median, count(*) AS n FROM (SELECT 'a' AS variant, l_quantity AS x FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT 'b', l_quantity FROM lineitem WHERE l_linenumber = 2) GROUP BY variant")
 def pool_runs(spark, d):
-    runs = table(spark, d, "lineitem")
-    part = lambda k, v: runs.where(F.col("l_linenumber") == k).select(F.lit(v).alias("variant"), F.col("l_quantity").alias("x"))
-    return part(1, "a").unionByName(part(2, "b")).groupBy("variant").agg(F.median("x").alias("median"), F.count("*").alias("n"))
+    runs = table(spark, d, "lineitem").withColumnRenamed("l_quantity", "x")
+    both = reports.pooled({"a": runs.where("l_linenumber = 1"), "b": runs.where("l_linenumber = 2")}, ["x"], "variant")
+    return bench.summary(both, ["variant"], "x").select("variant", "median", F.col("runs").alias("n"))
 
 
 @query("variant_comparison", "WITH m AS (SELECT o_orderpriority AS v, median(o_totalprice) AS x FROM orders GROUP BY 1) SELECT a.v AS one, b.v AS two, round(a.x / b.x, 9) AS ratio FROM m a JOIN m b ON a.v < b.v")
 def variant_comparison(spark, d):
-    """Medians of all pairs of variants; variants are few and counted by hand."""
-    m = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("v")).agg(F.median("o_totalprice").alias("x"))
-    all_ = m.agg(F.array_sort(F.collect_list(F.struct("v", "x"))).alias("m"))
-    pairs = all_.select("m", F.posexplode("m").alias("i", "a")).select("a", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("b"))
-    return pairs.select(F.col("a.v").alias("one"), F.col("b.v").alias("two"), F.round(F.col("a.x") / F.col("b.x"), 9).alias("ratio"))
+    medians = bench.summary(table(spark, d, "orders"), ["o_orderpriority"], "o_totalprice")
+    return reports.ratios(medians, "o_orderpriority", "median").withColumn("ratio", F.round("ratio", 9))
 
 
 @query("strided_assign", "SELECT o_orderkey, ((row_number() OVER (ORDER BY o_orderkey) - 1 + 8 - 3) % 8)::BIGINT AS worker FROM orders")
@@ -258,34 +251,30 @@ def strided_assign(spark, d):
 
 @query("nonzero_counters", with_logs("SELECT service || '_' || level || '_errors' AS name, count(*) AS value FROM logs WHERE level IN ('error', 'warn') GROUP BY 1 HAVING count(*) > 0"))
 def nonzero_counters(spark, d):
-    names = logs_from_events(spark, d).where(F.col("level").isin("error", "warn"))
-    counts = names.groupBy(F.concat("service", F.lit("_"), "level", F.lit("_errors")).alias("name")).agg(F.count("*").alias("value"))
-    return counts.where("name rlike 'errors|retries|rejected|dropped' AND value > 0")
+    logs = logs_from_events(spark, d).where(F.col("level").isin("error", "warn"))
+    names = logs.select(F.concat("service", F.lit("_"), "level", F.lit("_errors")).alias("name"))
+    return reports.counters(names, "errors|retries|rejected|dropped")
 
 
 @query("union_dead_letters", with_logs("""SELECT "offset", 'unparseable' AS error FROM logs WHERE "offset" % 7 = 0 UNION ALL SELECT "offset", 'HTTP 400' FROM logs WHERE "offset" % 11 = 0"""))
 def union_dead_letters(spark, d):
     logs = logs_from_events(spark, d)
-    part = lambda k, e: logs.where(F.col("offset") % k == 0).select("offset", F.lit(e).alias("error"))
-    return part(7, "unparseable").unionByName(part(11, "HTTP 400"))
+    return reports.pooled({"unparseable": logs.where("offset % 7 = 0"), "HTTP 400": logs.where("offset % 11 = 0")}, ["offset"], "error")
 
 
 @query("distinct_first_seen", with_logs(r"""SELECT regexp_extract(message, 'user=(\d+)', 1) AS user_ref, min("offset") AS first_seen FROM logs GROUP BY 1"""))
 def distinct_first_seen(spark, d):
-    return logs_from_events(spark, d).groupBy(F.regexp_extract("message", r"user=(\d+)", 1).alias("user_ref")).agg(F.min("offset").alias("first_seen"))
+    return reports.first_seen(logs_from_events(spark, d), F.regexp_extract("message", r"user=(\d+)", 1), "user_ref")
 
 
 @query("level_by_host", with_logs("SELECT host, count_if(level = 'debug')::BIGINT AS debug, count_if(level = 'info')::BIGINT AS info, count_if(level = 'warn')::BIGINT AS warn, count_if(level = 'error')::BIGINT AS error FROM logs GROUP BY host"))
 def level_by_host(spark, d):
-    return logs_from_events(spark, d).groupBy("host").pivot("level", ["debug", "info", "warn", "error"]).agg(F.count(F.lit(1))).fillna(0)
+    return reports.level_matrix(logs_from_events(spark, d), "host", ("debug", "info", "warn", "error"))
 
 
 @query("share_indexed", with_logs("""SELECT round((count_if(indexed_at < TIMESTAMP '2024-01-15 00:00:00') - count_if(indexed_at < TIMESTAMP '2024-01-10 00:00:00')) / (count_if(observed_at < TIMESTAMP '2024-01-15 00:00:00') - count_if(observed_at < TIMESTAMP '2024-01-10 00:00:00')), 9) AS share FROM logs"""))
 def share_indexed(spark, d):
-    n = lambda c, t: F.count_if(F.col(c) < F.lit(t).cast("timestamp"))
-    return logs_from_events(spark, d).agg(
-        F.round((n("indexed_at", "2024-01-15") - n("indexed_at", "2024-01-10")) / (n("observed_at", "2024-01-15") - n("observed_at", "2024-01-10")), 9).alias("share")
-    )
+    return reports.indexed_share(logs_from_events(spark, d), "2024-01-10", "2024-01-15").withColumn("share", F.round("share", 9))
 
 
 @query(

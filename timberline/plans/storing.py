@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from timberline.operators import audit, search, store, validate
+from timberline.operators import audit, reports, search, store, validate
 from timberline.plans.registry import query, with_logs
 from timberline.sources.tables import logs_from_events, table
 
@@ -202,15 +202,13 @@ def store_cursor_walk(spark, d):
 
 @query("count_by_source", with_logs("SELECT source, count(*) AS n FROM logs GROUP BY source"))
 def count_by_source(spark, d):
-    return logs_from_events(spark, d).groupBy("source").agg(F.count("*").alias("n"))
+    return reports.count_by(logs_from_events(spark, d), "source")
 
 
 @query("ids_lookup", with_logs("""SELECT id, service FROM logs WHERE "offset" IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 11 = 0)"""))
 def ids_lookup(spark, d):
-    """Rows of a list of ids, by one semi join of any size."""
-    logs = logs_from_events(spark, d)
     wanted = table(spark, d, "orders").where("o_orderkey % 11 = 0").select(F.col("o_orderkey").alias("offset"))
-    return logs.join(wanted, "offset", "left_semi").select("id", "service")
+    return reports.lookup(logs_from_events(spark, d), wanted, "offset").select("id", "service")
 
 
 STORED = """stored AS (SELECT * FROM logs WHERE "offset" % 97 <> 5), expected AS (SELECT id FROM logs WHERE "offset" % 50 <> 7)"""
@@ -247,7 +245,7 @@ def audit_report(spark, d):
 
 @query("span_throughput", with_logs("SELECT epoch_us(min(observed_at)) AS first_us, epoch_us(max(indexed_at)) AS last_us, count(*) AS n FROM logs"))
 def span_throughput(spark, d):
-    return logs_from_events(spark, d).agg(F.unix_micros(F.min("observed_at")).alias("first_us"), F.unix_micros(F.max("indexed_at")).alias("last_us"), F.count("*").alias("n"))
+    return reports.span(logs_from_events(spark, d))
 
 
 @query(
