@@ -75,12 +75,12 @@ def lowered(text):
 
 
 def brute_components(rows):
-    """[(id, text)] -> [(id, number of shingles, component)], by comparing all pairs of sets."""
+    """[(id, text)] -> [(id, number of shingles, component, number of links)], by comparing all pairs of sets."""
     sets = []
     for _, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
         sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
 
     def find(i):
         while parent[i] != i:
@@ -91,15 +91,17 @@ def brute_components(rows):
         for j in range(i):
             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
                 parent[find(i)] = find(j)
+                links[i] += 1
+                links[j] += 1
     groups = defaultdict(list)
     for i in range(len(rows)):
         groups[find(i)].append(rows[i][0])
     smallest = {k: min((x for x in v if x is not None), default=None) for k, v in groups.items()}
-    return sorted((r[0] if r[0] is not None else -1, len(s), (smallest[find(i)] if s else r[0]) or -1) for i, (r, s) in enumerate(zip(rows, sets)))
+    return sorted((r[0] if r[0] is not None else -1, len(s), (smallest[find(i)] if s else r[0]) or -1, links[i]) for i, (r, s) in enumerate(zip(rows, sets)))
 
 
 def linked(df):
-    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id or -1) for r in ngram_join.linked_documents(df).collect())
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id or -1, r.n_links) for r in ngram_join.linked_documents(df).collect())
 
 
 def test_ngram_join_on_awkward_rows(awkward, empty):
@@ -124,6 +126,19 @@ def test_ngram_join_matches_brute_force(spark):
     assert linked(df) == brute_components(rows)
 
 
+def test_links_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    monkeypatch.setattr(ngram_join, "SLICE", 16)
+    r = np.random.default_rng(8)
+    base, rows = list(r.choice(WORDS, 70)), []
+    for k in range(40):
+        text = list(base)
+        for _ in range(k % 3):
+            text[int(r.integers(0, len(text)))] = f"x{int(r.integers(0, 9))}"
+        rows.append((k, " ".join(text)))
+    assert linked(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+
+
 def test_tiles_cover_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOLD", 4)
     r = np.random.default_rng(3)

@@ -44,6 +44,8 @@ LEAST_BITS = 1024
 BLOCK = 256
 #: Nodes of a group from which its main component is tried first, how many of that one's nodes at most, and how often.
 LARGE, CENTRAL, ROUNDS = 24, 12, 2
+#: Shingles whose occurrences in a block's sets are multiplied at once.
+SLICE = 8192
 #: Rows of one shingle that a task holds together.
 HOLD = 100_000
 #: Edges of one leader that one task compares.
@@ -332,10 +334,10 @@ def bounded_edges(edges: DataFrame, signs: DataFrame) -> DataFrame:
     return sized.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The edges (a, b) whose shingle arrays are similar; b is the side that many edges may share."""
+def arrays(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """set_key and items, the sorted shingle array, of the rows of ``docs`` whose id is among ``reps`` (rep)."""
 
-    def arrays(batches):
+    def run(batches):
         import pyarrow as pa
 
         for batch in batches:
@@ -344,6 +346,13 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 found = [s for s in shingle_sets(data[a:b]) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["set_key", "items"])
 
+    rows = texts(docs)
+    return rows.join(reps, rows["doc_id"].eqNullSafe(reps["rep"]), "left_semi").mapInArrow(run, "set_key long, items binary")
+
+
+def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges (a, b) whose shingle arrays are similar; b is the side that many edges may share."""
+
     def compare(batches):
         import pyarrow as pa
 
@@ -366,8 +375,7 @@ def verified(edges: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     roles = small_side(members.unionByName(leaders), "roles")
     needed = nodes.join(edges.select(F.col("a").alias("set_key")).union(edges.select("b")).distinct(), "set_key")
     needed = small_side(needed.select("rep").distinct(), "needed")
-    rows = texts(docs)
-    items = rows.join(needed, rows["doc_id"].eqNullSafe(needed["rep"]), "left_semi").mapInArrow(arrays, "set_key long, items binary")
+    items = arrays(docs, needed)
     lines = items.join(roles, items["set_key"] == roles["key"]).select("b", "chunk", "a", "items")
     lines = lines.repartition("b", "chunk").sortWithinPartitions("b", "chunk", F.col("a").asc_nulls_first())
     links = written(lines.mapInArrow(compare, "a long, b long").distinct(), "links")
@@ -524,34 +532,115 @@ def _similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where("kind = 0").select("doc_id", "n", "set_key"), labels.withColumnRenamed("id", "set_key")
 
 
-def linked_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``.
-
-    A component's id is the smallest doc_id in it. Rows without words, and null
-    texts, have no shingles and are their own component; of a text under five
-    words the whole sequence is one shingle. Rows whose sets are equal are
-    linked, repeated rows too; a null id is never the smallest, and a component
-    of null ids alone has a null id. An empty table gives an empty result; other
-    columns are ignored. Shingles, and sets, are told apart by 64-bit hashes.
+def similar_matrix(sets_: list[np.ndarray]) -> np.ndarray:
+    """Exact: which of these shingle sets are similar to which; false on the diagonal.
+
+    Common shingles are counted as products of incidence matrices, ``SLICE``
+    columns at a time; shingles of one set alone are no columns.
     """
-    rows, labels = similar(docs)
+    k, n = len(sets_), np.array([len(s) for s in sets_], np.int64)
+    values, column, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(k), n)
+    shared = times[column] > 1
+    place = np.cumsum(times > 1) - 1
+    row, column = row[shared], place[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((k, k), np.float32)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, total, SLICE):
+        a, b = np.searchsorted(column, [at, at + SLICE])
+        part = np.zeros((k, min(SLICE, total - at)), np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    out = 100 * both >= PERCENT * (n[:, None] + n[None, :] - both)
+    np.fill_diagonal(out, False)
+    return out
+
+
+def link_counts(docs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """set_key and links: to how many rows with another set a node of a component is linked.
+
+    All pairs of a component's nodes are compared, which are all that can be
+    linked, in blocks of about ``BLOCK`` nodes; a unit is a pair of blocks and
+    gives one number per node, not the pairs.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        def counted(held):
+            held = list({r[2]: r for r in held}.values())  # a node comes twice if its smallest id does
+            block, copies = np.array([r[0] for r in held]), np.array([r[1] for r in held], np.int64)
+            linked_ = similar_matrix([np.frombuffer(r[3], np.uint64) for r in held])
+            if block.min() != block.max():
+                linked_ &= block[:, None] != block[None, :]
+            links = linked_ @ copies
+            return pa.RecordBatch.from_arrays([pa.array([r[2] for r in held], pa.int64()), pa.array(links, pa.int64())], names=["set_key", "links"])
+
+        at, held = None, []
+        for batch in batches:
+            for comp, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != (comp, i, j):
+                    if held:
+                        yield counted(held)
+                    at, held = (comp, i, j), []
+                held.append(row)
+        if held:
+            yield counted(held)
+
+    members = written(nodes.join(labels, "set_key"), "members")
+    blocks = small_side(members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "member-blocks")
+    items = arrays(docs, small_side(members.select("rep").distinct(), "members-needed"))
+    rows = members.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "copies", "set_key")
+    units = rows.join(items, "set_key").select("comp", "i", "j", "block", "copies", "set_key", "items").repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    return written(units.mapInArrow(run, "set_key long, links long").groupBy("set_key").agg(F.sum("links").alias("links")), "link-counts")
+
+
+def classified(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and set_key of every row; set_key is null without words."""
     ids = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("own"))
     marked = ids.join(labels, "set_key", "left").withColumn("comp", F.coalesce("comp", "set_key"))
     smallest = marked.groupBy("comp").agg(F.min("own").alias("component_id"))
     named = marked.join(smallest, "comp").select("set_key", "component_id")
     return (
-        rows.where("n > 0").join(named, "set_key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        rows.where("n > 0").join(named, "set_key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "set_key")
+        .unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("set_key")))
     )
 
 
+def linked_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every row of ``docs``.
+
+    A component's id is the smallest doc_id in it, n_links the number of other
+    rows that a row is linked with. Rows without words, and null texts, have no
+    shingles, no links and are their own component; of a text under five words
+    the whole sequence is one shingle. Rows whose sets are equal are linked,
+    repeated rows too; a null id is never the smallest, and a component of null
+    ids alone has a null id. An empty table gives an empty result; other columns
+    are ignored. Shingles, and sets, are told apart by 64-bit hashes.
+    """
+    docs = docs.select("doc_id", "text")
+    rows, labels = similar(docs)
+    with scratch(docs.sparkSession) as keep:
+        nodes = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        links = link_counts(docs, nodes, labels)
+        keep(links)
+    release(docs.sparkSession)
+    counts = nodes.join(links, "set_key", "left").select("set_key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return classified(rows, labels).join(counts, "set_key", "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, but for those that are linked with a smaller doc_id.
 
     Rows that share an id go or stay together, and a null id goes if a row of
     its component has one.
     """
-    found = linked_documents(docs)
+    found = classified(*similar(docs))
     dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__dropped_id")).distinct()
     dropped = small_side(dropped, "dropped")
     return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__dropped_id"]), "left_anti")
