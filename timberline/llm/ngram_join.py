@@ -44,6 +44,8 @@ LEAST_BITS = 1024
 BLOCK = 256
 #: Nodes of a group from which its main component is tried first, how many of that one's nodes at most, and how often.
 LARGE, CENTRAL, ROUNDS = 24, 12, 2
+#: Shingles of a block's sets together, on average, at most.
+BLOCK_ITEMS = 500_000
 #: Shingles whose occurrences in a block's sets are multiplied at once.
 SLICE = 8192
 #: Rows of one shingle that a task holds together.
@@ -563,8 +565,8 @@ def link_counts(docs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFra
     """set_key and links: to how many rows with another set a node of a component is linked.
 
     All pairs of a component's nodes are compared, which are all that can be
-    linked, in blocks of about ``BLOCK`` nodes; a unit is a pair of blocks and
-    gives one number per node, not the pairs.
+    linked, in blocks of about ``BLOCK`` nodes, fewer of long ones; a unit is a
+    pair of blocks and gives one number per node, not the pairs.
     """
 
     def run(batches):
@@ -591,7 +593,8 @@ def link_counts(docs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFra
             yield counted(held)
 
     members = written(nodes.join(labels, "set_key"), "members")
-    blocks = small_side(members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "member-blocks")
+    size = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_ITEMS)
+    blocks = small_side(members.groupBy("comp").agg(F.ceil(size).cast("int").alias("blocks")), "member-blocks")
     items = arrays(docs, small_side(members.select("rep").distinct(), "members-needed"))
     rows = members.join(blocks, "comp").withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -626,7 +629,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows, labels = similar(docs)
     with scratch(docs.sparkSession) as keep:
-        nodes = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        nodes = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         links = link_counts(docs, nodes, labels)
         keep(links)
     release(docs.sparkSession)
