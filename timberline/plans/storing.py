@@ -255,3 +255,37 @@ def span_throughput(spark, d):
 def latency_percentiles(spark, d):
     out = audit.latency(logs_from_events(spark, d))
     return out.select(*(F.round(c, 6).alias(c) for c in out.columns))
+
+
+LINES_SQL = """strftime("timestamp", '%Y-%m-%d %H:%M:%S') || ',' || lpad((epoch_us("timestamp") % 1000000 // 1000)::VARCHAR, 3, '0') || ' ' || upper(level) || ' ' || message"""
+INGESTED = with_logs(f"""SELECT {LINES_SQL} AS line, level, (epoch_us("timestamp") // 1000) AS ts_ms, 'files' AS service FROM logs""")
+
+
+def _ingested(spark, d, run):
+    """The stored records of the log lines, written to files and ingested from there."""
+    from timberline.staging import folder
+    from timberline.streaming import ingest
+
+    path = folder(spark, "lines")
+    stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss,SSS")
+    logs_from_events(spark, d).select(F.concat_ws(" ", stamp, F.upper("level"), "message").alias("value")).write.text(f"{path}/in")
+    config = ingest.Config(f"{path}/store", f"{path}/dead", f"{path}/checkpoint", "files")
+    run(ingest, f"{path}/in", config)
+    return store.current(spark, config.store).select(F.col("message").alias("line"), "level", search.ms().alias("ts_ms"), "service")
+
+
+@query("ingest_stream", INGESTED)
+def ingest_stream(spark, d):
+    """Files to the store as a stream: framed, identified, parsed, validated, appended."""
+    return _ingested(spark, d, lambda ingest, path, config: ingest.start(spark, path, config).awaitTermination())
+
+
+@query("ingest_blocks", INGESTED)
+def ingest_blocks(spark, d):
+    """Files to the store in one batch, split into blocks; twice, as after a failure."""
+
+    def run(ingest, path, config):
+        for _ in range(2):
+            ingest.load(spark, path, config)
+
+    return _ingested(spark, d, run)
