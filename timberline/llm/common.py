@@ -117,12 +117,31 @@ _CACHES: dict = {}
 
 def sole_cache(name: str, clear) -> None:
     """Keep one operator's tables in a worker: those of others, which ran there before, are cleared."""
-    for other, forget in _CACHES.items():
-        if other != name:
-            forget()
+    if name in _CACHES:
+        return
+    for forget in _CACHES.values():
+        forget()
+    if _CACHES:
+        _CACHES.clear()
+        trim()
     _CACHES[name] = clear
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker's next operator has its own peak."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 #: Pre-tokenizers and normalizers under which a text's ids are those of its chunks between ASCII white space.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BY_WORDS = {
@@ -279,7 +298,7 @@ def batches_by_size(texts: list[str | None], limit: int = 4_000_000):
         yield start, len(texts)
 
 
-def slices_by_size(texts, limit: int = 12_000_000):
+def slices_by_size(texts, limit: int = 6_000_000):
     """Slices (start, end) of an Arrow array of strings that have together about ``limit`` bytes."""
     import pyarrow.compute as pc
 

@@ -26,7 +26,7 @@ SCALE = 20
 BLOCK_TOKENS = 1 << 18
 LANES = 2048
 #: Encoded chunks that each of a worker's two tables keeps, beside the sort that feeds it.
-CHUNKS = 400_000
+CHUNKS = 250_000
 #: Lower bound of a state between two steps; states stay under 2 ** 63.
 LOW = 1 << 31
 
