@@ -22,7 +22,7 @@ END_ID = 1
 #: Items that one task packs.
 SHARD = 60_000
 #: Encoded chunks that each of a worker's two tables keeps.
-CHUNKS = 350_000
+CHUNKS = 250_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
