@@ -126,6 +126,38 @@ def test_ngram_join_matches_brute_force(spark):
     assert linked(df) == brute_components(rows)
 
 
+def test_ngram_join_hands_python_little_text_at_once(spark, monkeypatch):
+    from timberline.llm.common import small_batches
+
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, write = spark.conf.get(name), ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, *a: (seen.append(spark.conf.get(name)), write(df, *a))[1])
+    rows = [(k, words(k // 2, 30) + " end" * (k % 2)) for k in range(12)]
+    assert linked(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+    assert set(seen) == {f"{4 << 20}b"} and spark.conf.get(name) == before
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(b)])], names=["n"])
+
+    with small_batches(spark):
+        got = spark.range(0, 10, 1, 1).selectExpr("repeat('x', 1000000) AS text").mapInArrow(sizes, "n long").collect()
+    assert sum(r.n for r in got) == 10 and max(r.n for r in got) <= 5
+
+
+def test_signatures_of_equal_texts_come_once_from_a_task(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 1)
+    try:
+        df = spark.createDataFrame([(k, words(3, 20)) for k in range(5)], "doc_id long, text string").coalesce(1)
+        assert ngram_join.signatures(df, np.zeros(0, np.uint64)).count() == 1
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_links_over_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 5)
     monkeypatch.setattr(ngram_join, "SLICE", 16)

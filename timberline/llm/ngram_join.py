@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timberline.llm.common import batches_by_size, release, remove, scratch, small_side, sole_cache, written
+from timberline.llm.common import batches_by_size, release, remove, scratch, small_batches, small_side, sole_cache, written
 
 WORDS = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -36,6 +36,8 @@ LOCAL = 2
 COUNTED = np.uint64(int(0.32 * 2**64))
 #: Hashes that a task holds to count them together.
 COUNT_HELD = 6_000_000
+#: Keys of sets that a task remembers so as to give equal ones once.
+KEYS_HELD = 500_000
 #: Frequent shingles that are told apart at most; more only lose their place at the order's end.
 MOST_HEAVY = 2_000_000
 #: Bits of a small set's bitmap.
@@ -164,14 +166,18 @@ def sets(docs: DataFrame) -> DataFrame:
         held, size, seen = [], 0, set()
 
         def often():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            keep = counts >= LOCAL
-            values, counts = values[keep].astype(np.int64), counts[keep]
+            found = np.concatenate(held)
+            held.clear()
+            found.sort()
+            start = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+            counts = np.diff(np.append(start, len(found)))
+            start, counts = start[counts >= LOCAL], counts[counts >= LOCAL]
+            values = found[start].view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(values)], names=names)
 
         for batch in batches:
             ids, data = batch.column(0), batch.column(1).to_pylist()
-            for a, b in batches_by_size(data, 8_000_000):
+            for a, b in batches_by_size(data, 2_000_000):
                 found = shingle_sets(data[a:b])
                 keys = [set_key(s) for s in found]
                 for k, s in zip(keys, found):
@@ -201,19 +207,22 @@ def frequent(rows: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """set_key, n, band, bitmap and the first shingles in the global order of every set that a batch holds."""
+    """set_key, n, band, bitmap and the first shingles in the global order of every set, mostly once for each task that meets it."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches):
         import pyarrow as pa
 
-        late = shared.value
+        late, met = shared.value, set()
         for batch in batches:
             data = batch.column(1).to_pylist()
-            for a, b in batches_by_size(data, 4_000_000):
+            for a, b in batches_by_size(data, 2_000_000):
                 seen = {}
+                if len(met) > KEYS_HELD:
+                    met.clear()
                 for s in shingle_sets(data[a:b]):
-                    if len(s) and (key := set_key(s)) not in seen:
+                    if len(s) and (key := set_key(s)) not in met:
+                        met.add(key)
                         n = len(s)
                         first = n - -(-PERCENT * n // 100) + 1
                         if len(late):
@@ -344,7 +353,7 @@ def arrays(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
         for batch in batches:
             data = batch.column(1).to_pylist()
-            for a, b in batches_by_size(data, 4_000_000):
+            for a, b in batches_by_size(data, 2_000_000):
                 found = [s for s in shingle_sets(data[a:b]) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["set_key", "items"])
 
@@ -498,7 +507,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Of the tables that are written on the way only these two stay.
     """
-    with scratch(docs.sparkSession) as keep:
+    with scratch(docs.sparkSession) as keep, small_batches(docs.sparkSession):
         rows, labels = _similar(docs.select("doc_id", "text"))
         keep(rows, labels)
     return rows, labels
@@ -628,7 +637,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     rows, labels = similar(docs)
-    with scratch(docs.sparkSession) as keep:
+    with scratch(docs.sparkSession) as keep, small_batches(docs.sparkSession):
         nodes = rows.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         links = link_counts(docs, nodes, labels)
         keep(links)
