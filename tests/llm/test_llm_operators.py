@@ -627,6 +627,22 @@ def test_flac_round_trips():
             flac.decode_many([bytes(bad)])
 
 
+def test_flac_codes_with_long_runs_of_zeros():
+    r = np.random.default_rng(3)
+    payloads = []
+    for n in (192, 4096, 9600):
+        x = np.full(n, 128, np.uint8)
+        x[r.integers(0, n, n // 60)] = r.choice([1, 120, 135, 255], n // 60)
+        payloads.append(x.tobytes())
+    # in one buffer: codes that begin at every bit of a byte, with runs beyond one and several 32-bit windows
+    assert flac.decode_many([flac.encode(x) for x in payloads]) == payloads
+    bits = "1" + "0" * 7 + "1" + "0" * 31 + "1" + "0" * 32 + "1" + "0" * 100 + "1"
+    data = np.packbits(np.array([*map(int, bits.ljust(-(-len(bits) // 8) * 8, "0")), *[0] * 64], np.uint8)).astype(np.uint32)
+    windows = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+    got = flac._zeros(windows, np.arange(len(bits), dtype=np.uint32))
+    assert got.tolist() == [bits.index("1", i) - i for i in range(len(bits))]
+
+
 def test_flac_checksums_against_bitwise_definitions():
     def crc(data, poly, width):
         c, top, mask = 0, 1 << (width - 1), (1 << width) - 1
