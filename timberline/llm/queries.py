@@ -82,6 +82,24 @@ def op9_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import simhash
+
+    return simhash.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import periodic_runs
+
+    return periodic_runs.find(table(spark, sf_dir, "documents"), periodic_runs.with_repetition)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timberline.llm import spelling
+
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_rule_ensemble_quality": op2_rule_ensemble_quality,
@@ -93,6 +111,9 @@ QUERIES = {
     "op6_weak_supervision_pii": op6_weak_supervision_pii,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_token_rans": op9_token_rans,
+    "op11_simhash_fingerprints": op11_simhash_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
