@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timberline.operators import storeindex
+
 
 def last_write(writes: DataFrame, keys: list[str] = ["id"], order: str = "indexed_at") -> DataFrame:  # noqa: B006
     """One row per key, the one written last; partial results are combined before the shuffle."""
@@ -28,11 +30,39 @@ def create(spark: SparkSession, path: str) -> None:
         empty.write.partitionBy("event_date", "batch").parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def rows_of(spark: SparkSession, path: str, parts: list[str]) -> DataFrame:
+    """Rows of some folders or files of a store, with event_date and batch."""
     from timberline.sources.tables import LOG_SCHEMA
 
-    fields = [*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType())]
-    return spark.read.schema(T.StructType([*fields, T.StructField("batch", T.StringType())])).parquet(path).select(*(f.name for f in fields))
+    fields = [*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType())]
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(*parts)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return rows_of(spark, path, [path]).drop("batch")
+
+
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of a folder's partitions; none if there is no such folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [n[len(prefix) :] for n in (x.getPath().getName() for x in fs.listStatus(p)) if n.startswith(prefix)]
+
+
+def day_folders(spark: SparkSession, path: str) -> list[str]:
+    """Days of a store, the latest first; records without a time come last."""
+    return sorted(_names(spark, path, "event_date="), key=lambda x: (not x.startswith("__"), x), reverse=True)
+
+
+def batch_folders(spark: SparkSession, path: str, day: str) -> list[str]:
+    return _names(spark, f"{path}/event_date={day}", "batch=")
+
+
+def files_of(spark: SparkSession, path: str, days: list[str]) -> list[str]:
+    """The files of some days, as Spark lists them."""
+    return rows_of(spark, path, [f"{path}/event_date={x}" for x in days]).inputFiles() if days else []
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +74,8 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return last_write(read(spark, path))
 
 
-def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str) -> None:
-    """Add a batch of stored entries as files of its own in every day that it touches.
+def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str, indexed: bool = True) -> None:
+    """Add a batch of stored entries as files of its own in every day that it touches, and their entries in the index.
 
     Nothing of what is there is read or rewritten, but for the same batch's
     files: a batch that is written again after a failure replaces itself.
@@ -53,6 +83,8 @@ def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str)
     # tasks of even size, each with few days: a large day is split, small ones share a task
     rows = last_write(entries).withColumn("batch", F.lit(str(batch))).hint("rebalance", "event_date")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(path)
+    if indexed:
+        storeindex.add(spark, path, str(batch))
 
 
 def compact(spark: SparkSession, path: str, day) -> int:
@@ -69,15 +101,19 @@ def compact(spark: SparkSession, path: str, day) -> int:
         schema = T.StructType([f for f in read(spark, path).schema.fields if f.name != "event_date"])
         rows = last_write(spark.read.schema(schema).option("basePath", str(fs_path)).parquet(*(str(x) for x in old)))
         rows.hint("rebalance").write.parquet(f"{fs_path}/batch={name}")
+        storeindex.add(spark, path, name, str(day))
         for x in old:
             fs.delete(x, True)
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{storeindex.location(path)}/event_date={day}/{x.getName()}"), True)
     return len(old)
 
 
 def upsert(spark: SparkSession, path: str, entries: DataFrame, batch: int | str) -> int:
     """Append a batch and merge the days that it touches; returns how many days those are."""
     append(spark, path, entries, batch)
-    days = [r.event_date for r in entries.select("event_date").distinct().collect()]
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date=*/batch={batch}")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    days = [x.getPath().getParent().getName().partition("=")[2] for x in found or ()]
     for day in days:
         compact(spark, path, day)
     return len(days)

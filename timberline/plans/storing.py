@@ -179,25 +179,56 @@ def store_current(spark, d):
     return store.current(spark, _stored(spark, d)).select("id", "level", "service", search.ms().alias("ts_ms"), "message", "offset")
 
 
+def _page(spark, path, q, *names):
+    """A page of a store, as its search gives it."""
+    from timberline.operators.storesearch import StoreSearch
+
+    schema = store.read(spark, path).select("id", search.ms().alias("ts_ms"), *names).schema
+    return spark.createDataFrame([(r.id, r["_ms"], *(r[n] for n in names)) for r in StoreSearch(spark, path).rows(q)], schema)
+
+
 @query("store_search", with_logs(f"""SELECT l.id, (epoch_us(l."timestamp") // 1000) AS ts_ms FROM logs l JOIN kept k USING (id) WHERE k.level = 'fatal' AND l.service = 'svc-1' AND {RANGE} {ORDER} LIMIT 50""", STORE))
 def store_search(spark, d):
     """A page of a written store, days outside of the range pruned."""
     q = search.Query(service="svc-1", level="fatal", start=_time("2024-01-05T00:00:00"), end=_time("2024-01-20T12:00:00"), limit=50)
-    return search.stored_page(spark, _stored(spark, d), q).select("id", search.ms().alias("ts_ms"))
-
-
-@query("store_cursor_walk", with_logs(f"""SELECT id, ((row_number() OVER ({ORDER}) - 1) // 500)::BIGINT AS page FROM logs WHERE service = 'svc-2' AND event_type = 'signup' AND "offset" % 3 = 0""", WRITES))
-def store_cursor_walk(spark, d):
-    """Page after page of a written store by its cursors."""
-    path, after, pages, number = _stored(spark, d), None, [], 0
-    logs = store.current(spark, path).where("message LIKE 'signup%' AND offset % 3 = 0")
-    while True:
-        rows, after = search.fetch(logs, search.Query(service="svc-2", limit=500, after=after))
-        pages += [(r["id"], number) for r in rows]
-        number += 1
-        if after is None:
-            break
-    return spark.createDataFrame(pages, "id string, page long")
+    return _page(spark, _stored(spark, d), q)
+
+
+@query("store_search_replaced", with_logs(f"""SELECT l.id, (epoch_us(l."timestamp") // 1000) AS ts_ms, k.level FROM logs l JOIN kept k USING (id) WHERE k.level = 'info' {ORDER} LIMIT 1000""", STORE))
+def store_search_replaced(spark, d):
+    """A page of a written store for a level that many of its rows had before they were written again."""
+    return _page(spark, _stored(spark, d), search.Query(level="info", limit=1000), "level")
+
+
+@query("store_search_text", with_logs(f"""SELECT l.id, (epoch_us(l."timestamp") // 1000) AS ts_ms, l.message FROM logs l WHERE list_has_all(regexp_extract_all(lower(l.message), '[a-z0-9_]+'), ['signup', '7']) {ORDER} LIMIT 1000""", STORE))
+def store_search_text(spark, d):
+    """A page of a written store for terms; the index names the files that may hold them."""
+    return _page(spark, _stored(spark, d), search.Query(text="SIGNUP 7", limit=1000), "message")
+
+
+@query("store_walk", with_logs(f"""SELECT l.id, ((row_number() OVER ({ORDER.replace('"timestamp"', 'l."timestamp"').replace(' id ', ' l.id ')}) - 1) // 500)::BIGINT AS page FROM logs l JOIN kept k USING (id) WHERE l.service = 'svc-2'""", STORE))
+def store_walk(spark, d):
+    """All pages of a service in a written store."""
+    return search.numbered(store.current(spark, _stored(spark, d)).where("service = 'svc-2'"), 500).select("id", "page")
+
+
+UNSEEN = """batch AS (SELECT * FROM logs WHERE "offset" % 5 <> 1), there AS (SELECT * FROM logs WHERE "offset" % 3 <> 0)"""
+
+
+@query("store_unseen", with_logs("""SELECT id, "offset", level FROM batch WHERE id NOT IN (SELECT id FROM there)""", UNSEEN))
+def store_unseen(spark, d):
+    """The records of a batch that no earlier batch of the store holds, whatever their day."""
+    from timberline.operators import storeindex
+    from timberline.sources.tables import LOG_SCHEMA
+    from timberline.staging import folder, written
+
+    path = folder(spark, "store")
+    store.create(spark, path)
+    rows = logs_from_events(spark, d).select(*LOG_SCHEMA.names, F.to_date("timestamp").alias("event_date"))
+    for i in (1, 2):
+        store.append(spark, path, rows.where(F.col("offset") % 3 == i), i)
+    batch = written(rows.where(F.col("offset") % 5 != 1), "batch")
+    return storeindex.unseen(spark, path, batch)[0].select("id", "offset", "level")
 
 
 @query("count_by_source", with_logs("SELECT source, count(*) AS n FROM logs GROUP BY source"))

@@ -105,6 +105,7 @@ def indexer(s: Settings) -> int:
 
 def queryapi(s: Settings) -> int:
     from timberline.operators import store
+    from timberline.operators.storesearch import StoreSearch
     from timberline.service.api import LogApi, serve
     from timberline.service.keys import KeyMap
     from timberline.service.limiter import Limiters
@@ -113,7 +114,7 @@ def queryapi(s: Settings) -> int:
     s.check()
     spark = session("queryapi")
     store.create(spark, path)
-    return serving(serve(LogApi(lambda: store.current(spark, path), KeyMap.parse(keys), Limiters(rate, burst), ttl=ttl), s.text("ADDRESS", "127.0.0.1"), port))
+    return serving(serve(LogApi(StoreSearch(spark, path), KeyMap.parse(keys), Limiters(rate, burst), ttl=ttl), s.text("ADDRESS", "127.0.0.1"), port))
 
 
 def tail(s: Settings) -> int:

@@ -22,7 +22,7 @@ class QueryTimeout(RuntimeError):
 
 
 class LogApi:
-    """Answers requests: checks the key first, then the limit, then searches."""
+    """Answers requests: checks the key first, then the limit, then searches ``logs``: a table, a function that gives one, or a ``StoreSearch``."""
 
     def __init__(self, logs, keys: KeyMap, limits: Limiters | None = None, hub: Hub | None = None, ttl: float = 5.0, timeout: float = 10.0, collector=None):
         self.collector = collector
@@ -41,7 +41,7 @@ class LogApi:
         began = time.monotonic()
         spark.addTag(tag)
         try:
-            rows, after = search.fetch(logs, query)
+            rows, after = logs.fetch(query) if hasattr(logs, "fetch") else search.fetch(logs, query)
         except Exception as e:
             if time.monotonic() - began >= self.timeout:
                 raise QueryTimeout from e
