@@ -78,7 +78,8 @@ def entries_of(rows: DataFrame) -> DataFrame:
         part, held = TaskContext.get().partitionId(), None
 
         def out(held):
-            file, date, batch, n, last, ids, words = held
+            path, date, batch, n, last, ids, words = held
+            file = path.rsplit("/", 1)[1]
             for kind, hashes in (("id", ids), ("term", words)):
                 width, blocks = filter_blocks(np.concatenate(hashes) if hashes else np.zeros(0, np.int64), BITS[kind])
                 yield pa.RecordBatch.from_pylist(
@@ -97,12 +98,12 @@ def entries_of(rows: DataFrame) -> DataFrame:
             codes = files.indices.to_numpy()
             cuts = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), b.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
-                file = files.dictionary[int(codes[lo])].as_py()
-                if held is not None and held[0] != file:
+                path = files.dictionary[int(codes[lo])].as_py()  # days and batches may have files of one name
+                if held is not None and held[0] != path:
                     yield from out(held)
                     held = None
                 if held is None:
-                    held = [file, b.column(1)[lo].as_py(), b.column(2)[lo].as_py(), 0, None, [], []]
+                    held = [path, b.column(1)[lo].as_py(), b.column(2)[lo].as_py(), 0, None, [], []]
                 last = b.column(3)[lo:hi]
                 held[3] += hi - lo
                 held[4] = max((x for x in (held[4], max((y for y in last.to_pylist() if y is not None), default=None)) if x is not None), default=None)
@@ -112,7 +113,7 @@ def entries_of(rows: DataFrame) -> DataFrame:
             yield from out(held)
 
     hashed = rows.select(
-        F.col("_metadata.file_name").alias("file"), "event_date", "batch", "indexed_at", F.xxhash64("id").alias("id"),
+        F.col("_metadata.file_path").alias("file"), "event_date", "batch", "indexed_at", F.xxhash64("id").alias("id"),
         F.transform(F.coalesce(terms(F.col("message")), F.array().cast("array<string>")), lambda x: F.xxhash64(x)).alias("words"),
     )
     return hashed.mapInArrow(run, T.StructType([*ENTRIES.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType())]))
