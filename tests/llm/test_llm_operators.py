@@ -14,7 +14,7 @@ from timberline.llm import exact_dedup, flac, html_extract, mixing, ngram_join,
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that clash with names that operators use.
-CLASH = ["score", "predicted", "held_out", "sha", "keep", "rows", "kept", "ids", "start", "length", "shard", "key", "part", "cut", "whole", "set_key", "n", "band", "media", "label", "__stat_log_chars", "__stat_row", "__mix_l", "__mix_m_whole", "__mix_domain", "_t", "listed", "lead"]
+CLASH = ["score", "predicted", "held_out", "sha", "keep", "rows", "kept", "ids", "start", "length", "shard", "key", "part", "cut", "whole", "set_key", "n", "band", "media", "label", "__stat_log_chars", "__stat_row", "__mix_l", "__mix_m_whole", "__mix_domain", "_t", "listed", "lead", "__dedup_file", "__dedup_row", "file", "row", "_text", "bytes", "keep_id", "comp", "component_id", "__dropped_id", "rep", "items", "kind", "name", "domain", "capacity", "piece", "sequence_id", "offset", "fingerprint", "word", "form", "root", "n_runs", "period"]
 WORDS = [f"w{i}" for i in range(400)]
 
 
@@ -835,3 +835,83 @@ def test_deep_and_broken_markup_takes_linear_time(page):
     began = time.process_time()
     html_extract.main_text(page)
     assert time.process_time() - began < 4
+
+
+def test_noisy_or_fit_against_one_document_at_a_time(spark):
+    """The fit's likelihood is the one written out document by document, and no small change of a weight raises it."""
+    rng = np.random.default_rng(2)
+    vocabulary = ["good", "fine", "vile", "foul", "rude"]
+    docs, index = [], {w: i for i, w in enumerate(vocabulary)}
+    for i in range(120):
+        bad = i % 3 == 0
+        pool = vocabulary if bad else vocabulary[:2] + ["rude"] * (i % 7 == 0)
+        docs.append((i, int(bad), ". ".join(" ".join(rng.choice(pool, 3)) + " x" for _ in range(1 + i % 4))))
+    sample = spark.createDataFrame(docs, "doc_id long, label int, text string")
+    y, doc, sizes, cols = toxicity.bags(sample, index)
+    assert y.tolist() == [d[1] for d in docs]
+    patterns = [sorted({tuple(sorted({index[w] for w in s.split() if w in index})) for s in t.split(".")} - {()}) for _, _, t in docs]
+    ends = np.cumsum(sizes)
+    assert [(int(d), tuple(cols[e - s : e])) for d, s, e in zip(doc, sizes, ends)] == [(i, p) for i, ps in enumerate(patterns) for p in ps]
+
+    def loss(w, b):
+        total = 0.0
+        for (_, label, _), ps in zip(docs, patterns):
+            nothing = 1 - 1 / (1 + np.exp(-b))
+            for p in ps:
+                nothing *= 1 - 1 / (1 + np.exp(-min(max(b + sum(w[f] for f in p), -30), 30)))
+            q = toxicity.NOISE + (1 - 2 * toxicity.NOISE) * (1 - nothing)
+            total -= np.log(q if label else 1 - q)
+        return total / len(docs)
+
+    w, b = toxicity.fit(y, doc, sizes, cols, len(vocabulary))
+    penalty = lambda x: 100 * toxicity.PENALTY * x.sum()
+    at = loss(w, b)
+    assert at < loss(np.full(5, toxicity.START), toxicity.FLOOR) - 0.3 and min(w[2], w[3]) > 5 > max(w[0], w[1])
+    for f in range(5):
+        for step in (-0.5, 0.5):
+            other = w.copy()
+            other[f] = max(0, other[f] + step)
+            assert loss(other, b) + penalty(other) > at + penalty(w) - 0.02
+
+
+def test_a_long_labelled_document_trains_with_all_its_patterns(spark):
+    words_ = [f"t{i}" for i in range(1500)]
+    sample = spark.createDataFrame([(1, 1, ". ".join(words_)), (2, 0, "nothing"), (3, 0, None)], "doc_id long, label int, text string")
+    y, doc, sizes, cols = toxicity.bags(sample, {w: i for i, w in enumerate(words_)})
+    assert y.tolist() == [1, 0, 0] and len(sizes) == 1500 and set(doc.tolist()) == {0} and sorted(cols.tolist()) == list(range(1500))
+
+
+def test_operators_run_at_the_same_time(spark, awkward):
+    """Three calls of the join in one session, in threads of their own, end with the same rows as one alone, and leave nothing behind."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    rows = lambda: sorted(map(repr, map(tuple, ngram_join.linked_documents(awkward).collect())))
+    want = rows()
+    with ThreadPoolExecutor(3) as pool:
+        assert [f.result() for f in [pool.submit(rows) for _ in range(3)]] == [want] * 3
+
+
+def test_scratch_deletes_its_tables_if_it_fails(spark, awkward):
+    import os
+
+    from timberline.llm import common
+
+    made = []
+    with pytest.raises(RuntimeError), common.scratch(spark) as keep:
+        made.append(common.written(awkward, "lost"))
+        keep(made[0])
+        raise RuntimeError
+    with common.scratch(spark) as keep:
+        made += [common.written(awkward, "kept"), common.written(awkward, "gone")]
+        keep(made[1])
+    there = [os.path.exists(x.inputFiles()[0].removeprefix("file://")) if x.inputFiles() else False for x in made]
+    assert there == [False, True, False]
+
+
+def test_exact_dedup_keeps_columns_of_any_name(spark):
+    """Columns that are named like the operator's own, or like the locator of files, come back as they were."""
+    names = ["__dedup_file", "__dedup_row", "___dedup_file", "_metadata", "file", "row", "keep"]
+    rows = [(i, f"text {i % 3}", *(f"{n}{i}" for n in names)) for i in range(9)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    got = exact_dedup.distinct_texts(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == sorted(rows[6:])

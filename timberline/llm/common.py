@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from array import array
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +32,20 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     """Write ``df`` as Parquet in the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    for made in _MADE:
+    for made in _MADE.get():
         made.append(path)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Paths written within each of the blocks of ``scratch`` that are open.
-_MADE: list[list[str]] = []
+#: Paths written within each of the blocks of ``scratch`` that are open where this runs; jobs of other threads have their own.
+_MADE: ContextVar[tuple[list[str], ...]] = ContextVar("made", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """A block at whose end its written tables are deleted, but for those that frames given to the yielded function read."""
+    """A block at whose end its written tables are deleted, but for those that frames given to the yielded function read; all of them if it raises."""
     made: list[str] = []
     kept: set[str] = set()
 
@@ -52,14 +53,17 @@ def scratch(spark: SparkSession):
         for df in frames:
             kept.update(x.rsplit("/", 2)[-2] for x in df.inputFiles())
 
-    _MADE.append(made)
+    token = _MADE.set((*_MADE.get(), made))
     try:
         yield keep
+    except BaseException:
+        kept.clear()
+        raise
     finally:
-        _MADE[:] = [x for x in _MADE if x is not made]
-    for path in made:
-        if path.rsplit("/", 1)[1] not in kept:
-            remove(spark, path)
+        _MADE.reset(token)
+        for path in made:
+            if path.rsplit("/", 1)[1] not in kept:
+                remove(spark, path)
 
 
 #: Rows of a few short columns that are broadcast at most.

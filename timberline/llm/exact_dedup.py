@@ -39,20 +39,28 @@ def normalised(text: Column) -> Column:
     return F.when(only_ascii, F.lower(t)).otherwise(F.translate(t, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the locator of every row, __dedup_file and __dedup_row; a table without files is written first."""
+def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the locator of every row, in two columns whose names come along; a table without files is written first."""
+    prefix = "__dedup_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    names = f"{prefix}file", f"{prefix}row"
+
+    def add(df: DataFrame) -> DataFrame:
+        own = df.metadataColumn("_metadata")
+        return df.withColumns({names[0]: own["file_path"], names[1]: own["row_index"]})
+
     try:
-        return docs.withColumns({"__dedup_file": F.col("_metadata.file_path"), "__dedup_row": F.col("_metadata.row_index")})
+        return add(docs), *names
     except AnalysisException:
-        kept = written(docs, "located")
-        return kept.withColumns({"__dedup_file": F.col("_metadata.file_path"), "__dedup_row": F.col("_metadata.row_index")})
+        return add(written(docs, "located")), *names
 
 
 def digest_table(rows: DataFrame) -> DataFrame:
-    """Digest, size, identifier and locator of every row, in the shared folder."""
+    """Digest, size, identifier and locator of every row (doc_id, text, __dedup_file, __dedup_row), in the shared folder."""
     text = normalised(F.col("text"))
     return written(
-        rows.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"), "__dedup_file", "__dedup_row")
+        rows.select("doc_id", text.alias("_text"), "__dedup_file", "__dedup_row")
         .select("doc_id", F.sha2("_text", 256).alias("sha"), F.octet_length("_text").cast("long").alias("bytes"), "__dedup_file", "__dedup_row"),
         "digests",
     )
@@ -108,8 +116,8 @@ def differing(rows: DataFrame, hits: DataFrame, groups: DataFrame) -> int:
     return own.join(kept, ["sha", "salt"]).where(F.col("_text") != F.col("_kept")).count()
 
 
-def assigned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Located rows of ``docs``, and for each: doc_id, __dedup_file, __dedup_row, keep_id, group_size, kept, text_sha256.
+def assigned(docs: DataFrame) -> tuple[DataFrame, DataFrame, str, str]:
+    """Located rows of ``docs``, for each: doc_id, __dedup_file, __dedup_row, keep_id, group_size, kept, text_sha256, and the names of the located rows' file and row.
 
     Of equal texts (A-Z lower-cased; null counts as empty) the row with the
     largest doc_id stays, and of rows that share that id the one whose locator
@@ -118,24 +126,25 @@ def assigned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     empty results.
     """
     spark = docs.sparkSession
-    rows = located(docs.drop("__dedup_file", "__dedup_row"))
+    located_, file, row = located(docs)
+    rows = located_.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.col(file).alias("__dedup_file"), F.col(row).alias("__dedup_row"))
     table = digest_table(rows)
     path = table.inputFiles()
     state = written(stream_state(spark, _folder(path), table.schema), "dedup-groups") if path else None
     if state is None:
         empty = table.select("doc_id", "__dedup_file", "__dedup_row", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
-        return rows, empty
+        return located_, empty, file, row
     groups = state.where("rows > 1")
     joined = table.join(state, ["sha", "bytes"])
     here = (F.col("__dedup_file") == F.col("keep.__dedup_file")) & (F.col("__dedup_row") == F.col("keep.__dedup_row"))
     hits = table.join(groups, ["sha", "bytes"]).where(~here)
     if differing(rows, hits, groups):
-        full = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__dedup_file", "__dedup_row", normalised(F.col("text")).alias("_text"))
+        full = rows.select("doc_id", "__dedup_file", "__dedup_row", normalised(F.col("text")).alias("_text"))
         own = full.groupBy("_text").agg(F.max(F.struct("doc_id", "__dedup_file", "__dedup_row")).alias("keep"), F.count(F.lit(1)).alias("rows"))
         joined = full.join(own, "_text").withColumn("sha", F.sha2("_text", 256))
-    return rows, joined.select(
+    return located_, joined.select(
         "doc_id", "__dedup_file", "__dedup_row", F.col("keep.doc_id").alias("keep_id"), F.col("rows").alias("group_size"), here.alias("kept"), F.col("sha").alias("text_sha256")
-    )
+    ), file, row
 
 
 def _folder(files: list[str]) -> str:
@@ -148,9 +157,10 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    rows, out = assigned(docs)
-    return rows.join(out.where("kept").select("__dedup_file", "__dedup_row"), ["__dedup_file", "__dedup_row"], "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns, whatever their names are."""
+    rows, out, file, row = assigned(docs)
+    stay = out.where("kept").select(F.col("__dedup_file").alias(file), F.col("__dedup_row").alias(row))
+    return rows.join(stay, [file, row], "left_semi").select(*docs.columns)
 
 
 ORACLE = """

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,8 +34,6 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 NOISE = 0.02
 #: Logit of the leak at most; a sentence's logit starts from it.
 FLOOR = -10.0
-#: Different sentences with telling words that a labelled document enters the training with at most, by a hash order.
-SENTENCES = 1_000
 PENALTY = 2e-4
 LIMIT = 0.5
 
@@ -92,8 +89,13 @@ def telling(sample: DataFrame, most: int) -> list[str]:
     return [r.feature for r in rows.select("feature").collect()]
 
 
-def bags(sample: DataFrame, index: dict[str, int]):
-    """Per document: label, and the telling features of each sentence that has any, ``SENTENCES`` different ones at most."""
+def bags(sample: DataFrame, index: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the sampled documents, and of all their different patterns (the telling features of a sentence that has any)
+    the document, the number of features, and the features, one pattern behind the other.
+
+    Sentences of one pattern count once in a document, so a document's share grows with
+    what it says and not with how often.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -113,23 +115,26 @@ def bags(sample: DataFrame, index: dict[str, int]):
                         ids.update(known[w])
                     if ids:
                         found.add(tuple(sorted(ids)))
-                out.append({"doc_id": doc, "label": y, "found": sorted(found, key=lambda x: (zlib.crc32(repr(x).encode()), x))[:SENTENCES]})
+                out.append({"doc_id": doc, "label": y, "found": sorted(found)})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     import pyarrow as pa
 
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("found", pa.list_(pa.list_(pa.int32())))])
-    return sample.mapInArrow(run, "doc_id long, label int, found array<array<int>>").toArrow().sort_by([("doc_id", "ascending")]).to_pylist()
-
-
-def fit(rows: list[dict], k: int, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Feature weights (none below 0) and bias that fit the noisy-or of the sentences to the labels."""
-    y = np.array([r["label"] > 0 for r in rows], float)
-    sent_doc = np.array([i for i, r in enumerate(rows) for _ in r["found"]], np.int64)
-    sizes = [len(s) for r in rows for s in r["found"]]
-    cols = np.array([f for r in rows for s in r["found"] for f in s], np.int64)
+    rows = sample.mapInArrow(run, "doc_id long, label int, found array<array<int>>").toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
+    found = rows["found"].combine_chunks()
+    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+    patterns = found.flatten()
+    numbers = lambda x: x.to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(len(found)), numbers(found.value_lengths()))
+    return numbers(rows["label"].combine_chunks() if rows.num_rows else pa.array([], pa.int32())), doc, numbers(patterns.value_lengths()), numbers(patterns.flatten())
+
+
+def fit(labels: np.ndarray, sent_doc: np.ndarray, sizes: np.ndarray, cols: np.ndarray, k: int, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Feature weights (none below 0) and bias that fit the noisy-or of the documents' patterns (see ``bags``) to the labels."""
+    y = (labels > 0).astype(float)
     sent = np.repeat(np.arange(len(sizes)), sizes)
-    n, m = len(rows), len(sizes)
+    n, m = len(y), len(sizes)
     w, b = np.full(k, START), FLOOR
     mw, vw, mb, vb = np.zeros(k), np.zeros(k), 0.0, 0.0
     for step in range(1, steps + 1):
@@ -160,8 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     names = telling(sample, FEATURES)
     if not names:
         return {}, FLOOR
-    rows = bags(sample, {f: i for i, f in enumerate(names)})
-    w, b = fit(rows, len(names))
+    w, b = fit(*bags(sample, {f: i for i, f in enumerate(names)}), len(names))
     return {f: float(x) for f, x in zip(names, w) if x > 1e-3}, float(b)
 
 
