@@ -11,7 +11,7 @@ from timberline.service.cache import CachedSearch
 from timberline.service.cursor import cache_key, decode_cursor, encode_cursor, fingerprint
 from timberline.service.keys import KeyMap
 from timberline.service.limiter import Limiters, TokenBucket
-from timberline.service.notify import AlertQueue, Webhook, backoff, render
+from timberline.service.notify import AlertQueue, Webhook, backoff, duration, render, rendered
 from timberline.sources.tables import logs_from_events
 from timberline.streaming.hub import Hub
 
@@ -112,6 +112,7 @@ def test_keys():
 def test_notifications():
     alert = {"service": "a<b", "kind": "firing", "errors": 21, "usual": 0.0, "samples": ["x `y`"]}
     assert "a&lt;b" in render(alert) and "'y'" in render(alert) and "21" in render(alert)
+    assert [duration(x) for x in (0, 20, 60, 90.4, 3600, 7265)] == ["0s", "20s", "1m0s", "1m30s", "1h0m0s", "2h1m5s"]
     answers, waits = [(429, "99"), (0, ""), (503, ""), (200, "")], []
 
     def send(_):
@@ -162,3 +163,12 @@ def test_http(spark, sf_dir):
         assert b"http_requests_total" in get("/metrics")[2]
     finally:
         server.shutdown()
+
+
+def test_texts_of_alerts_as_columns_and_one_by_one(spark):
+    rows = [("a<b", "firing", 21, 2.5, ["x & `y`", "z"]), ("b", "firing", 7, 3.5, []), ("c", "firing", 5, 0.2, None), ("d&", "resolved", 1, 4.0, ["gone"])]
+    df = spark.createDataFrame(rows, "service string, kind string, errors long, usual double, samples array<string>")
+    got = [r.text for r in rendered(df, 90).collect()]
+    assert got == [render(r.asDict(), 90) for r in df.collect()]
+    assert got[0] == ":rotating_light: *Error spike in `a&lt;b`*\n21 errors in the last 1m30s (usually about 2).\nMost recent:\n• `x &amp; 'y'`\n• `z`"
+    assert got[1].endswith("(usually about 4).") and got[3] == ":white_check_mark: *Errors back to normal in `d&amp;`* (1 in the last 1m30s)"

@@ -98,11 +98,11 @@ def parse_ts_any(spark, d):
 
 
 LINE = """CASE "offset" % 8
-  WHEN 0 THEN '081109 203615 148 ' || upper(level) || ' dfs.DataNode: ' || message
-  WHEN 1 THEN '[Sun Dec 04 04:47:44 2005] [' || level || '] ' || message
-  WHEN 2 THEN '2015-10-18 18:01:47,978 NOTICE [main] ' || message
-  WHEN 3 THEN 'a b c d e f g h this is an ERROR ' || message
-  WHEN 4 THEN 'Dec 10 06:55:46 LabSZ sshd[24200]: severe: ' || message
+  WHEN 0 THEN '240229 000001 7 ' || upper(level) || ' store: ' || message
+  WHEN 1 THEN '<' || level || '> pool-' || "offset" || ' ' || message
+  WHEN 2 THEN '2031-07-04 00:00:00,001 Notice tick ' || message
+  WHEN 3 THEN 'one two three four five six seven eight ERROR ' || message
+  WHEN 4 THEN 'one two three four five six seven severe: ' || message
   WHEN 5 THEN '(crit), ' || message
   WHEN 6 THEN 'x  y ' || chr(9) || ' emerg ' || message
   ELSE 'plain text without any' END"""

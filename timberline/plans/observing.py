@@ -71,8 +71,8 @@ def alert_samples(spark, d):
 @query(
     "slack_text",
     with_logs(
-        """SELECT w.service, w.bucket, format(':rotating_light: *{}*: {} errors in the window (usually {:.1f})', w.service, win, usual) || chr(10) || texts AS text
-        FROM w JOIN (SELECT service, string_agg('`' || replace(replace(replace(replace(message, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '`', chr(39)) || '`', chr(10) ORDER BY rank) AS texts FROM s GROUP BY service) USING (service)
+        """SELECT w.service, w.bucket, format(':rotating_light: *Error spike in `{}`*' || chr(10) || '{} errors in the last 6h0m0s (usually about {:.0f}).', w.service, win, usual) || chr(10) || 'Most recent:' || texts AS text
+        FROM w JOIN (SELECT service, string_agg(chr(10) || '• `' || replace(replace(replace(replace(message, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '`', chr(39)) || '`', '' ORDER BY rank) AS texts FROM s GROUP BY service) USING (service)
         WHERE win >= 5 AND win >= 1.5 * greatest(usual, 1)""",
         BUCKETS, WINDOWS.strip(),
         """s AS (SELECT * FROM (SELECT service, message, row_number() OVER (PARTITION BY service ORDER BY observed_at DESC, id DESC) AS rank FROM logs WHERE level IN ('error', 'fatal')) WHERE rank <= 3)""",
@@ -86,7 +86,7 @@ def slack_text(spark, d):
     spikes = alerts.windowed(alerts.error_buckets(logs, RULE), RULE).where(alerts.spiking(RULE))
     texts = alerts.samples(logs, RULE).groupBy("service").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "message"))), lambda x: x["message"]).alias("samples"))
     rows = spikes.join(texts, "service").select("service", "bucket", F.lit("firing").alias("kind"), F.col("win").alias("errors"), "usual", "samples")
-    return rendered(rows).select("service", "bucket", "text")
+    return rendered(rows, RULE.window * RULE.bucket / 1e6).select("service", "bucket", "text")
 
 
 @query("tail_filter", with_logs("""SELECT id, service, level, host FROM logs WHERE service IN ('svc-1', 'svc-2') AND level IN ('warn', 'error') AND contains(lower(message), 'user=1')"""))

@@ -142,7 +142,7 @@ def alerter(s: Settings) -> int:
     rule = Rule(parts("WINDOW", 60.0), parts("BASELINE", 900.0), s.integer("MIN_ERRORS", 20), s.number("RATIO", 5.0), parts("COOLDOWN", 300.0), round(bucket * 1e6), s.integer("SAMPLES", 3))
     url, checkpoint, grace = s.text("WEBHOOK", ""), s.text("CHECKPOINT"), s.seconds("GRACE", 30.0)
     spark = session("alerter")
-    alerts = AlertQueue(Webhook(url).notify) if url else None
+    alerts = AlertQueue(Webhook(url, window=rule.window * bucket).notify) if url else None
 
     def out(df, _: int) -> None:
         for row in df.collect():  # transitions are few

@@ -10,30 +10,50 @@ import time
 import urllib.error
 import urllib.request
 
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from timberline.functions.text import escape_chat
 
-def render(alert: dict) -> str:
-    """One message of an alert: service, kind, errors, usual, samples."""
-    esc = lambda x: str(x).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    if alert["kind"] == "resolved":
-        return f":white_check_mark: *{esc(alert['service'])}*: error rate is back to normal ({alert['errors']} in the window)"
-    lines = [f":rotating_light: *{esc(alert['service'])}*: {alert['errors']} errors in the window (usually {alert['usual']:.1f})"]
-    lines += [f"`{esc(s).replace('`', chr(39))}`" for s in alert.get("samples", ())]
-    return "\n".join(lines)
+
+def duration(seconds: float) -> str:
+    """A length of time in whole seconds, as texts of alerts give it: 20s, 1m30s, 2h0m5s."""
+    whole = round(seconds)
+    hours, minutes, rest = whole // 3600, whole // 60 % 60, whole % 60
+    return f"{hours}h{minutes}m{rest}s" if hours else f"{minutes}m{rest}s" if minutes else f"{rest}s"
+
+
+#: Fixed texts of an alert; their wording has to match.
+SPIKE = ":rotating_light: *Error spike in `%s`*\n%d errors in the last %s (usually about %d)."
+RECENT, SAMPLE_LINE = "\nMost recent:", "\n• `%s`"
+NORMAL = ":white_check_mark: *Errors back to normal in `%s`* (%d in the last %s)"
 
 
-def rendered(alerts: DataFrame) -> DataFrame:
-    """Adds text, the message of every alert (service, kind, errors, usual, samples); alerts are few."""
+def texts(window: float) -> Column:
+    """The message of every alert (service, kind, errors, usual, samples) over a window of so many seconds.
 
-    def run(batches):
-        import pyarrow as pa
+    What was usual is given as a whole number, halves as the even one.
+    """
+    service, length = escape_chat(F.col("service")), F.lit(duration(window))
+    lines = F.transform("samples", lambda x: F.format_string(SAMPLE_LINE, F.replace(escape_chat(x), F.lit("`"), F.lit("'"))))
+    recent = F.when(F.size("samples") > 0, F.concat(F.lit(RECENT), F.array_join(lines, ""))).otherwise(F.lit(""))
+    spike = F.format_string(SPIKE, service, F.col("errors"), length, F.bround("usual", 0).cast("bigint"))
+    return F.when(F.col("kind") == "resolved", F.format_string(NORMAL, service, F.col("errors"), length)).otherwise(F.concat(spike, recent))
 
-        for batch in batches:
-            yield batch.append_column("text", pa.array([render(x) for x in batch.to_pylist()], pa.string()))
 
-    return alerts.mapInArrow(run, T.StructType([*alerts.schema.fields, T.StructField("text", T.StringType())]))
+def rendered(alerts: DataFrame, window: float) -> DataFrame:
+    """Adds text, the message of every alert."""
+    return alerts.withColumn("text", texts(window))
+
+
+def render(alert: dict, window: float = 60.0) -> str:
+    """``texts`` for one alert on its way out."""
+    esc = lambda x: str(x).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    service, length = esc(alert["service"]), duration(window)
+    if alert["kind"] == "resolved":
+        return NORMAL % (service, alert["errors"], length)
+    samples = [SAMPLE_LINE % esc(x).replace("`", "'") for x in alert.get("samples") or ()]
+    return SPIKE % (service, alert["errors"], length, round(alert["usual"])) + (RECENT + "".join(samples) if samples else "")
 
 
 def backoff(attempt: int, base: float = 0.1, most: float = 30.0, rng=random.random) -> float:
@@ -42,7 +62,8 @@ def backoff(attempt: int, base: float = 0.1, most: float = 30.0, rng=random.rand
 
 
 class Webhook:
-    def __init__(self, url: str, attempts: int = 5, send=None, sleep=time.sleep):
+    def __init__(self, url: str, attempts: int = 5, send=None, sleep=time.sleep, window: float = 60.0):
+        self.window = window
         self.url, self.attempts, self.send, self.sleep = url, attempts, send or self._post, sleep
 
     def _post(self, body: bytes) -> tuple[int, str]:
@@ -54,7 +75,7 @@ class Webhook:
             return e.code, e.headers.get("Retry-After") or ""
 
     def notify(self, alert: dict) -> None:
-        body = json.dumps({"text": render(alert)}).encode()
+        body = json.dumps({"text": render(alert, self.window)}).encode()
         for attempt in range(self.attempts):
             try:
                 status, after = self.send(body)
