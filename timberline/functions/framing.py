@@ -62,14 +62,14 @@ def frame(df: DataFrame, key: str, content: str, max_line: int = MAX_LINE, raw:
     return df.select(key, F.col(content).cast("binary")).mapInArrow(run, f"{key} {kind}, offset long, n_bytes long, line {'binary' if raw else 'string'}")
 
 
-def frame_files(spark: SparkSession, path: str, max_line: int = MAX_LINE) -> DataFrame:
-    """source, offset and line of all files under ``path``, of any size: Spark splits them into blocks.
+def frame_files(spark: SparkSession, path: str | list[str], max_line: int = MAX_LINE) -> DataFrame:
+    """source, offset and line of all files under ``path``, a folder, a file or some of them, of any size: Spark splits them into blocks.
 
     A line's offset is the length of all lines before it: those of its block, which
     are read in order, and the sums of the blocks before. Lines are written once,
     so that offsets and lines are of one reading.
     """
-    rows = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path).select(
+    rows = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text([path] if isinstance(path, str) else path).select(
         F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at"),
         F.col("value").cast("binary").alias("data"),
     )

@@ -74,15 +74,18 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return last_write(read(spark, path))
 
 
+def batch_rows(entries: DataFrame, batch: int | str) -> DataFrame:
+    """A batch's rows, each id once, in tasks of even size, each with few days: a large day is split, small ones share a task."""
+    return last_write(entries).withColumn("batch", F.lit(str(batch))).hint("rebalance", "event_date")
+
+
 def append(spark: SparkSession, path: str, entries: DataFrame, batch: int | str, indexed: bool = True) -> None:
     """Add a batch of stored entries as files of its own in every day that it touches, and their entries in the index.
 
     Nothing of what is there is read or rewritten, but for the same batch's
     files: a batch that is written again after a failure replaces itself.
     """
-    # tasks of even size, each with few days: a large day is split, small ones share a task
-    rows = last_write(entries).withColumn("batch", F.lit(str(batch))).hint("rebalance", "event_date")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(path)
+    batch_rows(entries, batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch").parquet(path)
     if indexed:
         storeindex.add(spark, path, str(batch))
 

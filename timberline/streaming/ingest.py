@@ -1,13 +1,15 @@
 """Ingestion as one streaming query: files to lines to records to the day-partitioned store.
 
-At least once into an idempotent sink: a batch's files replace themselves if it
-is written again, the last write of an id wins on reading, and the checkpoint
-moves on only after store and dead letters are written.
+At least once into an idempotent sink: store and dead letters of a batch appear
+together, replace themselves if it is written again, the last write of an id
+wins on reading, and the checkpoint moves on only after that.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from timberline.functions.ids import log_id
 from timberline.functions.levels import parse_level
 from timberline.functions.text import unwrapped
 from timberline.functions.timestamps import parse_timestamp
-from timberline.operators import store, validate
+from timberline.operators import store, storeindex, transaction, validate
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,10 @@ class Config:
     host: str = ""
     container_lines: bool = False
     files_per_trigger: int = 1000
+    #: Files of a batch up to this size are read whole, larger ones in blocks.
+    whole_bytes: int = 64 << 20
+    #: Whether a batch's files get entries in the store's index at once.
+    indexed: bool = True
     #: Set apart batches of a stream whose checkpoint was lost from those of the one before.
     run: str = "0"
 
@@ -54,31 +60,67 @@ def records(lines: DataFrame, config: Config, now: Column) -> DataFrame:
     )
 
 
-def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: Config) -> None:
+def write_both(spark: SparkSession, good: DataFrame, dead: DataFrame, batch_id: int | str, config: Config) -> None:
+    """Stored entries and dead letters of a batch, which appear together; a batch that is written again replaces itself."""
+    name = f"{config.run}-{batch_id}"
+    both = transaction.Transaction(spark, config.store, name)
+    try:
+        dead.write.parquet(both.staged("dead"))
+        store.batch_rows(good, name).write.partitionBy("event_date", "batch").parquet(both.staged("store"))
+    except BaseException:
+        both.abort()
+        raise
+    own = f"{config.dead_letters}/batch={name}"
+    both.commit({"store": config.store, "dead": own}, [f"{config.store}/event_date=*/batch={name}", own])
+    if config.indexed:
+        storeindex.add(spark, config.store, name)
+
+
+def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int | str, config: Config) -> None:
     """Accepted rows go to the store; rejected ones, as they came and with their reason, to a folder of the batch's own."""
     now = F.current_timestamp()
     batch = batch.persist()
     try:
         good, bad = validate.route(batch, now, F.lit(config.service))
-        bad.select("id", "reason", "source", "epoch", "offset", "message").write.mode("overwrite").parquet(f"{config.dead_letters}/batch={config.run}-{batch_id}")
-        store.append(spark, config.store, store.stored(good, now), f"{config.run}-{batch_id}")
+        write_both(spark, store.stored(good, now), bad.select("id", "reason", "source", "epoch", "offset", "message"), batch_id, config)
     finally:
         batch.unpersist()
 
 
+def prepare(spark: SparkSession, config: Config) -> None:
+    """A store to write to; what a run that ended early has decided is carried out."""
+    timberline.importable(spark)
+    store.create(spark, config.store)
+    transaction.recover(spark, config.store)
+
+
 def start(spark: SparkSession, source: str, config: Config, once: bool = True):
     """Start ingesting closed files under ``source``, each once; with ``once``, stop when all present files are in.
 
-    Files that still grow are for ``tail``, files of any size for ``load``.
+    The stream itself carries names and lengths only. Files of a batch are read
+    whole, side by side, and large ones in blocks. Files that still grow are for ``tail``.
     """
-    timberline.importable(spark)
-    store.create(spark, config.store)
+    prepare(spark, config)
     files = (
         spark.readStream.format("binaryFile").option("maxFilesPerTrigger", config.files_per_trigger)
-        .schema("path string, modificationTime timestamp, length long, content binary").load(source)
+        .schema("path string, modificationTime timestamp, length long, content binary").load(source).select("path", "length")
     )
-    lines = frame(files, "path", "content").withColumnRenamed("path", "source").withColumn("epoch", F.lit(0).cast("bigint"))
-    writer = _writer(lines, config)
+
+    def batch(names: DataFrame, i: int) -> None:
+        small, large = [], []
+        for r in names.collect():  # as many as the trigger takes
+            (small if r.length <= config.whole_bytes else large).append(r.path)
+        session, lines = names.sparkSession, []
+        if small:
+            whole = session.read.format("binaryFile").load(small)
+            lines.append(frame(whole, "path", "content").select(F.col("path").alias("source"), "offset", "line"))
+        if large:
+            lines.append(frame_files(session, large))
+        if lines:
+            rows = reduce(DataFrame.unionByName, lines).withColumn("epoch", F.lit(0).cast("bigint"))
+            write_batch(session, records(rows, config, F.current_timestamp()), i, config)
+
+    writer = files.writeStream.foreachBatch(batch).option("checkpointLocation", config.checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
 
 
@@ -88,13 +130,16 @@ def _writer(lines: DataFrame, config: Config):
 
 
 def tail(spark: SparkSession, pattern: str, config: Config, poll: str = "100 milliseconds", read_bytes: int = 8 << 20):
-    """Start tailing the files that match ``pattern``: lines appended later, new files, and rotated or truncated ones under the next epoch."""
-    from timberline.sources.tailfile import TailFileSource
+    """Start tailing the files that match ``pattern``: lines appended later, new files, and rotated or truncated ones under the next epoch.
 
-    timberline.importable(spark)
-    store.create(spark, config.store)
-    spark.dataSource.register(TailFileSource)
-    lines = spark.readStream.format("tailfile").option("path", pattern).option("read_bytes", read_bytes).load()
+    Executors read the files, in ranges that the driver plans.
+    """
+    from timberline.sources.tailfiles import TailFilesSource
+
+    prepare(spark, config)
+    spark.dataSource.register(TailFilesSource)
+    source = spark.readStream.format("tailfiles").option("path", pattern).option("progress", f"{config.checkpoint}/tail-position.json")
+    lines = source.option("read_bytes", read_bytes).load()
     return _writer(lines, config).trigger(processingTime=poll).start()
 
 
@@ -103,8 +148,7 @@ def index(spark: SparkSession, raw: DataFrame, config: Config):
 
     Levels and times that a record's sender left open are taken from its line.
     """
-    timberline.importable(spark)
-    store.create(spark, config.store)
+    prepare(spark, config)
 
     def batch(rows: DataFrame, i: int) -> None:
         now = F.current_timestamp()
@@ -116,8 +160,7 @@ def index(spark: SparkSession, raw: DataFrame, config: Config):
                 "level": F.when(F.col("level") == "unknown", parse_level(F.col("message"))).otherwise(F.col("level")),
                 "timestamp": F.when(open_time, F.coalesce(parse_timestamp(F.col("message"), F.col("observed_at")), F.col("timestamp"))).otherwise(F.col("timestamp")),
             })
-            dead.write.mode("overwrite").parquet(f"{config.dead_letters}/batch={config.run}-{i}")
-            store.append(rows.sparkSession, config.store, store.stored(good, now), f"{config.run}-{i}")
+            write_both(rows.sparkSession, store.stored(good, now), dead, i, config)
         finally:
             rows.unpersist()
 
@@ -126,10 +169,9 @@ def index(spark: SparkSession, raw: DataFrame, config: Config):
 
 def load(spark: SparkSession, path: str, config: Config) -> None:
     """Ingest files of any size under ``path`` in one batch, split into blocks; doing it again changes nothing."""
-    timberline.importable(spark)
-    store.create(spark, config.store)
+    prepare(spark, config)
     lines = frame_files(spark, path).withColumn("epoch", F.lit(0).cast("bigint"))
-    write_batch(spark, records(lines, config, F.current_timestamp()), 0, config)
+    write_batch(spark, records(lines, config, F.current_timestamp()), f"load-{zlib.crc32(path.encode()):08x}", config)
 
 
 def drain(query, grace: float = 30.0) -> bool:
