@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timberline.operators.percentiles import grouped
 from timberline.operators.ranking import running
 
 
@@ -17,7 +18,8 @@ def nearest_rank(value: str, p: float) -> Column:
 
 
 def summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.median(value).alias("median"), F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("runs"))
+    """Median, lowest and highest value and number of values of every group."""
+    return grouped(df, keys, value, {"median": 0.5}, interpolated=True).select(*keys, "median", "low", "high", F.col("n").alias("runs"))
 
 
 def rank_sums(df: DataFrame, group: str, value: str) -> DataFrame:

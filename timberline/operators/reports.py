@@ -70,9 +70,13 @@ def status_counts(requests: DataFrame, status: str) -> DataFrame:
 
 def hit_miss(requests: DataFrame, value: str, hit: str, points: dict[str, float]) -> DataFrame:
     """One row: nearest-rank percentiles of hits and of misses, and the number of hits."""
-    part = lambda where, p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value}) FILTER (WHERE {where})")
-    columns = [part(where, p).alias(f"{kind}_{name}") for kind, where in (("hit", hit), ("miss", f"NOT {hit}")) for name, p in points.items()]
-    return requests.agg(*columns, F.count_if(hit).alias("hits"))
+    from timberline.operators.percentiles import grouped
+
+    rows = requests.withColumn("__hit", F.expr(hit)).where("__hit IS NOT NULL")
+    found = grouped(rows, ["__hit"], value, points)  # two rows
+    columns = [F.max(F.when(F.col("__hit") == is_hit, F.col(name))).alias(f"{kind}_{name}") for kind, is_hit in (("hit", True), ("miss", False)) for name in points]
+    n = requests.agg(F.count_if(hit).alias("hits"))
+    return found.agg(*columns).join(F.broadcast(n))
 
 
 def ratios(medians: DataFrame, variant: str, value: str) -> DataFrame:

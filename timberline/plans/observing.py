@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from timberline.operators import alerts, bench, metrics, reports, sequences
+from timberline.operators import alerts, bench, metrics, percentiles, reports, sequences
 from timberline.operators.tail import TailFilter, buffered, events, fan_out, kept
 from timberline.plans.registry import query, with_logs
 from timberline.sources.tables import logs_from_events, table
@@ -181,7 +181,8 @@ def stage_latencies(spark, d):
 
 @query("nearest_rank_percentiles", "SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90, quantile_disc(value, 0.99) AS p99 FROM events GROUP BY event_type")
 def nearest_rank_percentiles(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(*(bench.nearest_rank("value", p).alias(f"p{p}") for p in (50, 90, 99)))
+    points = {f"p{p}": p / 100 for p in (50, 90, 99)}
+    return percentiles.grouped(table(spark, d, "events"), ["event_type"], "value", points).select("event_type", *points)
 
 
 STATUS = "r AS (SELECT o_orderkey, [200, 200, 200, 429, 503][(o_orderkey % 5) + 1] AS status, o_orderkey % 3 = 0 AS hit, o_totalprice / 1000 AS ms FROM orders)"

@@ -27,3 +27,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a few short columns that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and counted; it is broadcast if it has ``BROADCAST_ROWS`` rows at most, else Spark joins by shuffling."""
+    from pyspark.sql import functions as F
+
+    df = written(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
