@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from timberline.operators import search, store, storeindex
-from timberline.operators.storesearch import StoreSearch
+from timberline.operators.storesearch import StoreSearch, key_of
 from timberline.plans.storing import writes
 from timberline.service.api import LogApi
 from timberline.service.keys import KeyMap
@@ -30,7 +30,8 @@ def rows(spark, sf_dir):
     """All logs, a third of them written again with another level, some of these on another day and without a time of their own."""
     moved = (F.col("level") == "fatal") & (F.col("offset") % 9 == 0)
     at = F.when(moved, F.col("timestamp") + F.expr("INTERVAL '1' DAY")).otherwise(F.col("timestamp"))
-    out = writes(spark, sf_dir).select(*LOG_SCHEMA.names).withColumn("timestamp", at)
+    days = F.to_date("timestamp").cast("string").isin([f"2024-01-{d:02d}" for d in (4, 5, 12, 15, 20, 28)])
+    out = writes(spark, sf_dir).select(*LOG_SCHEMA.names).where(days).withColumn("timestamp", at)
     seen = F.when(F.col("offset") % 9 == 0, F.col("timestamp")).otherwise(F.col("observed_at"))
     return out.withColumn("observed_at", seen).withColumn("event_date", F.to_date("timestamp")).persist()
 
@@ -55,7 +56,7 @@ QUERIES = [
 def test_page_equals_the_aggregated_store(spark, stored, query):
     want = search.page(store.current(spark, stored), query).select("id", "level", search.ms().alias("ms"), "message").collect()
     got = StoreSearch(spark, stored).rows(query)
-    assert [(r.id, r.level, r["_ms"], r.message) for r in got] == [tuple(r) for r in want]
+    assert [(r.id, r.level, key_of(r).ms, r.message) for r in got] == [tuple(r) for r in want]
 
 
 def test_walk_of_a_service_by_its_api(spark, stored):
@@ -64,13 +65,13 @@ def test_walk_of_a_service_by_its_api(spark, stored):
     want = [r.id for r in logs.orderBy(search.ms().desc(), F.desc("id")).collect()]
     api, got, cursor = LogApi(StoreSearch(spark, stored), KeyMap.parse("k:me")), [], ""
     while True:
-        status, _, body = api.answer(f"/v1/logs?service=svc-2&level=fatal&limit=25{cursor}", "k")
+        status, _, body = api.answer(f"/v1/logs?service=svc-2&level=fatal&limit=4{cursor}", "k")
         assert status == 200
         got += [r["id"] for r in body["logs"]]
         if "next_cursor" not in body:
             break
         cursor = f"&cursor={body['next_cursor']}"
-    assert got == want and len(want) > 50
+    assert got == want and len(want) > 10
 
 
 def test_plan_of_a_served_page(spark, stored):
@@ -89,13 +90,13 @@ def test_plan_of_a_served_page(spark, stored):
 def test_text_search_opens_files_that_may_match_only(spark, rows, tmp_path):
     """By the index a term that one batch holds opens that batch's files; absent terms open about one file of a hundred."""
     path = spread(spark, store.last_write(rows), f"file://{tmp_path}/s", 20)
-    special = rows.where("offset = 77").limit(1).withColumn("message", F.lit("the Zebra-crossing at blk_4242"))
+    special = rows.where("level <> 'fatal'").orderBy("offset").limit(1).withColumn("message", F.lit("the Zebra-crossing at blk_4242"))
     store.append(spark, path, special, "special")
     for text, n in (("zebra", 1), ("crossing ZEBRA", 1), ("blk_4242 zebra", 1), ("blk_42", 0), ("zebra absent", 0)):
         own = StoreSearch(spark, path)
         found = own.rows(search.Query(text=text, limit=10))
         assert [r.message for r in found] == ["the Zebra-crossing at blk_4242"] * n
-        assert own.opened <= n + len(found) + own.listed // 20 < own.listed
+        assert own.opened <= 3 * n + own.listed // 20 < own.listed
     files = store.files_of(spark, path, store.day_folders(spark, path))
     wrong = sum(len(storeindex.narrowed(spark, path, files, "term", storeindex.term_hashes(f"absent{i}"), every=True)) for i in range(5))
     assert wrong / (5 * len(files)) < 0.03

@@ -30,12 +30,16 @@ def create(spark: SparkSession, path: str) -> None:
         empty.write.partitionBy("event_date", "batch").parquet(path)
 
 
-def rows_of(spark: SparkSession, path: str, parts: list[str]) -> DataFrame:
-    """Rows of some folders or files of a store, with event_date and batch."""
+def rows_schema() -> T.StructType:
+    """Columns of a store's rows, with those of its folders: event_date and batch."""
     from timberline.sources.tables import LOG_SCHEMA
 
-    fields = [*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType())]
-    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(*parts)
+    return T.StructType([*LOG_SCHEMA.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType())])
+
+
+def rows_of(spark: SparkSession, path: str, parts: list[str]) -> DataFrame:
+    """Rows of some folders or files of a store."""
+    return spark.read.schema(rows_schema()).option("basePath", path).parquet(*parts)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

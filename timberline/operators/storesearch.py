@@ -12,29 +12,60 @@ and an id's last write counts. Then the scan goes on behind the last candidate.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline.operators import store, storeindex
-from timberline.operators.search import Query, SortKey, matching, ms, page
+from timberline.operators.search import Query, SortKey, conditions, matching, ms
 
 #: A window or a lookup of so many files at most reads them without asking the index.
 FEW_FILES = 8
+#: Writes of one id, on average, that a lookup brings to the driver at most; more are aggregated.
+FEW_WRITES = 8
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 class StoreSearch:
-    """Searches of one store; every search lists it anew."""
+    """Searches of one store. What it has is listed anew after ``refresh`` seconds, from when on later batches are found."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.sparkSession, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, refresh: float = 1.0):
+        self.sparkSession, self.path, self.refresh = spark, path, refresh
         self.opened = self.listed = 0
+        self.lock, self.listings, self.since = threading.Lock(), {}, 0.0
+
+    def _listed(self, what: tuple, make):
+        """The result of ``make``, kept until the next refresh."""
+        with self.lock:
+            if time.monotonic() - self.since > self.refresh:
+                self.listings, self.since = {}, time.monotonic()
+            listings = self.listings
+        if what not in listings:
+            listings[what] = make()
+        return listings[what]
+
+    def _all_days(self) -> list[str]:
+        return self._listed(("days",), lambda: store.day_folders(self.sparkSession, self.path))
+
+    def _rows(self, days: list[str]) -> DataFrame:
+        """All rows of some days."""
+        return self._listed(("rows", *days), lambda: store.rows_of(self.sparkSession, self.path, [f"{self.path}/event_date={x}" for x in days]))
+
+    def _files(self, days: list[str]) -> list[str]:
+        return self._listed(("files", *days), lambda: self._rows(days).inputFiles())
+
+    def _batches(self, day: str) -> int:
+        return self._listed(("batches", day), lambda: len(store.batch_folders(self.sparkSession, self.path, day)))
 
     def days(self, query: Query) -> list[str]:
         """The store's days that a query may touch, the latest first."""
         date = lambda t: str(t.astimezone(dt.timezone.utc).date())
-        days = store.day_folders(self.sparkSession, self.path)
+        days = self._all_days()
         if query.start is not None or query.end is not None or query.after is not None:
             days = [x for x in days if not x.startswith("__")]  # what has no time is in no range, and behind no cursor
         if query.start is not None:
@@ -47,58 +78,95 @@ class StoreSearch:
 
     def scan(self, days: list[str], query: Query) -> DataFrame | None:
         """Rows of some days, of files only that may hold the query's terms; None if there are none."""
-        spark = self.sparkSession
         if not query.text:
-            return store.rows_of(spark, self.path, [f"{self.path}/event_date={x}" for x in days])
-        files = store.files_of(spark, self.path, days)
+            return self._rows(days)
+        files = self._files(days)
         self.listed += len(files)
+        found = files
         if len(files) > FEW_FILES:
-            files = storeindex.narrowed(spark, self.path, files, "term", storeindex.term_hashes(query.text), every=True)
-        self.opened += len(files)
-        return store.rows_of(spark, self.path, files) if files else None
+            found = storeindex.narrowed(self.sparkSession, self.path, files, "term", storeindex.term_hashes(query.text), every=True)
+        self.opened += len(found)
+        if len(found) == len(files):
+            return self._rows(days)
+        return store.rows_of(self.sparkSession, self.path, found) if found else None
 
     def candidates(self, days: list[str], query: Query) -> DataFrame | None:
         """The first rows of some days behind the query's cursor, in order; earlier writes of an id among them."""
         rows = self.scan(days, query)
-        return None if rows is None else page(rows.withColumn("_ms", ms()), query)
-
-    def last_writes(self, rows: list) -> dict[str, list] | None:
-        """For each id of some rows its last writes, of which there is one; None if no row can have been written again."""
-        spark = self.sparkSession
-        days = {r.event_date for r in rows}
-        several = {d for d in days if len(store.batch_folders(spark, self.path, d.isoformat() if d else "__HIVE_DEFAULT_PARTITION__")) > 1}
-        open_time = [r for r in rows if r.timestamp is None or r.timestamp == r.observed_at]
-        doubtful = [r for r in rows if r.event_date in several or r.timestamp is None or r.timestamp == r.observed_at]
+        if rows is None:
+            return None
+        if all_ := conditions(query, dated=True):
+            rows = rows.where(reduce(Column.__and__, all_))
+        return rows.orderBy(ms().desc(), F.col("id").desc()).limit(query.limit)
+
+    def last_writes(self, rows: list) -> dict | None:
+        """The last write of every id that may have been written again (id: row); None if none of the rows can have been."""
+        day = lambda r: r.event_date.isoformat() if r.event_date else NO_DAY
+        several = {d for d in {day(r) for r in rows} if self._batches(d) > 1}
+        open_time = {r.id for r in rows if r.timestamp is None or r.timestamp == r.observed_at}
+        doubtful = [r for r in rows if day(r) in several or r.id in open_time]
         if not doubtful:
             return None
-        names = store.day_folders(spark, self.path)
+        names = self._all_days()
         if not open_time:
-            own = {r.event_date.isoformat() for r in doubtful}
+            own = {day(r) for r in doubtful}
             names = [x for x in names if x in own]
-        files = store.files_of(spark, self.path, names)
-        ids = sorted({r.id for r in doubtful})
+        ids, files = sorted({r.id for r in doubtful}), self._files(names)
         self.listed += len(files)
+        found = files
         if len(files) > FEW_FILES:
             known = [r.indexed_at for r in doubtful if r.indexed_at is not None]
-            files = storeindex.narrowed(spark, self.path, files, "id", storeindex.id_hashes(ids), every=False, since=min(known) if len(known) == len(doubtful) else None)
-        self.opened += len(files)
-        found = store.last_write(store.rows_of(spark, self.path, files).where(F.col("id").isin(ids)))
-        return {"found": found, "ids": set(ids)}
+            found = storeindex.narrowed(self.sparkSession, self.path, files, "id", storeindex.id_hashes(ids), every=False, since=min(known) if len(known) == len(doubtful) else None)
+        self.opened += len(found)
+        scan = self._rows(names) if len(found) == len(files) else store.rows_of(self.sparkSession, self.path, found)
+        scan = scan.where(F.col("id").isin(ids))
+        most = FEW_WRITES * len(ids)
+        writes = scan.limit(most + 1).collect()
+        if len(writes) > most:
+            writes = store.last_write(scan).collect()
+        names = [n for n in scan.columns if n not in ("id", "indexed_at")]
+        order = lambda r: [(r[n] is not None, r[n]) for n in ("indexed_at", *names)]
+        out: dict = {}
+        for r in writes:
+            if r.id not in out or order(r) > order(out[r.id]):
+                out[r.id] = r
+        return out
 
     def verified(self, rows: list, query: Query) -> list:
         """Those candidates that are an id's last write, or share its place with a last write that matches too; in order, one for each id."""
         first = {}
         for r in rows:
-            first.setdefault((r.id, r["_ms"]), r)
+            first.setdefault((r.id, key_of(r).ms), r)
         last = self.last_writes(rows)
         if last is None:
             return list(first.values())
-        filters = replace(query, after=None)
-        valid = {(r.id, r["_ms"]): r for r in matching(last["found"].withColumn("_ms", ms()), filters).collect()}
-        return [r if r.id not in last["ids"] else valid[key] for key, r in first.items() if r.id not in last["ids"] or key in valid]
+        out = []
+        for (id_, at), r in first.items():
+            w = last.get(id_, r)
+            if id_ in last and key_of(w).ms != at:
+                continue
+            same = all(w[n] == r[n] for n in ("service", "host", "level", "message", "timestamp"))
+            if same or self._matches(w, query):
+                out.append(w)
+        return out
+
+    def _matches(self, row, query: Query) -> bool:
+        if any(getattr(query, n) and row[n] != getattr(query, n) for n in ("service", "host", "level")):
+            return False
+        if not query.text and query.start is None and query.end is None:
+            return True
+        one = self.sparkSession.createDataFrame([row], store.rows_schema())
+        return not matching(one, replace(query, after=None)).isEmpty()
 
     def rows(self, query: Query, more: int = 0) -> list:
         """A page's rows in falling order of time and id, ``more`` of them beyond the limit."""
+        try:
+            return self._page(query, more)
+        except PySparkException:
+            self.since = 0.0  # files that were listed may have been merged since
+            return self._page(query, more)
+
+    def _page(self, query: Query, more: int) -> list:
         want, out = query.limit + more, []
         days, at, size = self.days(query), 0, 1
         while at < len(days) and len(out) < want:
@@ -110,7 +178,7 @@ class StoreSearch:
                 out += self.verified(rows, query)
                 if len(rows) < take:
                     break
-                here = replace(here, after=SortKey(rows[-1]["_ms"], rows[-1]["id"]))
+                here = replace(here, after=key_of(rows[-1]))
             at, size = at + size, 2 * size
         return out[:want]
 
@@ -119,4 +187,14 @@ class StoreSearch:
         rows = self.rows(query, 1)
         rest = len(rows) > query.limit
         rows = rows[: query.limit]
-        return rows, SortKey(rows[-1]["_ms"], rows[-1]["id"]) if rest else None
+        return rows, key_of(rows[-1]) if rest else None
+
+
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def key_of(row) -> SortKey:
+    """A stored row's place in the order; times come from Spark in the driver's zone."""
+    if row.timestamp is None:
+        return SortKey(None, row.id)
+    return SortKey((row.timestamp.astimezone(dt.timezone.utc) - _EPOCH) // dt.timedelta(milliseconds=1), row.id)

@@ -181,10 +181,10 @@ def store_current(spark, d):
 
 def _page(spark, path, q, *names):
     """A page of a store, as its search gives it."""
-    from timberline.operators.storesearch import StoreSearch
+    from timberline.operators.storesearch import StoreSearch, key_of
 
     schema = store.read(spark, path).select("id", search.ms().alias("ts_ms"), *names).schema
-    return spark.createDataFrame([(r.id, r["_ms"], *(r[n] for n in names)) for r in StoreSearch(spark, path).rows(q)], schema)
+    return spark.createDataFrame([(r.id, key_of(r).ms, *(r[n] for n in names)) for r in StoreSearch(spark, path).rows(q)], schema)
 
 
 @query("store_search", with_logs(f"""SELECT l.id, (epoch_us(l."timestamp") // 1000) AS ts_ms FROM logs l JOIN kept k USING (id) WHERE k.level = 'fatal' AND l.service = 'svc-1' AND {RANGE} {ORDER} LIMIT 50""", STORE))

@@ -49,7 +49,7 @@ class LogApi:
         finally:
             spark.removeTag(tag)
             timer.cancel()
-        return [{k: v for k, v in r.asDict().items() if k != "_ms"} for r in rows], after
+        return [{k: v for k, v in r.asDict().items() if k not in ("_ms", "batch")} for r in rows], after
 
     def answer(self, path: str, key: str | None) -> tuple[int, dict, dict]:
         """Status, headers and body for GET of a path."""

@@ -35,8 +35,8 @@ class Config:
     files_per_trigger: int = 1000
     #: Files of a batch up to this size are read whole, larger ones in blocks.
     whole_bytes: int = 64 << 20
-    #: Whether a batch's files get entries in the store's index at once.
-    indexed: bool = True
+    #: Whether a batch's files get entries in the store's index at once; else they get them when their days are merged, and are read by every search until then.
+    indexed: bool = False
     #: Set apart batches of a stream whose checkpoint was lost from those of the one before.
     run: str = "0"
 
