@@ -915,3 +915,80 @@ def test_exact_dedup_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame(rows, ["doc_id", "text", *names])
     got = exact_dedup.distinct_texts(df)
     assert got.columns == df.columns and sorted(map(tuple, got.collect())) == sorted(rows[6:])
+
+
+LONG = "The committee met on Tuesday, and after a long debate, it agreed on the plan; nobody was surprised."
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f'<div class="lead">A short lead, before all.</div><article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>', ["A short lead, before all.", LONG, LONG, LONG]),
+        (f'<article><p>{LONG}</p><h2>References</h2><ul><li><a href="/1">Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.</a></li><li><a href="/2">Jones, K.: Debates, and how they end, Leeds, 1999.</a></li>'
+         f'<li><a href="/3">Brown, L.: Tuesdays, a history in five parts, York, 2010.</a></li></ul></article>',
+         [LONG, "References", "Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.", "Jones, K.: Debates, and how they end, Leeds, 1999.", "Brown, L.: Tuesdays, a history in five parts, York, 2010."]),
+        (f"<article><p>{LONG}</p><details><summary>More</summary>It was late.</details><div>So be it</div><p>{LONG}</p></article>", [LONG, "More", "It was late.", "So be it", LONG]),
+        (f'<article><p>{LONG}</p><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">Sport</a></li></ul><p>{LONG}</p></article>', [LONG, LONG]),
+        (f'<div><div class="intro">Unlike others.</div><div><p>{LONG}</p><p>{LONG}</p></div></div><footer>Imprint</footer>', ["Unlike others.", LONG, LONG]),
+        (f'<nav class="intro-menu"><a href="/">Home</a></nav><article><p>{LONG}</p></article><div class="comments"><p>{LONG}</p></div>', [LONG]),
+    ],
+    ids=["lead", "references", "details", "menu", "intro", "comments"],
+)
+def test_extraction_keeps_what_belongs_to_an_article(body, want):
+    assert html_extract.main_text(f"<html><head><title>T</title></head><body>{body}</body></html>").split("\n") == want
+
+
+def test_pii_counts_all_spans(spark):
+    rows = pii.find(spark.createDataFrame([(1, "a@b.com and 10.0.0.1 there"), (2, "nothing"), (3, None)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_spans for r in rows} == {1: 2, 2: 0, 3: 0} and all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in rows)
+
+
+def test_reliabilities_by_expectation_maximisation():
+    """Two rounds written out vote by vote, and a labeler that is right more often gets more weight."""
+    rng = np.random.default_rng(0)
+    truth = rng.random(4000) < 0.3
+    right = [0.95, 0.8, 0.6]
+    votes = np.stack([np.where(rng.random(4000) < r, np.where(truth, 1, -1), np.where(truth, -1, 1)) * (rng.random(4000) < 0.9) for r in right], 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+
+    def by_hand(rounds):
+        post = [1 / (1 + np.exp(-sum(p))) for p in patterns]
+        for _ in range(rounds):
+            share = (sum(c * q for c, q in zip(counts, post)) + 1) / (counts.sum() + 2)
+            odds = []
+            for p in patterns:
+                like = []
+                for is_one in (True, False):
+                    x = 1.0
+                    for j, v in enumerate(p):
+                        n = {u: 1.0 + sum(c * (q if is_one else 1 - q) for p2, c, q in zip(patterns, counts, post) if p2[j] == u) for u in (-1, 0, 1)}
+                        x *= n[v] / sum(n.values())
+                    like.append(x)
+                odds.append(like[0] * share / (like[0] * share + like[1] * (1 - share)))
+            post = odds
+        return np.array(post)
+
+    for rounds in (1, 2, 5):
+        assert np.allclose(pii.estimate(patterns, counts.astype(float), rounds)[0], by_hand(rounds))
+    post, share, rates = pii.estimate(patterns, counts.astype(float))
+    own = {tuple(p): q for p, q in zip(patterns, post)}
+    assert np.mean([(own[tuple(v)] > 0.5) == t for v, t in zip(votes, truth)]) > 0.93 and abs(share - 0.3) < 0.05
+    assert rates[1, 0, 2] > rates[1, 1, 2] > rates[1, 2, 2]
+
+
+def test_span_classifier_finds_the_least_loss():
+    """Weights on soft targets and counts are where no small change lowers the penalised loss."""
+    rng = np.random.default_rng(3)
+    x, target, counts = rng.integers(0, 2, (40, 4)).astype(float), rng.random(40), rng.integers(1, 50, 40).astype(float)
+    w = pii.classifier(x, target, counts, steps=300)
+
+    def loss(w):
+        p = 1 / (1 + np.exp(-(np.hstack([x, np.ones((40, 1))]) @ w)))
+        n = counts / counts.sum()
+        return -(n * (target * np.log(p) + (1 - target) * np.log(1 - p))).sum() + 0.5e-4 * (w**2).sum()
+
+    for i in range(5):
+        for step in (-1e-2, 1e-2):
+            other = w.copy()
+            other[i] += step
+            assert loss(other) > loss(w)

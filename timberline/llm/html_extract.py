@@ -67,7 +67,9 @@ PART_MARKS = re.compile(
 )
 PARTS = frozenset("section p h1 h2 h3 h4 h5 h6 li dt dd td th".split())
 #: Blocks that belong to an article they stand in, whatever their ratio.
-KEPT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption pre blockquote summary".split())
+KEPT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption pre blockquote summary details".split())
+#: A class, id or role, as a whole, that names the beginning of an article, wherever it stands.
+LEAD = re.compile(r"(?:^|\s)(?:(?:article|post|entry|story|page)[_-]+)?(?:lead|lede|intro(?:duction)?|standfirst|dek|deck|abstract|excerpt|subtitle|subhead(?:line)?)(?:[_-]+(?:text|paragraph|body))?(?=\s|$)", re.I)
 DISCUSSION = re.compile(rf"(?:^|[\s_-])(?:{_DISCUSSION})(?=$|[\s_-])", re.I)
 HOME = frozenset(("article", "main"))
 #: Elements that are left out as a whole where they hold nothing but links, more than FEW_LINKS.
@@ -99,6 +101,7 @@ class Page:
         self.parent, self.tag, self.path, self.junk, self.home, self.link = [-1], [""], [0], [False], [False], [-1]
         self.texts: list[tuple[int, int, str]] = []
         self.marked: dict[int, bool] = {}
+        self.leads: set[int] = set()
         self._names: dict[tuple[int, str], int] = {}
         self._read(page)
 
@@ -110,6 +113,8 @@ class Page:
             plain = tag in PARTS and not any(name in ("class", "role") for name, _ in named)
             if m := (PART_MARKS if plain else MARKS).search(marks):
                 self.marked[k] = bool(DISCUSSION.search(m[0]))
+            elif LEAD.search(marks):
+                self.leads.add(k)
         self.parent.append(up)
         self.tag.append(tag)
         self.path.append(self._names.setdefault((self.path[up], f"{tag}.{marks}" if marks else tag), len(self._names) + 1))
@@ -248,19 +253,21 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return padded / np.convolve(np.ones(len(values)), window)[width : width + len(values)]
 
 
-def path_ratios(paths: list[int], texts: list[str]) -> tuple[dict[int, float], float]:
+def path_ratios(paths: list[int], texts: list[str], smoothed: bool = True) -> tuple[dict[int, float], float]:
     """The largest fused ratio of each path, and the mean over all text nodes.
 
     A node's ratios are its path's mean text length and mean number of marks,
     each smoothed over the sequence of nodes; fused, they are the geometric mean.
+    Without smoothing a path stands for itself, whatever its neighbours are.
     """
     count, length, marks = {}, {}, {}
     for p, text in zip(paths, texts):
         count[p] = count.get(p, 0) + 1
         length[p] = length.get(p, 0) + len(text)
         marks[p] = marks.get(p, 0) + len(PUNCTUATION.findall(text))
-    ratio = smooth(np.array([length[p] / count[p] for p in paths]))
-    points = smooth(np.array([(marks[p] + 0.1) / count[p] for p in paths]))
+    over = smooth if smoothed else lambda x: x
+    ratio = over(np.array([length[p] / count[p] for p in paths]))
+    points = over(np.array([(marks[p] + 0.1) / count[p] for p in paths]))
     fused = np.sqrt(ratio * points)
     best: dict[int, float] = {}
     for p, value in zip(paths, fused.tolist()):
@@ -280,14 +287,17 @@ def content_paths(page: Page, texts: list[tuple[int, int, str]]) -> set[int]:
     return {p for p, v in best.items() if v >= THRESHOLD * mean and p not in linked} or set(best) - linked or set(best)
 
 
-def link_lists(page: Page, texts: list[tuple[int, int, str]]) -> set[int]:
+def link_lists(page: Page, texts: list[tuple[int, int, str]], ratios: dict[int, float], least: float) -> set[int]:
     """The lists and other blocks whose whole text, but for separators, is that of more than ``FEW_LINKS`` links.
 
-    A part of a list or table is none, nor is the page or an article as such.
+    A part of a list or table is none, nor is the page or an article as such, nor,
+    within an article, a list of links whose path has a ratio like a text's: references
+    have titles, with marks in them, where menus have words.
     """
     links = page.summed({page.link[e]: 1 for e, _, _ in texts if page.link[e] >= 0})
     plain = page.summed({e: 1 for e, _, text in texts if page.link[e] < 0 and any(c.isalnum() for c in text)})
-    return {k for k, tag in enumerate(page.tag) if tag in LISTS and links[k] > FEW_LINKS and not plain[k]}
+    telling = page.summed({e: 1 for e, _, _ in texts if page.home[e] and ratios[page.path[e]] >= least})
+    return {k for k, tag in enumerate(page.tag) if tag in LISTS and links[k] > FEW_LINKS and not plain[k] and not telling[k]}
 
 
 def bounds(page: Page, content: list[int]) -> set[int]:
@@ -334,10 +344,13 @@ def main_text(html: str | None) -> str:
     for e, _, text in content:
         if around := page.homes(e):
             held[around[-1]] = held.get(around[-1], 0) + len(text)
+    lead = page.within(page.leads)
     if held and max(held.values()) >= HOLDS * sum(len(t) for _, _, t in content):
         content = [x for x in content if page.home[x[0]]]
-    inside = page.within(bounds(page, [e for e, _, _ in content]))
-    lists = page.within(link_lists(page, texts))
+    around = bounds(page, [e for e, _, _ in content if page.home[e] or not lead[e]] or [e for e, _, _ in content])
+    inside = page.within(around | page.leads)
+    ratios, mean = path_ratios([page.path[e] for e, _, _ in texts], [t for _, _, t in texts], smoothed=False)
+    lists = page.within(link_lists(page, texts, ratios, THRESHOLD * mean))
     blocks: dict[int, list[str]] = {}
     keep = set()
     for e, block, text in found:
@@ -348,9 +361,11 @@ def main_text(html: str | None) -> str:
             if page.path[e] in chosen:
                 keep.add(block)
             else:
+                # a part of a text, or a block of an article that is no link, stays whatever its ratio
+                linked, at_home = page.link[e] >= 0, page.home[e]
                 while e and page.tag[e] not in BLOCK:
                     e = page.parent[e]
-                if page.tag[e] in KEPT:
+                if page.tag[e] in KEPT or at_home and not linked and any(c.isalnum() for c in text):
                     keep.add(block)
     lines = (" ".join("".join(x).split()) for b, x in sorted(blocks.items()) if b in keep)
     return "\n".join(x for x in lines if x)

@@ -213,7 +213,7 @@ def train(found: DataFrame) -> str:
 
 
 def find(docs: DataFrame, limit: float = LIMIT, gazetteers: dict[str, tuple[str, ...]] = GAZETTEERS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, counts of base spans, base_sha256 and spans.
+    """One row per row of ``docs``: doc_id, counts of base spans, base_sha256, spans and n_spans, the number of all of them.
 
     A span is kind:start:end in code points, end exclusive; kinds stand in the
     order of ``KINDS``, then starts. Candidates that overlap a base span never
@@ -233,6 +233,7 @@ def find(docs: DataFrame, limit: float = LIMIT, gazetteers: dict[str, tuple[str,
         *(f"cast(size(filter(base_spans, x -> x.kind = '{k}')) AS bigint) AS n_{k}" for k in BASE),
         f"sha2({text.format('base_spans')}, 256) AS base_sha256",
         f"{text.format('all_spans')} AS spans",
+        "cast(size(all_spans) AS bigint) AS n_spans",
     )
 
 
