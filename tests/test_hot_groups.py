@@ -137,3 +137,21 @@ def test_a_hundred_thousand_subscriptions(spark, sf_dir):
     filters = spark.createDataFrame([(c, f.services[0], f.levels[0] if f.levels else None, f.text) for c, f in own.items()], "client string, s string, l string, t string")
     theta = logs.join(filters, (F.col("s") == F.col("service")) & (F.col("l").isNull() | (F.col("l") == F.col("level"))) & F.contains(F.lower("message"), F.col("t"))).groupBy("client").count()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, theta.collect())) and got.count() > 100
+
+
+def test_audit_by_digests_compares_what_differs(spark):
+    """Reports equal those by ids, with redelivered and unexpected ids; few ids are compared."""
+    from timberline.operators import audit
+
+    ids = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("id"), F.col("id").alias("k"))
+    at = F.timestamp_seconds(F.col("k"))
+    expected = ids.where("k % 5 <> 1").select("id")
+    stored = ids.where("k % 5 <> 1 AND k % 4001 <> 0").select("id", F.lit("/f").alias("source"), at.alias("observed_at"), at.alias("indexed_at"))
+    again = stored.where("observed_at < '1970-01-01 00:10:00'").limit(3)
+    other = ids.where("k = 1 OR k = 6").select("id", F.when(F.col("k") == 1, "/f").otherwise("/g").alias("source"), at.alias("observed_at"), at.alias("indexed_at"))
+    for have in (stored, stored.unionByName(again), stored.unionByName(other), stored.where("false")):
+        assert audit.report_by_digests(expected, have, "/f").collect() == audit.report(expected, have, "/f").collect()
+        assert audit.report_by_digests(expected, have, "/f", (4,)).collect() == audit.report(expected, have, "/f").collect()
+    few, there = audit.differing(expected, stored)
+    assert few.count() <= 12 and there.count() <= 8
+    assert [x.count() for x in audit.differing(expected, expected)] == [0, 0]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timberline.operators.ranking import running
+from timberline.staging import small
 
 
 def missing(expected: DataFrame, stored: DataFrame) -> DataFrame:
@@ -36,6 +39,10 @@ def report(expected: DataFrame, stored: DataFrame, source: str) -> DataFrame:
         F.count_if(F.col("want").isNotNull() & F.col("own").isNull()).alias("missing"),
         F.min("first").alias("first"), F.max("last").alias("last"),
     )
+    return _summed(sums)
+
+
+def _summed(sums: DataFrame) -> DataFrame:
     sums = sums.withColumn("unexpected", F.col("indexed") - (F.col("expected") - F.col("missing")))
     seconds = (F.unix_micros("last") - F.unix_micros("first")) / 1e6
     return sums.select(
@@ -44,6 +51,45 @@ def report(expected: DataFrame, stored: DataFrame, source: str) -> DataFrame:
     )
 
 
+#: Bits of an id's hash that name its bucket, level by level.
+LEVELS = (12, 24)
+
+
+def _bucket(bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64("id"), 64 - bits).alias("bucket")
+
+
+def digests(rows: DataFrame, bits: int) -> DataFrame:
+    """For every bucket of ids: their number, and digests that no order of them changes."""
+    h, other = F.xxhash64("id"), F.xxhash64("id", F.lit(1))
+    return rows.groupBy(_bucket(bits)).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(other).alias("y"), F.sum(other.bitwiseAND((1 << 31) - 1)).alias("s"))
+
+
+def differing(expected: DataFrame, stored: DataFrame, levels: tuple[int, ...] = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides whose buckets of ids differ; all others hold the same ids on both sides, equally often.
+
+    Each level shuffles digests only, of buckets that differed on the level
+    before, so that what is compared id by id in the end is in proportion to what differs.
+    """
+    sides = [expected, stored]
+    for bits in levels:
+        a, b = (digests(x.select("id"), bits) for x in sides)
+        same = [a[c].eqNullSafe(b[c]) for c in ("n", "x", "y", "s")]
+        buckets = a.join(b, a["bucket"] == b["bucket"], "full_outer").where(~reduce(Column.__and__, same)).select(F.coalesce(a["bucket"], b["bucket"]).alias("__bucket"))
+        buckets = small(buckets, "buckets")
+        sides = [x.join(buckets, _bucket(bits) == buckets["__bucket"], "left_semi") for x in sides]
+    return sides[0], sides[1]
+
+
+def report_by_digests(expected: DataFrame, stored: DataFrame, source: str, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """``report`` of expected ids that are distinct, as those of a file's lines are; only buckets that differ are looked up by id."""
+    few, there = differing(expected, stored, levels)
+    gone = missing(few, there).agg(F.count(F.lit(1)).alias("missing"))
+    own = stored.where(F.col("source") == source).agg(F.count(F.lit(1)).alias("indexed"), F.min("observed_at").alias("first"), F.max("indexed_at").alias("last"))
+    sums = expected.agg(F.count("id").alias("expected")).join(F.broadcast(own)).join(F.broadcast(gone))  # one row each
+    return _summed(sums)
+
+
 def percentiles(df: DataFrame, value: str, points: dict[str, float], largest: str) -> DataFrame:
     """One row of exact interpolated percentiles (name: share of the values) and the largest value.
 

@@ -260,18 +260,37 @@ def audit_found(spark, d):
     return audit.found(*_sides(spark, d))
 
 
-@query(
-    "audit_report",
-    with_logs(
-        """SELECT e AS expected, i AS indexed, m AS missing, i - (e - m) AS unexpected, m = 0 AND i - (e - m) <= 0 AS zero_loss, round(s, 3) AS seconds, round((i - (i - (e - m))) / s, 6) AS rate FROM (
-           SELECT (SELECT count(*) FROM expected) AS e, (SELECT count(*) FROM stored) AS i, (SELECT count(*) FROM expected WHERE id NOT IN (SELECT id FROM stored)) AS m,
-                  (SELECT (epoch_us(max(indexed_at)) - epoch_us(min(observed_at))) / 1e6 FROM stored) AS s)""",
-        STORED,
-    ),
+REPORT = with_logs(
+    """SELECT e AS expected, i AS indexed, m AS missing, i - (e - m) AS unexpected, m = 0 AND i - (e - m) <= 0 AS zero_loss, round(s, 3) AS seconds, round((i - (i - (e - m))) / s, 6) AS rate FROM (
+       SELECT (SELECT count(*) FROM expected) AS e, (SELECT count(*) FROM stored) AS i, (SELECT count(*) FROM expected WHERE id NOT IN (SELECT id FROM stored)) AS m,
+              (SELECT (epoch_us(max(indexed_at)) - epoch_us(min(observed_at))) / 1e6 FROM stored) AS s)""",
+    STORED,
 )
+
+
+def _rounded(report):
+    return report.withColumns({"seconds": F.round("seconds", 3), "rate": F.round("rate", 6)})
+
+
+@query("audit_report", REPORT)
 def audit_report(spark, d):
     expected, stored = _sides(spark, d)
-    return audit.report(expected, stored, "/var/log/events.log").withColumns({"seconds": F.round("seconds", 3), "rate": F.round("rate", 6)})
+    return _rounded(audit.report(expected, stored, "/var/log/events.log"))
+
+
+@query("audit_report_digests", REPORT)
+def audit_report_digests(spark, d):
+    """The same report, of which only buckets whose digests differ are looked up by id."""
+    expected, stored = _sides(spark, d)
+    return _rounded(audit.report_by_digests(expected, stored, "/var/log/events.log"))
+
+
+@query("audit_differing", with_logs("""SELECT id, "offset", false AS stored FROM logs WHERE "offset" % 50 <> 7 AND "offset" % 97 = 5 UNION ALL SELECT id, "offset", true FROM logs WHERE "offset" % 50 = 7 AND "offset" % 97 <> 5"""))
+def audit_differing(spark, d):
+    """What only one side has, of the buckets that digests tell apart."""
+    expected, stored = audit.differing(*_sides(spark, d))
+    one, two = (a.join(b.select("id"), "id", "left_anti").select("id", "offset") for a, b in ((expected, stored), (stored, expected)))
+    return one.withColumn("stored", F.lit(False)).unionByName(two.withColumn("stored", F.lit(True)))
 
 
 @query("span_throughput", with_logs("SELECT epoch_us(min(observed_at)) AS first_us, epoch_us(max(indexed_at)) AS last_us, count(*) AS n FROM logs"))
