@@ -155,3 +155,23 @@ def test_audit_by_digests_compares_what_differs(spark):
     few, there = audit.differing(expected, stored)
     assert few.count() <= 12 and there.count() <= 8
     assert [x.count() for x in audit.differing(expected, expected)] == [0, 0]
+
+
+def test_epochs_over_chunks_equal_those_of_one_pass(spark):
+    from timberline.operators import sequences
+
+    rng, rows, want = random.Random(2), [], []
+    for path in ("a", "b", None):
+        epoch, size, inode = 0, 0, 1
+        for t in sorted(rng.sample(range(3000), 400)):
+            before = size, inode
+            c = rng.random()
+            size, inode = (rng.randint(0, size), inode) if c < 0.1 else (rng.randint(0, 9), inode + 1) if c < 0.15 else (size + rng.randint(0, 5), inode)
+            epoch += (size < before[0] or inode != before[1]) and bool(rows) and rows[-1][0] == path
+            rows.append((path, t, size, inode))
+            want.append((path, t, epoch))
+    rows, want = ([r for r in x if r[0] is not None] for x in (rows, want))
+    df = spark.createDataFrame(rows, "p string, t long, s long, i long")
+    for chunk in (1, 50, 100_000):
+        got = sequences.epochs(df, "p", "t", "s", "i", chunk)
+        assert got.columns == ["p", "t", "s", "i", "epoch"] and sorted((r.p, r.t, r.epoch) for r in got.collect()) == want

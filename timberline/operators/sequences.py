@@ -18,12 +18,28 @@ def contiguous_prefix(df: DataFrame, keys: list[str], seq: str, acked: str) -> D
     return rows.groupBy(*keys).agg(F.max(F.when(F.col("_gap").isNull() | (F.col(seq) < F.col("_gap")), F.col(seq))).alias("cursor"))
 
 
-def epochs(df: DataFrame, path: str, order: str, size: str, inode: str) -> DataFrame:
-    """Adds epoch: how often the file at a path was truncated or replaced so far."""
-    of = Window.partitionBy(path).orderBy(order)
-    broken = (F.col(size) < F.lag(size).over(of)) | (F.col(inode) != F.lag(inode).over(of))
-    marked = df.withColumn("_new", F.coalesce(broken, F.lit(False)).cast("int"))
-    return marked.withColumn("epoch", F.sum("_new").over(of.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")).drop("_new")
+def epochs(df: DataFrame, path: str, order: str, size: str, inode: str, chunk: int = 100_000) -> DataFrame:
+    """Adds epoch: how often the file at a path was truncated or replaced so far.
+
+    A path's readings are cut into chunks of ``order``, a number, so that a long
+    history needs no single task: a chunk's first reading is compared with the last
+    one of the chunk before, and epochs of the chunks before are added up, of both
+    of which there is one row a chunk.
+    """
+    rows = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    last = rows.groupBy(path, "_chunk").agg(F.max_by(F.struct(F.col(size).alias("size"), F.col(inode).alias("inode")), order).alias("_last"))
+    carried = last.select(path, "_chunk", F.lag("_last").over(Window.partitionBy(path).orderBy("_chunk")).alias("_carried"))
+    of = Window.partitionBy(path, "_chunk").orderBy(order)
+    first = F.row_number().over(of) == 1
+    before = lambda c, n: F.when(first, F.col(f"_carried.{n}")).otherwise(F.lag(c).over(of))
+    rows = rows.join(carried, [path, "_chunk"]).withColumns({"_size": before(size, "size"), "_inode": before(inode, "inode")})
+    broken = F.coalesce((F.col(size) < F.col("_size")) | (F.col(inode) != F.col("_inode")), F.lit(False)).cast("bigint")
+    rows = rows.withColumn("_new", broken)
+    sums = rows.groupBy(path, "_chunk").agg(F.sum("_new").alias("_sum"))
+    earlier = Window.partitionBy(path).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(path, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_earlier"))
+    inside = F.sum("_new").over(of.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(sums, [path, "_chunk"]).withColumn("epoch", F.col("_earlier") + inside).select(*df.columns, "epoch")
 
 
 def token_bucket(df: DataFrame, key: str, order: str, at_ms: str, rate: float, burst: int, cost: Column | None = None) -> DataFrame:
