@@ -71,7 +71,7 @@ def write_both(spark: SparkSession, good: DataFrame, dead: DataFrame, batch_id:
         both.abort()
         raise
     own = f"{config.dead_letters}/batch={name}"
-    both.commit({"store": config.store, "dead": own}, [f"{config.store}/event_date=*/batch={name}", own])
+    both.commit({"store": (config.store, "event_date=*/batch=*"), "dead": (own, "")}, [f"{config.store}/event_date=*/batch={name}"])
     if config.indexed:
         storeindex.add(spark, config.store, name)
 
