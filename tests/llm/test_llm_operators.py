@@ -917,20 +917,20 @@ def test_exact_dedup_keeps_columns_of_any_name(spark):
     assert got.columns == df.columns and sorted(map(tuple, got.collect())) == sorted(rows[6:])
 
 
-LONG = "The committee met on Tuesday, and after a long debate, it agreed on the plan; nobody was surprised."
+TALK = "The committee met on Tuesday, and after a long debate, it agreed on the plan; nobody was surprised."
 
 
 @pytest.mark.parametrize(
     "body,want",
     [
-        (f'<div class="lead">A short lead, before all.</div><article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>', ["A short lead, before all.", LONG, LONG, LONG]),
-        (f'<article><p>{LONG}</p><h2>References</h2><ul><li><a href="/1">Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.</a></li><li><a href="/2">Jones, K.: Debates, and how they end, Leeds, 1999.</a></li>'
+        (f'<div class="lead">A short lead, before all.</div><article><p>{TALK}</p><p>{TALK}</p><p>{TALK}</p></article>', ["A short lead, before all.", TALK, TALK, TALK]),
+        (f'<article><p>{TALK}</p><h2>References</h2><ul><li><a href="/1">Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.</a></li><li><a href="/2">Jones, K.: Debates, and how they end, Leeds, 1999.</a></li>'
          f'<li><a href="/3">Brown, L.: Tuesdays, a history in five parts, York, 2010.</a></li></ul></article>',
-         [LONG, "References", "Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.", "Jones, K.: Debates, and how they end, Leeds, 1999.", "Brown, L.: Tuesdays, a history in five parts, York, 2010."]),
-        (f"<article><p>{LONG}</p><details><summary>More</summary>It was late.</details><div>So be it</div><p>{LONG}</p></article>", [LONG, "More", "It was late.", "So be it", LONG]),
-        (f'<article><p>{LONG}</p><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">Sport</a></li></ul><p>{LONG}</p></article>', [LONG, LONG]),
-        (f'<div><div class="intro">Unlike others.</div><div><p>{LONG}</p><p>{LONG}</p></div></div><footer>Imprint</footer>', ["Unlike others.", LONG, LONG]),
-        (f'<nav class="intro-menu"><a href="/">Home</a></nav><article><p>{LONG}</p></article><div class="comments"><p>{LONG}</p></div>', [LONG]),
+         [TALK, "References", "Smith, J.: On the plans of committees, 2nd ed., Oxford, 2001.", "Jones, K.: Debates, and how they end, Leeds, 1999.", "Brown, L.: Tuesdays, a history in five parts, York, 2010."]),
+        (f"<article><p>{TALK}</p><details><summary>More</summary>It was late.</details><div>So be it</div><p>{TALK}</p></article>", [TALK, "More", "It was late.", "So be it", TALK]),
+        (f'<article><p>{TALK}</p><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">Sport</a></li></ul><p>{TALK}</p></article>', [TALK, TALK]),
+        (f'<div><div class="intro">Unlike others.</div><div><p>{TALK}</p><p>{TALK}</p></div></div><footer>Imprint</footer>', ["Unlike others.", TALK, TALK]),
+        (f'<nav class="intro-menu"><a href="/">Home</a></nav><article><p>{TALK}</p></article><div class="comments"><p>{TALK}</p></div>', [TALK]),
     ],
     ids=["lead", "references", "details", "menu", "intro", "comments"],
 )

@@ -296,7 +296,7 @@ def link_lists(page: Page, texts: list[tuple[int, int, str]], ratios: dict[int,
     """
     links = page.summed({page.link[e]: 1 for e, _, _ in texts if page.link[e] >= 0})
     plain = page.summed({e: 1 for e, _, text in texts if page.link[e] < 0 and any(c.isalnum() for c in text)})
-    telling = page.summed({e: 1 for e, _, _ in texts if page.home[e] and ratios[page.path[e]] >= least})
+    telling = page.summed({e: 1 for e, _, _ in texts if page.home[e] and page.link[e] >= 0 and ratios[page.path[e]] >= least})
     return {k for k, tag in enumerate(page.tag) if tag in LISTS and links[k] > FEW_LINKS and not plain[k] and not telling[k]}
 
 
@@ -361,11 +361,11 @@ def main_text(html: str | None) -> str:
             if page.path[e] in chosen:
                 keep.add(block)
             else:
-                # a part of a text, or a block of an article that is no link, stays whatever its ratio
+                # a part of a text, or words of an article that are no link, stay whatever their ratio; bare numbers don't
                 linked, at_home = page.link[e] >= 0, page.home[e]
                 while e and page.tag[e] not in BLOCK:
                     e = page.parent[e]
-                if page.tag[e] in KEPT or at_home and not linked and any(c.isalnum() for c in text):
+                if page.tag[e] in KEPT or at_home and not linked and any(c.isalpha() for c in text):
                     keep.add(block)
     lines = (" ".join("".join(x).split()) for b, x in sorted(blocks.items()) if b in keep)
     return "\n".join(x for x in lines if x)
