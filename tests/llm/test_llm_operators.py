@@ -698,6 +698,67 @@ def test_flac_query_writes_streams_and_blocks(spark, awkward):
         flac.digests(tables["pcm"].where("block <> 1")).collect()
 
 
+def plainly_decoded(stream: bytes) -> bytes:
+    """A decoder after the format's description, bit by bit."""
+    bits, at, n = "".join(f"{b:08b}" for b in stream), 0, int.from_bytes(stream[21:26], "big") & ((1 << 36) - 1)
+
+    def read(width: int, signed: bool = False) -> int:
+        nonlocal at
+        value = int(bits[at : at + width] or "0", 2)
+        at += width
+        return value - (1 << width) if signed and value >> (width - 1) else value
+
+    read(32)
+    last = 0
+    while not last:
+        last = read(1)
+        read(7)
+        skip = 8 * read(24)
+        at += skip
+    out: list[int] = []
+    while len(out) < n:
+        assert read(15) == 0x7FFC
+        read(1)
+        size = read(4)
+        read(12)
+        lead = f"{read(8):08b}".index("0")
+        at += 8 * max(0, lead - 1)
+        size = 4096 if size == 12 else read(16) + 1
+        read(9)
+        kind = read(7) >> 1
+        order = kind - 8 if 8 <= kind < 32 else kind - 31 if kind >= 32 else 0
+        x = [read(8, True)] * size if kind == 0 else [read(8, True) for _ in range(size if kind == 1 else order)]
+        if kind > 1:
+            c, shift = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]][order if kind < 32 else 0], 0
+            if kind >= 32:
+                precision, shift = read(4) + 1, read(5)
+                c = [read(precision, True) for _ in range(order)]
+            parts = 1 << read(6)
+            for part in range(parts):
+                k = read(4)
+                for _ in range(size // parts - (0 if part else order)):
+                    zeros = bits.index("1", at) - at
+                    at += zeros + 1
+                    u = zeros << k | read(k)
+                    x.append((u >> 1 ^ -(u & 1)) + (sum(a * b for a, b in zip(c, reversed(x))) >> shift))
+        at = -(-at // 8) * 8 + 16
+        out += x
+    return bytes((v & 0xFF) ^ 0x80 for v in out)
+
+
+def test_flac_streams_by_a_plain_decoder():
+    r = np.random.default_rng(7)
+    for n in (1, 5, 65, 192, 1535, 1536, 1728, 4096, 4300):
+        i = np.arange(n)
+        signals = [
+            r.integers(0, 256, n), 128 + 100 * np.sin(i / 9), np.cumsum(r.integers(-3, 4, n)) % 256, np.where(r.random(n) < 0.01, r.integers(0, 256, n), 128),
+            r.choice([32, 97, 101, 110, 116, 195, 169], n), i % 2 * 255, np.where(i < n - 1, 7, 200),
+        ]
+        for x in signals:
+            raw = np.asarray(x).astype(np.uint8).tobytes()
+            assert plainly_decoded(flac.encode(raw)) == raw
+
+
 def test_flac_predictors_where_they_save_a_bit_of_a_sample():
     r = np.random.default_rng(5)
     words = ["".join(chr(97 + c) for c in r.integers(0, 26, r.integers(2, 9))) for _ in range(300)]
